@@ -67,6 +67,7 @@ def main(sf_dir: str, only: list[str]) -> int:
     spark = build_session(
         "oracle-check", "local[8]", spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8", spark__driver__bindAddress="127.0.0.1",
+        spark__driver__host="127.0.0.1",
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql, failed = connect(sf_dir), oracle_sql(), 0
@@ -77,7 +78,7 @@ def main(sf_dir: str, only: list[str]) -> int:
         try:
             found = differences(query(spark, sf_dir), connection, sql[name])
         except Exception as error:  # report and go on
-            found = [f"{type(error).__name__}: {str(error)[:600]}"]
+            found = [f"{type(error).__name__}: {str(error)[:2500]}"]
         failed += bool(found)
         print(f"{'FAIL' if found else 'ok'} {name} {time.time() - start:.1f}s {'; '.join(found)}")
     return failed

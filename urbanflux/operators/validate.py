@@ -14,12 +14,14 @@ def parse_payloads(
 ) -> DataFrame:
     """JSON text or bytes to typed columns plus ``raw_payload``; bad fields become null.
 
-    ``keep`` names message columns to carry along.
+    ``keep`` names message columns to carry along. The document is inlined as the only element
+    of an array: one row per message, parsed once. As a plain projection the parse would be
+    repeated for every field that a later filter mentions, because filters move below
+    projections but not below generators.
     """
     raw = F.col(value).cast("string")
-    data = F.from_json(raw, schema)
-    parsed = messages.select(data.alias("data"), raw.alias("raw_payload"), *keep)
-    return parsed.select("data.*", "raw_payload", *keep)
+    parsed = F.inline(F.array(F.from_json(raw, schema)))
+    return messages.select(parsed, raw.alias("raw_payload"), *keep)
 
 
 def mark_faults(df: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _k(events: DataFrame) -> DataFrame:
     """Events with the integer of their JSON properties."""
-    return events.withColumn("k", F.from_json("props", "k int").getField("k"))
+    return events.select("*", F.inline(F.array(F.from_json("props", "k int"))))
 
 
 def traffic_messages(events: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def sensor_dimension(customer: DataFrame) -> DataFrame:
         F.concat(F.lit("SNS-"), "c_custkey").alias("sensor_id"),
         F.col("c_mktsegment").alias("location_name"),
         F.col("c_nationkey").cast("double").alias("latitude"),
-        F.round(F.col("c_acctbal") / 100, 2).alias("longitude"),
+        F.col("c_acctbal").alias("longitude"),
         (F.col("c_acctbal") >= 0).alias("is_current"),
     )
 

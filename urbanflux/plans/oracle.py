@@ -69,7 +69,7 @@ _JOB_GPS_REASON = "Validation Failed: Invalid coords or speed metrics"
 _SENSORS = """sensors AS (
   SELECT c_custkey + 1 AS sensor_key, 'SNS-' || c_custkey AS sensor_id,
     c_mktsegment AS location_name, CAST(c_nationkey AS DOUBLE) AS latitude,
-    round(c_acctbal / 100, 2) AS longitude, c_acctbal >= 0 AS is_current
+    c_acctbal AS longitude, c_acctbal >= 0 AS is_current
   FROM customer)"""
 
 _VEHICLES = """vehicles AS (
