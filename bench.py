@@ -37,6 +37,7 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__host="127.0.0.1",
         spark__driver__bindAddress="127.0.0.1",
     )

@@ -66,6 +66,7 @@ def main(sf_dir: str, only: list[str]) -> int:
 
     spark = build_session(
         "oracle-check", "local[8]", spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8", spark__driver__bindAddress="127.0.0.1",
         spark__driver__host="127.0.0.1",
     )
