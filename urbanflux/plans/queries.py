@@ -77,7 +77,7 @@ def json_parse(spark, sf):
 
 def _traffic(spark, sf, profile):
     messages = derived.traffic_messages(table(spark, sf, "events"))
-    parsed = parse_payloads(messages, schemas.TRAFFIC_PAYLOAD, keep=("event_id",))
+    parsed = parse_payloads(messages, schemas.TRAFFIC_PAYLOAD, keep=("event_id", "ts"))
     return mark_faults(parsed, traffic_rules(profile))
 
 
@@ -119,12 +119,11 @@ def dead_letter_json(spark, sf):
 
 
 def dead_letter_latest(spark, sf):
-    created = table(spark, sf, "events").select("event_id", F.col("ts").alias("created_at"))
-    faulty = faulty_rows(_traffic(spark, sf, "strict")).join(created, "event_id")
-    return newest_first(
-        faulty.select(F.col("raw_payload").alias("payload"), "validation_error", "created_at"),
-        "created_at",
+    faulty = faulty_rows(_traffic(spark, sf, "strict"))
+    letters = faulty.select(
+        F.col("raw_payload").alias("payload"), "validation_error", F.col("ts").alias("created_at")
     )
+    return newest_first(letters, "created_at")
 
 
 def severity_check(spark, sf):
@@ -376,48 +375,69 @@ def next_ping(spark, sf):
     )
 
 
-def congestion_view(spark, sf):
-    return views.congestion_analysis(derived.star(spark, sf))
+CALENDAR = ("dim_date", "dim_time")
 
 
-def travel_time_view(spark, sf):
-    trends = views.travel_time_trends(derived.star(spark, sf))
-    return _round6(trends, "avg_speed_mph", "estimated_minutes_per_mile")
+def _congestion(spark, sf):
+    star = derived.star(spark, sf, *CALENDAR, "dim_sensors", "fact_traffic_readings")
+    return views.congestion_analysis(star)
 
 
-def hotspot_view(spark, sf):
-    return views.incident_hotspots(derived.star(spark, sf))
+def _travel_times(spark, sf):
+    return views.travel_time_trends(
+        derived.star(spark, sf, *CALENDAR, "dim_vehicles", "fact_gps_pings")
+    )
+
+
+def _hotspots(spark, sf):
+    return views.incident_hotspots(derived.star(spark, sf, *CALENDAR, "fact_incident_reports"))
 
 
 # events are sparser than bus pings, so the verdict thresholds are hours, not minutes
 LATE, EARLY = 460.0, 420.0
 
 
-def punctuality_view(spark, sf):
-    return _round6(_punctuality(spark, sf), "avg_actual_gap_minutes")
+def _punctuality(spark, sf):
+    star = derived.star(spark, sf, "dim_vehicles", "fact_gps_pings")
+    return views.bus_punctuality(star, LATE, EARLY)
 
 
-def _punctuality(spark, sf):
-    return views.bus_punctuality(derived.star(spark, sf), LATE, EARLY)
+def _peaks(spark, sf):
+    return views.peak_hour_analysis(derived.star(spark, sf, *CALENDAR, "fact_traffic_readings"))
+
+
+def congestion_view(spark, sf):
+    return _congestion(spark, sf)
+
+
+def travel_time_view(spark, sf):
+    return _round6(_travel_times(spark, sf), "avg_speed_mph", "estimated_minutes_per_mile")
+
+
+def hotspot_view(spark, sf):
+    return _hotspots(spark, sf)
+
+
+def punctuality_view(spark, sf):
+    return _round6(_punctuality(spark, sf), "avg_actual_gap_minutes")
 
 
 def peak_hour_view(spark, sf):
-    peaks = views.peak_hour_analysis(derived.star(spark, sf))
-    return _round6(peaks, "avg_speed", "avg_volume", "avg_congestion_index")
+    return _round6(_peaks(spark, sf), "avg_speed", "avg_volume", "avg_congestion_index")
 
 
 def kpi_congestion(spark, sf):
-    kpi = kpis.congestion_by_location(views.congestion_analysis(derived.star(spark, sf)))
+    kpi = kpis.congestion_by_location(_congestion(spark, sf))
     return _round6(kpi, "avg_congestion_index")
 
 
 def kpi_travel_time(spark, sf):
-    kpi = kpis.travel_time_cards(views.travel_time_trends(derived.star(spark, sf)))
+    kpi = kpis.travel_time_cards(_travel_times(spark, sf))
     return _round6(kpi, "avg_speed_mph", "avg_minutes_per_mile")
 
 
 def kpi_hotspots(spark, sf):
-    return kpis.hotspot_map(views.incident_hotspots(derived.star(spark, sf)))
+    return kpis.hotspot_map(_hotspots(spark, sf))
 
 
 def kpi_punctuality(spark, sf):
@@ -425,7 +445,7 @@ def kpi_punctuality(spark, sf):
 
 
 def kpi_peak(spark, sf):
-    kpi = kpis.peak_profile(views.peak_hour_analysis(derived.star(spark, sf)))
+    kpi = kpis.peak_profile(_peaks(spark, sf))
     return _round6(kpi, "avg_congestion_index", "avg_volume")
 
 

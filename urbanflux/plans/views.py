@@ -61,10 +61,16 @@ def travel_time_trends(star: Star) -> DataFrame:
         "vehicle_key", "vehicle_id", "vehicle_type", "assigned_route_id"
     )
     pings = star.fact_gps_pings.select("vehicle_key", "date_key", "time_key", "speed")
+    # reduce the pings to hours before they meet a dimension that may be large
+    hourly = (
+        join_calendar(pings, star.dim_date, star.dim_time)
+        .groupBy("vehicle_key", "date", "hour")
+        .agg(F.sum("speed").alias("total"), F.count("speed").alias("n"))
+    )
     return (
-        join_calendar(pings.join(vehicles, "vehicle_key"), star.dim_date, star.dim_time)
+        hourly.join(vehicles, "vehicle_key")
         .groupBy("vehicle_id", "vehicle_type", "assigned_route_id", "date", "hour")
-        .agg(F.avg("speed").alias("avg_speed_mph"))
+        .agg(F.try_divide(F.sum("total"), F.sum("n")).alias("avg_speed_mph"))
         .withColumn("estimated_minutes_per_mile", minutes_per_mile(F.col("avg_speed_mph")))
     )
 
@@ -96,12 +102,17 @@ def _route_gaps(star: Star, order: list[str]) -> DataFrame:
     buses = buses.join(moved, "vehicle_id")
     pings = star.fact_gps_pings.select("vehicle_key", "record_timestamp", *order)
 
+    spans = pings.groupBy("vehicle_key").agg(
+        F.count("*").alias("n"),
+        F.min("record_timestamp").alias("first"),
+        F.max("record_timestamp").alias("last"),
+    )
     settled = (
-        pings.join(buses.filter(~F.col("moved")), "vehicle_key")
+        spans.join(buses.filter(~F.col("moved")), "vehicle_key")
         .groupBy("vehicle_id", "assigned_route_id")
         .agg(
-            (F.count("*") - 1).alias("gaps"),
-            elapsed_micros(F.min("record_timestamp"), F.max("record_timestamp")).alias("micros"),
+            (F.sum("n") - 1).alias("gaps"),
+            elapsed_micros(F.min("first"), F.max("last")).alias("micros"),
         )
     )
     rerouted = pings.join(buses.filter(F.col("moved")), "vehicle_key")

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from urbanflux import schemas
 from urbanflux.operators.audit import latest_state
 from urbanflux.operators.enrich import current_versions
+from urbanflux.operators.surrogate import highest_key
 from urbanflux.operators.validate import newest_first
 from urbanflux.plans.views import Star
 from urbanflux.sources.snapshots import SnapshotTable
@@ -59,6 +60,18 @@ class Warehouse:
         layout = StructType([*schema.fields, *folders.fields])
         return read_table(self.spark, self.fact_path(name), layout)
 
+    def reserve_ids(self, name: str, run_id: str, n: int, start: int = 0) -> int:
+        """Set ``n`` row ids aside for a run; they begin after the returned number.
+
+        Reservations are kept in a table of one row per run, so the fact itself need not be
+        scanned for its highest id.
+        """
+        path = f"{self.root}/reserved_ids/{name}"
+        layout = schemas.columns("run_id string, last_id long")
+        last = highest_key(read_table(self.spark, path, layout), "last_id", start)
+        append_table(self.spark.createDataFrame([(run_id, last + n)], layout).coalesce(1), path)
+        return last
+
     @property
     def dead_letter_path(self) -> str:
         return f"{self.root}/dead_letter_queue"
