@@ -30,9 +30,9 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def absent_from(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``batch`` whose key does not occur in ``stored``.
 
-    The stored side is first reduced to the keys it shares with the batch. That inner join
-    reads only key columns, prunes stored partitions by the batch's values and, for a batch
-    under the broadcast threshold, shuffles nothing of the stored table.
+    The stored side is first reduced to the keys it shares with the batch. That join reads
+    only key columns and, for a batch under the broadcast threshold, shuffles nothing of the
+    stored table. Stored tables hold each key once, so no key is hot on that side.
     """
     batch_keys = batch.select(*keys).distinct()
     shared = stored.select(*keys).join(batch_keys, keys, "left_semi").distinct()

@@ -244,14 +244,11 @@ def incident_dedupe(spark, sf):
         "l_linenumber",
     )
     facts = incident_facts(reports, time_text=None, keep=("l_orderkey", "l_linenumber"))
-    stored, arriving = (
-        facts.filter(F.col("incident_type") == "R"),
-        facts.filter(F.col("incident_type") != "R"),
-    )
+    keys = ("location_name", "record_timestamp", "date_key")
+    stored = facts.filter(F.col("incident_type") == "R").select(*keys).distinct()
+    arriving = facts.filter(F.col("incident_type") != "R")
     order = ["l_orderkey", "l_linenumber", "incident_type", "severity", "latitude", "longitude"]
-    return new_incidents(
-        arriving, stored, order, ("location_name", "record_timestamp", "date_key")
-    )
+    return new_incidents(arriving, stored, order, keys)
 
 
 def referential_check(spark, sf):
