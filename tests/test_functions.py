@@ -6,7 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanflux.functions import buckets
-from urbanflux.functions.keys import date_key, elapsed_micros, event_time, time_chunk, time_key
+from urbanflux.functions.keys import (
+    clock,
+    date_key,
+    elapsed_micros,
+    event_time,
+    moment,
+    time_chunk,
+    time_key,
+    utc_now,
+)
 from urbanflux.sources.calendar import dim_date, dim_date_covering, dim_time
 
 
@@ -34,12 +43,18 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
         row = spark.createDataFrame([(a, b)], "a timestamp_ntz, b timestamp_ntz").select(
             elapsed_micros(F.col("a"), F.col("b")), time_key(F.col("b")), date_key(F.col("b")),
             time_chunk(F.col("b"), 60) - time_chunk(F.col("a"), 60),
+            moment(a) == F.col("a"), abs_hours_from_utc(),
         ).first()
-        assert tuple(row) == (3_660_750_000, 300, 20240310, 61)
+        assert tuple(row) == (3_660_750_000, 300, 20240310, 61, True, 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def abs_hours_from_utc():
+    """Whole hours between the column clock and the driver's UTC clock."""
+    return F.floor(F.abs(elapsed_micros(moment(utc_now()), clock())) / 3_600_000_000)
+
+
 def test_congestion_levels(spark):
     values = [0.8, 0.79, 0.5, 0.3, 0.29, None]
     assert column(spark, values, "double", buckets.congestion_level) == [

@@ -158,7 +158,8 @@ def test_kafka_options():
 
 
 def test_alerts_survive_undecodable_bytes(spark):
-    messages = spark.createDataFrame([(bytearray(b'{"validation_error":"a\xff"}'),)], "value binary")
+    value = bytearray(b'{"validation_error":"a\xff"}')
+    messages = spark.createDataFrame([(value,)], "value binary")
     assert alert_lines(messages).first()["value"] == (
         'CRITICAL INVALID PAYLOAD RECEIVED in DLQ: {"validation_error":"a"}'
     )

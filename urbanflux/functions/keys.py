@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
+def utc_now() -> datetime:
+    """The clock as a zone-less UTC moment, for values that must stay the same across jobs."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def moment(value: datetime) -> Column:
+    """A zone-less literal; as text, because a datetime literal would pass through zones."""
+    return F.lit(value.isoformat()).cast("timestamp_ntz")
+
+
+def clock() -> Column:
+    """Zone-less UTC time of the query that evaluates it."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+
+
 def event_time(text: Column) -> Column:
     """ISO text to a zone-less timestamp; null where the text is no timestamp."""
     return text.try_cast("timestamp_ntz")

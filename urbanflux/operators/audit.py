@@ -6,13 +6,14 @@ import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflux import constants as K
 from urbanflux import schemas
+from urbanflux.functions.keys import utc_now
 
 log = logging.getLogger(__name__)
 
@@ -28,10 +29,6 @@ class Counts:
         return Counts(self.read + other.read, self.written + other.written)
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 def run_audited(
     spark: SparkSession,
     job_name: str,
@@ -43,7 +40,7 @@ def run_audited(
     A failure is logged and recorded, not raised, so that the next job still runs; the
     result is then None.
     """
-    run_id, start = uuid.uuid4().hex, _now()
+    run_id, start = uuid.uuid4().hex, utc_now()
 
     def record(status: str, end: datetime | None, counts: Counts, error: str | None) -> None:
         row = (
@@ -56,9 +53,9 @@ def run_audited(
         counts = job()
     except Exception as error:
         log.exception("%s failed", job_name)
-        record(K.FAILED, _now(), Counts(), str(error))
+        record(K.FAILED, utc_now(), Counts(), str(error))
         return None
-    record(K.SUCCESS, _now(), counts, None)
+    record(K.SUCCESS, utc_now(), counts, None)
     return counts
 
 

@@ -52,7 +52,7 @@ def _k(events: DataFrame) -> DataFrame:
 
 
 def traffic_messages(events: DataFrame) -> DataFrame:
-    """JSON readings with the faults a feed shows: no id, bad time, no index, negative speed, junk."""
+    """JSON readings with a feed's faults: no id, bad time, no index, negative speed, junk."""
     e = _k(events)
     kind, k, speed = F.col("event_type"), F.col("k"), F.round(F.col("value") - 20, 2)
     reading = F.to_json(

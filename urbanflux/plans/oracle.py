@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urbanflux import constants as K
+
 # ------------------------------------------------------------------- shared subqueries
 
 _E = "e AS (SELECT *, CAST(props->>'k' AS INTEGER) AS k FROM events)"
@@ -15,6 +17,21 @@ def _keys(ts: str) -> str:
     return f"{_DATE_KEY.format(ts=ts)} AS date_key, {_TIME_KEY.format(ts=ts)} AS time_key"
 
 
+def _levels(index: str) -> str:
+    return " ".join(f"WHEN {index} >= {low} THEN '{label}'" for low, label in K.CONGESTION_LEVELS)
+
+
+def _bands(hour: str) -> str:
+    return " ".join(
+        f"WHEN {hour} BETWEEN {first} AND {last} THEN '{label}'"
+        for first, last, label in K.TIME_BANDS
+    )
+
+
+def _scores() -> str:
+    return " ".join(f"WHEN '{name}' THEN {score}" for name, score in K.HAZARD_SCORES.items())
+
+
 _TRAFFIC = f"""{_E},
 t0 AS (
   SELECT event_id, user_id, ts, k,
@@ -38,10 +55,10 @@ traffic AS (
       || CASE WHEN no_index THEN '' ELSE
            ',"congestion_index":' || CAST(congestion_index AS VARCHAR) END
       || ',"timestamp":"' || time_text || '"}}' END AS payload,
-    CASE WHEN junk THEN 'Malformed payload'
-         WHEN sensor_id IS NULL THEN 'Missing required field: sensor_id'
-         WHEN congestion_index IS NULL THEN 'Missing required field: congestion_index'
-         WHEN speed < 0 THEN 'Speed cannot be negative'
+    CASE WHEN junk THEN '{K.MALFORMED_REASON}'
+         WHEN sensor_id IS NULL THEN '{K.MISSING_FIELD_REASON}sensor_id'
+         WHEN congestion_index IS NULL THEN '{K.MISSING_FIELD_REASON}congestion_index'
+         WHEN speed < 0 THEN '{K.NEGATIVE_SPEED_REASON}'
          WHEN bad_time THEN 'Unparseable time: timestamp' END AS strict_reason,
     junk OR sensor_id IS NULL OR speed < 0 AS job_invalid
   FROM t)"""
@@ -58,14 +75,11 @@ gps AS (
       || ',"latitude":' || CAST(latitude AS VARCHAR)
       || ',"longitude":' || CAST(longitude AS VARCHAR) || ',"speed":' || CAST(speed AS VARCHAR)
       || ',"timestamp":"' || {_ISO.format(ts="ts")} || '"}}' AS payload,
-    CASE WHEN latitude < -90 OR latitude > 90 THEN 'Latitude out of bounds'
-         WHEN longitude < -180 OR longitude > 180 THEN 'Longitude out of bounds'
-         WHEN speed < 0 THEN 'Speed cannot be negative' END AS reason
+    CASE WHEN latitude < -90 OR latitude > 90 THEN '{K.LATITUDE_REASON}'
+         WHEN longitude < -180 OR longitude > 180 THEN '{K.LONGITUDE_REASON}'
+         WHEN speed < 0 THEN '{K.NEGATIVE_SPEED_REASON}' END AS reason
   FROM g0)"""
 
-_JOB_TRAFFIC_REASON = "Validation Failed: Missing ID, invalid metrics, or parsing error"
-_JOB_GPS_REASON = "Validation Failed: Invalid coords or speed metrics"
-
 _SENSORS = """sensors AS (
   SELECT c_custkey + 1 AS sensor_key, 'SNS-' || c_custkey AS sensor_id,
     c_mktsegment AS location_name, CAST(c_nationkey AS DOUBLE) AS latitude,
@@ -113,8 +127,7 @@ _CONGESTION_VIEW = f"""{_E}, {_SENSORS}, {_EVENT_CALENDAR}, {_READINGS},
 v_congestion AS (
   SELECT sensor_id, location_name, latitude, longitude, date, year, month_name, day_name,
     is_weekend, hour, minute, speed, vehicle_volume, occupancy, congestion_index,
-    CASE WHEN congestion_index >= 0.8 THEN 'Critical' WHEN congestion_index >= 0.5 THEN 'Heavy'
-         WHEN congestion_index >= 0.3 THEN 'Moderate' ELSE 'Low' END AS congestion_level
+    CASE {_levels("congestion_index")} ELSE '{K.LOWEST_CONGESTION_LEVEL}' END AS congestion_level
   FROM readings JOIN sensors USING (sensor_key) JOIN dim_date USING (date_key)
   JOIN dim_time USING (time_key))"""
 
@@ -138,8 +151,7 @@ incidents AS (
 v_hotspots AS (
   SELECT incident_type, severity, location_name, latitude, longitude, date, hour,
     count(*) AS incident_count,
-    CAST(CASE severity WHEN 'CRITICAL' THEN 3 WHEN 'MAJOR' THEN 2 ELSE 1 END AS INTEGER)
-      AS hazard_score
+    CAST(CASE severity {_scores()} ELSE {K.OTHER_HAZARD_SCORE} END AS INTEGER) AS hazard_score
   FROM incidents JOIN dim_date USING (date_key) JOIN dim_time USING (time_key)
   GROUP BY ALL)"""
 
@@ -155,15 +167,13 @@ gaps AS (
   FROM route_pings WHERE next_ts IS NOT NULL GROUP BY assigned_route_id),
 v_punctuality AS (
   SELECT assigned_route_id, gap AS avg_actual_gap_minutes,
-    CASE WHEN gap > 460 THEN 'Delayed' WHEN gap < 420 THEN 'Early/Clustered'
-         ELSE 'On Schedule' END AS punctuality_status
+    CASE WHEN gap > 460 THEN '{K.DELAYED}' WHEN gap < 420 THEN '{K.EARLY}'
+         ELSE '{K.ON_SCHEDULE}' END AS punctuality_status
   FROM gaps)"""
 
 _PEAK_VIEW = f"""{_E}, {_EVENT_CALENDAR}, {_READINGS},
 v_peak AS (
-  SELECT CASE WHEN hour BETWEEN 7 AND 9 THEN 'AM Peak (07:00-09:00)'
-              WHEN hour BETWEEN 16 AND 18 THEN 'PM Peak (16:00-18:00)'
-              ELSE 'Off-Peak' END AS time_period,
+  SELECT CASE {_bands("hour")} ELSE '{K.OFF_PEAK}' END AS time_period,
     day_name, avg(speed) AS avg_speed, avg(vehicle_volume) AS avg_volume,
     avg(congestion_index) AS avg_congestion_index
   FROM readings JOIN dim_date USING (date_key) JOIN dim_time USING (time_key)
@@ -243,7 +253,7 @@ SELECT (SELECT max({key}) FROM dimension) + row_number() OVER (ORDER BY {entity}
 FROM classified WHERE change_type IN ('new', 'changed')"""
 
 
-_STATIONS = """known AS (
+_STATIONS = f"""known AS (
   SELECT s_suppkey + 1 AS station_key, 'WTH-' || s_suppkey AS station_id,
     s_name AS station_name, CAST(s_nationkey AS DOUBLE) AS latitude, s_acctbal AS longitude,
     TIMESTAMP '2024-01-01' AS created_at
@@ -252,13 +262,14 @@ reported AS (SELECT DISTINCT 'WTH-' || l_suppkey AS station_id FROM lineitem),
 stations AS (
   SELECT station_key, station_id,
     CASE WHEN station_id IN (SELECT station_id FROM reported)
-      THEN station_id || ' Station' ELSE station_name END AS station_name,
+      THEN station_id || '{K.STATION_NAME_SUFFIX}' ELSE station_name END AS station_name,
     latitude, longitude, created_at
   FROM known
   UNION ALL
   SELECT (SELECT coalesce(max(station_key), 0) FROM known)
       + row_number() OVER (ORDER BY station_id),
-    station_id, station_id || ' Station', CAST(40.7 AS DOUBLE), CAST(-73.9 AS DOUBLE),
+    station_id, station_id || '{K.STATION_NAME_SUFFIX}',
+    CAST({K.DEFAULT_STATION_LATITUDE} AS DOUBLE), CAST({K.DEFAULT_STATION_LONGITUDE} AS DOUBLE),
     TIMESTAMP '2024-02-01'
   FROM reported WHERE station_id NOT IN (SELECT station_id FROM known))"""
 
@@ -293,7 +304,7 @@ _FACTS = f"""SELECT s.sensor_key, {_keys("t.ts")}, t.speed, t.k AS vehicle_volum
 FROM traffic t JOIN sensors s ON s.sensor_id = t.sensor_id AND s.is_current
 WHERE t.strict_reason IS NULL"""
 
-_REASON_WITH_UNKNOWN = """CASE WHEN strict_reason IS NOT NULL THEN strict_reason
+_REASON_WITH_UNKNOWN = f"""CASE WHEN strict_reason IS NOT NULL THEN strict_reason
   WHEN NOT EXISTS (SELECT 1 FROM sensors s WHERE s.sensor_id = traffic.sensor_id
                    AND s.is_current) THEN 'Unknown sensor_id' END"""
 
@@ -302,7 +313,7 @@ _GPS_UNKNOWN = """CASE WHEN reason IS NOT NULL THEN reason
                    AND v.is_current) THEN 'Unknown vehicle_id' END"""
 
 _TRAFFIC_LETTERS = f"""SELECT payload, strict_reason AS validation_error,
-  'traffic-sensors-topic' AS source_topic
+  '{K.TRAFFIC_TOPIC}' AS source_topic
 FROM traffic WHERE strict_reason IS NOT NULL"""
 
 
@@ -319,23 +330,23 @@ SELECT event_id, strict_reason AS validation_error FROM traffic""",
     "gps_validation_reason": f"""WITH {_E}, {_GPS}
 SELECT event_id, reason AS validation_error FROM gps""",
     "dead_letter_rows": f"""WITH {_TRAFFIC}, {_GPS}
-SELECT payload, '{_JOB_TRAFFIC_REASON}' AS validation_error,
-  'traffic-sensors-topic' AS source_topic FROM traffic WHERE job_invalid
+SELECT payload, '{K.TRAFFIC_JOB_REASON}' AS validation_error,
+  '{K.TRAFFIC_TOPIC}' AS source_topic FROM traffic WHERE job_invalid
 UNION ALL
-SELECT payload, '{_JOB_GPS_REASON}', 'gps-tracking-topic' FROM gps WHERE reason IS NOT NULL""",
+SELECT payload, '{K.GPS_JOB_REASON}', '{K.GPS_TOPIC}' FROM gps WHERE reason IS NOT NULL""",
     "dead_letter_json": f"""WITH {_TRAFFIC}, letters AS ({_TRAFFIC_LETTERS})
 SELECT CAST(to_json(struct_pack(payload := payload, validation_error := validation_error,
   source_topic := source_topic)) AS VARCHAR) AS value FROM letters""",
     "dead_letter_latest": f"""WITH {_TRAFFIC}
 SELECT payload, strict_reason AS validation_error, ts AS created_at
 FROM traffic WHERE strict_reason IS NOT NULL ORDER BY ts DESC""",
-    "severity_check": """WITH reports AS (
+    "severity_check": f"""WITH reports AS (
   SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'CRITICAL'
     WHEN '2-HIGH' THEN 'MAJOR' WHEN '3-MEDIUM' THEN 'MINOR' WHEN '5-LOW' THEN 'LOW' END AS severity
   FROM orders)
-SELECT o_orderkey, severity, CASE WHEN severity IS NULL THEN 'Missing required field: severity'
+SELECT o_orderkey, severity, CASE WHEN severity IS NULL THEN '{K.MISSING_FIELD_REASON}severity'
   WHEN severity NOT IN ('MINOR', 'MAJOR', 'CRITICAL')
-  THEN 'Invalid severity level. Must be MINOR, MAJOR, or CRITICAL.' END AS validation_error
+  THEN '{K.SEVERITY_REASON}' END AS validation_error
 FROM reports""",
     "date_time_keys": f"""WITH {_TRAFFIC}, timed AS (
   SELECT event_id, CASE WHEN NOT junk AND NOT bad_time THEN ts END AS record_timestamp FROM traffic)
@@ -365,7 +376,7 @@ SELECT event_id, sensor_id FROM traffic WHERE strict_reason IS NULL AND NOT EXIS
   SELECT 1 FROM sensors s WHERE s.sensor_id = traffic.sensor_id AND s.is_current)""",
     "unmatched_dead_letters": f"""WITH {_TRAFFIC}, {_SENSORS}, checked AS (
   SELECT payload, {_REASON_WITH_UNKNOWN} AS validation_error FROM traffic)
-SELECT payload, validation_error, 'traffic-sensors-topic' AS source_topic
+SELECT payload, validation_error, '{K.TRAFFIC_TOPIC}' AS source_topic
 FROM checked WHERE validation_error IS NOT NULL""",
     "current_version_lookup": f"""WITH {_VEHICLES}
 SELECT vehicle_id, vehicle_key FROM vehicles WHERE is_current""",
@@ -448,16 +459,16 @@ SELECT punctuality_status, assigned_route_id, count(*) AS routes FROM v_punctual
 SELECT time_period, round(avg(avg_congestion_index), 6) AS avg_congestion_index,
   round(avg(avg_volume), 6) AS avg_volume FROM v_peak GROUP BY ALL""",
     "audit_counts": f"""
-SELECT 'SCD2_Sensors' AS job_name, 'SUCCESS' AS status, n AS records_read,
+SELECT '{K.SENSORS_JOB}' AS job_name, 'SUCCESS' AS status, n AS records_read,
   w AS records_written, CAST(NULL AS VARCHAR) AS error_message
 FROM (WITH {_SENSOR_STATES} SELECT count(*) AS n,
   count(*) FILTER (change_type <> 'unchanged') AS w FROM classified)
 UNION ALL
-SELECT 'SCD2_Vehicles', 'SUCCESS', n, w, NULL
+SELECT '{K.VEHICLES_JOB}', 'SUCCESS', n, w, NULL
 FROM (WITH {_VEHICLE_STATES} SELECT count(*) AS n,
   count(*) FILTER (change_type <> 'unchanged') AS w FROM classified)
 UNION ALL
-SELECT 'Airflow_Weather_Incidents', 'SUCCESS', n, n + w, NULL
+SELECT '{K.HOURLY_JOB}', 'SUCCESS', n, n + w, NULL
 FROM (WITH {_LINE_INCIDENTS} SELECT (SELECT count(*) FROM lineitem) AS n,
   (SELECT count(*) FROM fresh) AS w)""",
     "audit_latest": """SELECT CAST(o_custkey AS VARCHAR) AS run_id,
@@ -477,10 +488,10 @@ FROM gps g JOIN vehicles v ON v.vehicle_id = 'VH-' || g.user_id AND v.is_current
 WHERE g.reason IS NULL""",
     "stream_dead_letter_monitor": f"""WITH {_TRAFFIC}, {_GPS}, {_SENSORS}, {_VEHICLES},
 letters AS (
-  SELECT 'traffic-sensors-topic' AS source_topic, {_REASON_WITH_UNKNOWN} AS validation_error
+  SELECT '{K.TRAFFIC_TOPIC}' AS source_topic, {_REASON_WITH_UNKNOWN} AS validation_error
   FROM traffic
   UNION ALL
-  SELECT 'gps-tracking-topic', {_GPS_UNKNOWN} FROM gps)
+  SELECT '{K.GPS_TOPIC}', {_GPS_UNKNOWN} FROM gps)
 SELECT source_topic, validation_error, count(*) AS letters
 FROM letters WHERE validation_error IS NOT NULL GROUP BY ALL""",
     "stream_replay": f"WITH {_TRAFFIC}, {_SENSORS} {_FACTS}",

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from urbanflux import constants as K
 from urbanflux import schemas
+from urbanflux.functions.keys import clock, moment, utc_now
 from urbanflux.functions.rules import incident_rules, weather_rules
 from urbanflux.operators.audit import Counts, run_audited
 from urbanflux.operators.dedupe import new_incidents
@@ -29,9 +30,9 @@ from urbanflux.sources.tables import overwrite_counted, overwrite_folder
 from urbanflux.streaming.ingest import GPS, TRAFFIC, IngestJob
 
 
-def _at(moment: datetime | None) -> Column:
-    """A fixed moment, or the clock."""
-    return F.localtimestamp() if moment is None else F.lit(moment).cast("timestamp_ntz")
+def _at(now: datetime | None) -> Column:
+    """A fixed moment, by default the present one."""
+    return moment(now or utc_now())
 
 
 # ------------------------------------------------------------------------------- set up
@@ -80,8 +81,7 @@ def merge_dimension(
 ) -> Counts:
     """Bring a type 2 dimension up to date with its operational table."""
     table = wh.dimension(dimension)
-    effective = F.lit(now or datetime.now()).cast("timestamp_ntz")  # one moment for the merge
-    result = scd2_merge(source, table.current(wh.spark), spec, effective)
+    result = scd2_merge(source, table.current(wh.spark), spec, _at(now))
     table.commit(result.current, result.expired)
     return Counts(result.read, result.written)
 
@@ -132,7 +132,7 @@ def _reject(wh: Warehouse, faulty: DataFrame, source: str, run_id: str) -> None:
     """Rejected landing records join the dead letters as JSON."""
     fields = [c for c in faulty.columns if c not in ("validation_error", "landed_order")]
     rows = faulty.select(F.to_json(F.struct(*fields)).alias("raw_payload"), "validation_error")
-    letters = dead_letters(rows, source).withColumn("created_at", F.localtimestamp())
+    letters = dead_letters(rows, source).withColumn("created_at", clock())
     # one folder per source and run, laid out like the streamed ones
     overwrite_folder(letters, f"{wh.dead_letter_path}/stream_id={source}-{run_id}/batch_id=0")
 

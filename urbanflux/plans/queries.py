@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from urbanflux import constants as K
 from urbanflux import schemas
 from urbanflux.functions.buckets import congestion_index, is_peak
-from urbanflux.functions.keys import event_time, with_calendar_keys
+from urbanflux.functions.keys import event_time, moment, with_calendar_keys
 from urbanflux.functions.rules import gps_rules, incident_rules, traffic_rules
 from urbanflux.operators.audit import Counts, latest_state, run_audited
 from urbanflux.operators.dedupe import new_incidents
@@ -55,7 +55,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _merged_at():
-    return F.lit(MERGED_AT).cast("timestamp_ntz")
+    return moment(MERGED_AT)
 
 
 def _round6(df: DataFrame, *columns: str) -> DataFrame:

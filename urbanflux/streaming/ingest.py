@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from urbanflux import constants as K
 from urbanflux import schemas
+from urbanflux.functions.keys import clock
 from urbanflux.functions.rules import Rule, gps_rules, traffic_rules
 from urbanflux.operators.enrich import attach_surrogate, mark_unknown
 from urbanflux.operators.facts import gps_facts, traffic_facts
@@ -107,7 +108,7 @@ class IngestJob:
             overwrite_folder(numbered, f"{self.fact_path}/{place}", ("date_key",))
 
             letters = dead_letters(faulty_rows(checked), self.feed.topic)
-            stamped = letters.withColumn("created_at", F.localtimestamp())
+            stamped = letters.withColumn("created_at", clock())
             overwrite_folder(stamped, f"{self.dead_letter_path}/{place}")
             if self.dead_letter_topic is not None:
                 self.dead_letter_topic.publish(

@@ -14,7 +14,8 @@ from urbanflux.sources.tables import overwrite_folder
 
 def alert_lines(messages: DataFrame) -> DataFrame:
     """One text line per dead letter; undecodable bytes are left out."""
-    return messages.select(F.concat(F.lit(K.ALERT_PREFIX), decoded_text(F.col("value"))).alias("value"))
+    line = F.concat(F.lit(K.ALERT_PREFIX), decoded_text(F.col("value")))
+    return messages.select(line.alias("value"))
 
 
 def counts_by_reason(messages: DataFrame) -> DataFrame:
