@@ -59,7 +59,9 @@ def run_audited(
     return counts
 
 
-def latest_state(events: DataFrame, run: str = "run_id", order: list[str] | None = None):
+def latest_state(
+    events: DataFrame, run: str = "run_id", order: list[str] | None = None
+) -> DataFrame:
     """The last event of each run; a final row outranks the STARTED row it follows."""
     order_columns = order or ["_final", "end_time"]
     if order is None:
