@@ -1,7 +1,8 @@
 """Headline timings. Prints one JSON line; every query is run to completion without collecting.
 
 Environment: ``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_REPEAT``
-(default 3; the median counts, after one warm-up run), ``BENCH_QUERIES`` (comma-separated).
+(default 3; the median counts, after one warm-up run), ``BENCH_QUERIES`` (comma-separated, or
+``all``; default the headline queries below).
 """
 
 from __future__ import annotations
@@ -17,6 +18,13 @@ from urbanflux.plans.queries import QUERIES
 from urbanflux.session import build_session
 
 DEFAULT_DIR = "/root/testdata/sf0.1"
+HEADLINE = (
+    "validation_reason gps_validation_reason dead_letter_latest fact_load fact_load_gps"
+    " weather_fact_load incident_dedupe referential_check surrogate_keys scd2_classify scd2_merge"
+    " scd1_upsert partial_update_upsert next_ping congestion_view travel_time_view hotspot_view"
+    " punctuality_view peak_hour_view kpi_congestion audit_latest stream_fact_ingest"
+    " stream_dead_letter_monitor"
+).split()
 
 
 def seconds(action) -> float:
@@ -30,7 +38,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     chosen = os.environ.get("BENCH_QUERIES")
-    names = chosen.split(",") if chosen else list(QUERIES)
+    names = list(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
     spark = build_session(
         "bench",
         f"local[{cpus}]",
