@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, mixing, url_rules
+from urbanflux.llm import bpe, minhash, mixing, quality, url_rules
 from urbanflux.llm.common import read
 from urbanflux.session import materialize
 
@@ -18,11 +18,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "keeper")
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "method_rule")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     sizes = materialize(documents.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
@@ -32,7 +40,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_minhash": op2_minhash,
     "op3_url_rules": op3_url_rules,
+    "op6_quality": op6_quality,
     "op10_mixing": op10_mixing,
 }
 
