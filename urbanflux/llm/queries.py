@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, minhash, mixing, quality, url_rules
+from urbanflux.llm import bpe, minhash, mixing, pii, quality, url_rules
 from urbanflux.llm.common import read
 from urbanflux.session import materialize
 
@@ -27,6 +27,14 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "method_rule")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(documents, pii.train(documents))
+    counts = [pii.count_of(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    base = F.sha2(pii.joined(F.col("base_spans")), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
 
@@ -42,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
     "op3_url_rules": op3_url_rules,
+    "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op10_mixing": op10_mixing,
 }
