@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, minhash, mixing, pii, quality, url_rules
+from urbanflux.llm import bpe, licenses, minhash, mixing, pii, quality, url_rules
 from urbanflux.llm.common import read
 from urbanflux.session import materialize
 
@@ -39,6 +39,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.drop("text", "hits")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     sizes = materialize(documents.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op3_url_rules": op3_url_rules,
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
     "op10_mixing": op10_mixing,
 }
 
