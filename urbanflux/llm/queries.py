@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, licenses, minhash, mixing, pii, quality, url_rules
+from urbanflux.llm import bpe, licenses, minhash, mixing, neighbours, ordinal, pii, quality, url_rules
 from urbanflux.llm.common import read
 from urbanflux.session import materialize
 
@@ -44,6 +44,17 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.drop("text", "hits")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op9_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", ordinal.grades_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    graded = ordinal.grade_documents(documents, ordinal.fit(documents, labels, grades=3))
+    return graded.select("doc_id", "expected_grade", F.col("tails")[0].alias("p_1"), F.col("tails")[1].alias("p_2"), "selected")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     sizes = materialize(documents.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
@@ -58,6 +69,8 @@ QUERIES: dict[str, Query] = {
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
+    "op8_neighbours": op8_neighbours,
+    "op9_ordinal": op9_ordinal,
     "op10_mixing": op10_mixing,
 }
 
