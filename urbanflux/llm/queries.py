@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, licenses, minhash, mixing, neighbours, ordinal, pii, quality, url_rules
+from urbanflux.llm import bpe, licenses, lm, minhash, mixing, neighbours, ordinal, pii, quality, url_rules
 from urbanflux.llm.common import read
 from urbanflux.session import materialize
 
@@ -27,6 +27,11 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "method_rule")
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score_documents(documents, lm.train(documents)).drop("text")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_personal_data(documents, pii.train(documents))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
     "op3_url_rules": op3_url_rules,
+    "op4_lm": op4_lm,
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
