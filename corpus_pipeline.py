@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, mixing
+from urbanflux.llm import bpe, minhash, mixing, pii, quality
 from urbanflux.llm.common import read
 from urbanflux.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the bands of their language or script."""
+    return quality.judge_quality(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of near-duplicates: the one with the smallest id."""
+    return minhash.keep_one(docs.select(*COLUMNS))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; ``n_chars`` follows the text.
+
+    A null text stays null.
+    """
+    docs = docs.select(*COLUMNS)
+    found = pii.find_personal_data(docs, pii.train(docs))
+    clean = found.withColumn("text", pii.redact(F.col("text"), F.col("spans")))
+    size = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", size).select(*COLUMNS)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats a document once for every pass in which the mix takes words of it; the rest go.
 
@@ -29,7 +51,13 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-STAGES = [("mix", mix_sources), ("encode", encode_texts)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("minhash_near_dedup", near_duplicates),
+    ("pii", personal_data),
+    ("mix_sources", mix_sources),
+    ("bpe", encode_texts),
+]
 
 #: The tokenizer, the trained redactor and the signatures have no SQL form.
 ORACLE_SQL = None
