@@ -22,7 +22,10 @@ from urbanflux.llm.common import TwoGenerationCache, ship_package, slices, texts
 BITS = 18
 #: Labelled documents that a fit may use: those whose key has the smallest hash.
 MAX_LABELLED = 20_000
-EPOCHS, RATE, PENALTY = 8, 0.25, 1e-4
+EPOCHS, RATE, PENALTY = 20, 0.2, 1e-3
+#: A feature takes part if so many labelled documents hold it and their grades stand out so far
+#: (in standard deviations); the value of a feature that is there.
+MIN_DOCUMENTS, MIN_DEVIATION, VALUE = 5, 4.0, 0.3
 CACHED_WORDS = 300_000
 #: Hash buckets at the end of the range for shape marks: ten steps for each of them.
 SHAPES = ("symbols", "upper", "digits", "lines", "repeats", "length")
@@ -74,15 +77,31 @@ class OrdinalModel:
         """Probability of a grade above each of the cuts; a text without words has the lowest grade."""
         if not len(features):
             return np.zeros(len(self.cuts))
-        score = self.weights[features].sum() / np.sqrt(len(features))
+        score = self.weights[features].sum() * VALUE
         return _logistic(score - self.cuts)
 
 
+def telling_features(rows: list[tuple[np.ndarray, int]], grades: int, size: int) -> np.ndarray:
+    """Which features are frequent enough and change the share of some grade or better clearly."""
+    each = np.concatenate([np.zeros(0, np.int32), *(x for x, _ in rows)])
+    held = np.bincount(each, minlength=size)
+    out = np.zeros(size, bool)
+    grade = np.repeat([g for _, g in rows], [len(x) for x, _ in rows])
+    for cut in range(1, grades):
+        share = np.mean([g >= cut for _, g in rows]) if rows else 0.0
+        above = np.bincount(each, grade >= cut, minlength=size) if len(each) else held
+        spread = np.sqrt(np.maximum(held * share * (1 - share), 1e-9))
+        out |= np.abs(above - held * share) >= MIN_DEVIATION * spread
+    return out & (held >= MIN_DOCUMENTS)
+
+
 def fit_features(rows: list[tuple[np.ndarray, int]], grades: int, bits: int = BITS, epochs: int = EPOCHS) -> OrdinalModel:
     """Adaptive gradient steps on the likelihood of the grades; the cuts stay in order."""
-    weights = np.zeros(1 << bits, np.float64)
-    squares = np.full(1 << bits, 1e-6)
-    counts = np.bincount([g for _, g in rows], minlength=grades) + 1.0
+    size = 1 << bits
+    telling = telling_features(rows, grades, size)
+    rows = [(x[telling[x]], g) for x, g in rows if len(x)]
+    weights, squares = np.zeros(size), np.full(size, 1e-3)
+    counts = np.bincount(np.array([g for _, g in rows], np.int64), minlength=grades) + 1.0
     above = counts[::-1].cumsum()[::-1][1:] / counts.sum()
     cuts = np.maximum.accumulate(np.log((1 - above) / above) + np.arange(grades - 1) * 1e-3)
     cut_squares = np.full(grades - 1, 1.0)
@@ -90,14 +109,10 @@ def fit_features(rows: list[tuple[np.ndarray, int]], grades: int, bits: int = BI
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
             x, grade = rows[i]
-            if not len(x):
-                continue
-            scale = 1 / np.sqrt(len(x))
-            tail = np.concatenate([[1.0], _logistic(weights[x].sum() * scale - cuts), [0.0]])
+            tail = np.concatenate([[1.0], _logistic(weights[x].sum() * VALUE - cuts), [0.0]])
             share = max(tail[grade] - tail[grade + 1], 1e-6)
             slope = tail * (1 - tail)
-            pull = (slope[grade] - slope[grade + 1]) / share
-            step = pull * scale - PENALTY * weights[x]
+            step = (slope[grade] - slope[grade + 1]) / share * VALUE - PENALTY * weights[x]
             squares[x] += step * step
             weights[x] += RATE * step / np.sqrt(squares[x])
             moved = np.zeros(grades + 1)
