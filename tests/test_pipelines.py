@@ -6,9 +6,11 @@ from pathlib import Path
 
 import pytest
 
+import jobs
+
 from urbanflux import constants as K
 from urbanflux import schemas
-from urbanflux.operators.audit import Counts, latest_state, run_audited
+from urbanflux.operators.audit import Counts, StepsFailed, latest_state, run_audited
 from urbanflux.plans.pipelines import (
     load_incidents,
     load_seed,
@@ -96,7 +98,8 @@ def test_daily_delta_and_merge(spark, wh):
 
 def test_a_failing_merge_does_not_stop_the_other(spark, wh):
     broken = spark.createDataFrame([("SNS-001",)], "sensor_id string")
-    run_scd2(wh, sensors=broken, now=JAN)
+    with pytest.raises(StepsFailed):
+        run_scd2(wh, sensors=broken, now=JAN)
     status = {r["job_name"]: r["status"] for r in wh.audit_log().collect()}
     assert status == {K.SENSORS_JOB: "FAILED", K.VEHICLES_JOB: "SUCCESS"}
 
@@ -177,10 +180,29 @@ def test_a_malformed_landing_file_fails_the_run(spark, wh, folder):
     path = Path(folder) / "bad"
     path.mkdir()
     (path / "response.json").write_text('[{"station_id": "W1", "temperature": ')
-    run_hourly(wh, str(path), str(path), "h", JAN)
+    with pytest.raises(StepsFailed):
+        run_hourly(wh, str(path), str(path), "h", JAN)
     assert [r["status"] for r in wh.audit_log().collect()] == ["FAILED"]
 
 
+def test_incidents_are_stored_although_the_weather_failed(spark, wh, folder):
+    set_up_calendar(wh, "2026-07-01", "2026-07-31")
+    bad = Path(folder) / "bad"
+    bad.mkdir()
+    (bad / "response.json").write_text('[{"station_id": "W1", "temperature": ')
+    good = land(folder, "good", [incident(1, "Accident", "X"), incident(2, "Event", "Y"),
+                                 incident(3, "Event", "Z", ts="2031-01-01T00:00:00")])
+    with pytest.raises(StepsFailed):
+        run_hourly(wh, str(bad), good, "h", JAN)
+    assert wh.fact("fact_incident_reports").count() == 2
+    audit = wh.audit_log().first()
+    assert (audit["status"], audit["records_read"], audit["records_written"]) == ("FAILED", 3, 2)
+    assert [r["validation_error"] for r in wh.dead_letter_queue().collect()] == ["Unknown date_key"]
+    with pytest.raises(StepsFailed):  # what makes the process exit with an error
+        line = ["--warehouse", wh.root, "hourly", str(bad), good, "h"]
+        jobs.run(spark, jobs.parser().parse_args(line))
+
+
 def test_calendar_set_up_twice(spark, wh):
     set_up_calendar(wh, "2026-01-01", "2026-01-31")
     set_up_calendar(wh, "2026-01-15", "2026-02-10")
@@ -208,7 +230,8 @@ def test_audit_states(spark, folder):
         raise ValueError("it's broken: 'x'")
 
     assert run_audited(spark, "good", lambda: Counts(3, 2) + Counts(1, 1), append) == Counts(4, 3)
-    assert run_audited(spark, "bad", fail, append) is None
+    with pytest.raises(ValueError):
+        run_audited(spark, "bad", fail, append)
     events = read_table(spark, path, schemas.ETL_AUDIT_LOG)
     assert events.count() == 4
     rows = {r["job_name"]: r for r in latest_state(events).collect()}

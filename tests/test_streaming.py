@@ -7,7 +7,7 @@ import pytest
 
 from urbanflux import constants as K
 from urbanflux import schemas
-from urbanflux.plans.pipelines import start_streams
+from urbanflux.plans.pipelines import set_up_calendar, start_streams
 from urbanflux.plans.warehouse import Warehouse
 from urbanflux.sources.streams import Topic
 from urbanflux.streaming.ingest import TRAFFIC, IngestJob, checked_readings
@@ -41,6 +41,7 @@ def wh(spark, folder):
     warehouse.dimension("dim_vehicles").commit(
         spark.createDataFrame(vehicles, schemas.DIM_VEHICLES)
     )
+    set_up_calendar(warehouse, "2026-07-01", "2026-07-31")
     return warehouse
 
 
@@ -125,8 +126,44 @@ def test_a_replayed_batch_replaces_all_of_its_rows(spark, wh, folder):
     ]
     job.process(texts(spark), 2)
     assert len(facts_of(wh)) == 2
-    keys = [(r["stream_id"], r["batch_id"], r["reading_id"]) for r in facts_of(wh)]
-    assert len(keys) == len(set(keys))
+    job.process(texts(spark, *[reading()] * 50).repartition(5), 3)
+    keys = [r["reading_id"] for r in facts_of(wh)]
+    assert len(keys) == len(set(keys)) == 52
+
+
+def test_another_checkpoint_keeps_what_is_stored(spark, wh, topics, folder):
+    traffic, gps, _ = topics
+    traffic.publish(texts(spark, reading(), reading(speed=31.0)), "1")
+    gps.publish(texts(spark, ping()), "1")
+    for progress in ("lost", "new"):
+        for query in start_streams(wh, traffic, gps, None, f"{folder}/{progress}", "s1", True):
+            query.awaitTermination()
+    rows = facts_of(wh)
+    assert len(rows) == 4 and len({r["stream_id"] for r in rows}) == 2
+    assert len({r["reading_id"] for r in rows}) == 4
+
+
+def test_ids_run_out_loudly(wh):
+    job = IngestJob(TRAFFIC, "s", lambda: None, "", "", stream_number=lambda stream: 512)
+    with pytest.raises(ValueError):
+        job.first_id("s", 0)
+    assert IngestJob(TRAFFIC, "s", lambda: None, "", "").first_id("s", 1) == 1 << 30
+
+
+@pytest.mark.parametrize("profile", ["strict", "job"])
+def test_constraints_of_the_fact_table_hold_in_every_profile(spark, wh, topics, folder, profile):
+    traffic, gps, _ = topics
+    no_index = json.loads(reading())
+    del no_index["congestion_index"]
+    traffic.publish(texts(spark, reading(), reading(ts="2030-01-01T00:00:00"), json.dumps(no_index),
+                          reading(ts="2026-07-17T10:30:00+05:00")), "1")
+    gps.publish(texts(spark, ping(ts="2026-08-01")), "1")
+    run(wh, [traffic, gps, None], folder, profile=profile)
+    assert sorted(r["time_key"] for r in facts_of(wh)) == [530, 1034]
+    assert wh.fact("fact_gps_pings").count() == 0
+    assert sorted(r["validation_error"] for r in wh.dead_letter_queue().collect()) == [
+        "Missing required field: congestion_index", "Unknown date_key", "Unknown date_key",
+    ]
 
 
 def test_lenient_profile_drops_unknown_entities(spark, wh, topics, folder):
@@ -136,9 +173,9 @@ def test_lenient_profile_drops_unknown_entities(spark, wh, topics, folder):
     traffic.publish(texts(spark, reading("SNS-404"), json.dumps(no_index), "junk"), "1")
     gps.publish(texts(spark, ping("VH-404")), "1")
     run(wh, [traffic, gps, None], folder, profile="job", on_unmatched="drop")
-    assert [r["congestion_index"] for r in facts_of(wh)] == [None]
-    assert [r["validation_error"] for r in wh.dead_letter_queue().collect()] == [
-        K.TRAFFIC_JOB_REASON
+    assert facts_of(wh) == []
+    assert sorted(r["validation_error"] for r in wh.dead_letter_queue().collect()) == [
+        "Missing required field: congestion_index", K.TRAFFIC_JOB_REASON,
     ]
     assert wh.fact("fact_gps_pings").count() == 0
 

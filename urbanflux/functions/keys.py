@@ -26,8 +26,15 @@ def clock() -> Column:
 
 
 def event_time(text: Column) -> Column:
-    """ISO text to a zone-less timestamp; null where the text is no timestamp."""
-    return text.try_cast("timestamp_ntz")
+    """ISO text to a zone-less timestamp; null where the text is none or lacks a full date.
+
+    Text with an offset or ``Z`` gives the UTC wall time of its instant, whatever the session zone.
+    """
+    dated = text.rlike(r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}")
+    zoned = text.rlike(r"\d[T ]\d[\d:.]*\s*(?:Z|[+-]\d{1,2}(?::\d{1,2})?)\s*$")
+    seconds = (F.unix_micros(text.try_cast("timestamp")) / F.lit(1_000_000)).cast("decimal(18,6)")
+    instant = F.expr(EPOCH) + F.make_dt_interval(secs=seconds)
+    return F.when(dated, F.when(zoned, instant).otherwise(text.try_cast("timestamp_ntz")))
 
 
 def date_key(ts: Column) -> Column:

@@ -29,16 +29,38 @@ class Counts:
         return Counts(self.read + other.read, self.written + other.written)
 
 
+class StepsFailed(Exception):
+    """Some steps of a job failed; ``counts`` are those of the steps that did not."""
+
+    def __init__(self, errors: list[Exception], counts: Counts):
+        super().__init__("; ".join(str(e) for e in errors))
+        self.errors, self.counts = errors, counts
+
+
+def run_steps(*steps: Callable[[], Counts]) -> Counts:
+    """Run independent steps one after the other; what fails is raised after the last one."""
+    counts, errors = Counts(), []
+    for step in steps:
+        try:
+            counts += step()
+        except Exception as error:
+            log.exception("a step failed")
+            errors.append(error)
+    if errors:
+        raise StepsFailed(errors, counts) from errors[0]
+    return counts
+
+
 def run_audited(
     spark: SparkSession,
     job_name: str,
     job: Callable[[], Counts],
     append: Callable[[DataFrame], None],
-) -> Counts | None:
+) -> Counts:
     """Run ``job`` between a STARTED row and a SUCCESS or FAILED row.
 
-    A failure is logged and recorded, not raised, so that the next job still runs; the
-    result is then None.
+    A failure is recorded, with the counts of the steps that succeeded, and raised again, so that
+    a scheduler sees it.
     """
     run_id, start = uuid.uuid4().hex, utc_now()
 
@@ -52,9 +74,9 @@ def run_audited(
     try:
         counts = job()
     except Exception as error:
-        log.exception("%s failed", job_name)
-        record(K.FAILED, utc_now(), Counts(), str(error))
-        return None
+        done = error.counts if isinstance(error, StepsFailed) else Counts()
+        record(K.FAILED, utc_now(), done, str(error))
+        raise
     record(K.SUCCESS, utc_now(), counts, None)
     return counts
 

@@ -22,7 +22,8 @@ def assign_surrogate_keys(
 
     The rows are range-partitioned and sorted once and written with their place inside the
     partition; the partition offsets come from a count per partition, one row each, which is
-    all that is ever ordered globally or broadcast.
+    all that is ever ordered globally or broadcast. Rows that are equal in ``order_by`` share a
+    partition, so add a tie-break where a few values hold most of the rows.
     """
     placed = materialize(
         df.repartitionByRange(*order_by)
@@ -30,6 +31,11 @@ def assign_surrogate_keys(
         .withColumn("_place", F.monotonically_increasing_id()),
         "keys",
     )
+    return number_places(placed, key, start)
+
+
+def number_places(placed: DataFrame, key: str, start: int = 0) -> DataFrame:
+    """Turn ``_place`` (a ``monotonically_increasing_id``) into ``key``: ``start+1, start+2, …``."""
     part = F.shiftright("_place", _PLACE_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -39,6 +45,7 @@ def assign_surrogate_keys(
     )
     place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    columns = [c for c in placed.columns if c != "_place"]
     return numbered.select(
-        (F.lit(start) + F.col("_offset") + place + 1).cast("long").alias(key), *df.columns
+        (F.lit(start) + F.col("_offset") + place + 1).cast("long").alias(key), *columns
     )

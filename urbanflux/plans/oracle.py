@@ -479,11 +479,11 @@ FROM orders QUALIFY row_number() OVER (
 ORDER BY start_time DESC""",
     "stream_fact_ingest": f"""WITH {_TRAFFIC}, {_GPS}, {_SENSORS}, {_VEHICLES}
 SELECT 'traffic' AS feed, s.sensor_key AS entity_key, {_keys("t.ts")}, t.speed,
-  t.ts AS record_timestamp
+  t.ts AS record_timestamp, TRUE AS id_is_unique
 FROM traffic t JOIN sensors s ON s.sensor_id = t.sensor_id AND s.is_current
 WHERE t.strict_reason IS NULL
 UNION ALL
-SELECT 'gps', v.vehicle_key, {_keys("g.ts")}, g.speed, g.ts
+SELECT 'gps', v.vehicle_key, {_keys("g.ts")}, g.speed, g.ts, TRUE
 FROM gps g JOIN vehicles v ON v.vehicle_id = 'VH-' || g.user_id AND v.is_current
 WHERE g.reason IS NULL""",
     "stream_dead_letter_monitor": f"""WITH {_TRAFFIC}, {_GPS}, {_SENSORS}, {_VEHICLES},
@@ -495,4 +495,21 @@ letters AS (
 SELECT source_topic, validation_error, count(*) AS letters
 FROM letters WHERE validation_error IS NOT NULL GROUP BY ALL""",
     "stream_replay": f"WITH {_TRAFFIC}, {_SENSORS} {_FACTS}",
+    "stream_constraint_check": f"""WITH {_TRAFFIC}, {_SENSORS}
+SELECT CASE WHEN job_invalid THEN '{K.TRAFFIC_JOB_REASON}'
+  WHEN NOT EXISTS (SELECT 1 FROM sensors s WHERE s.sensor_id = traffic.sensor_id AND s.is_current)
+    THEN 'Unknown sensor_id'
+  WHEN congestion_index IS NULL THEN '{K.MISSING_FIELD_REASON}congestion_index'
+  WHEN bad_time THEN '{K.MISSING_FIELD_REASON}record_timestamp'
+  WHEN ts < '2024-01-01' OR ts >= '2024-01-15' THEN 'Unknown date_key'
+  ELSE 'stored' END AS outcome, count(*) AS messages
+FROM traffic GROUP BY ALL""",
+    "event_time_zones": f"""WITH timed AS (
+  SELECT event_id, CASE event_id % 6 WHEN 2 THEN ts - INTERVAL 5 HOUR
+    WHEN 3 THEN ts + INTERVAL 210 MINUTE WHEN 4 THEN date_trunc('day', ts) WHEN 5 THEN NULL
+    ELSE ts END AS record_timestamp FROM events)
+SELECT event_id, record_timestamp, {_keys("record_timestamp")} FROM timed""",
+    "audit_failed_job": f"""SELECT '{K.HOURLY_JOB}' AS job_name, '{K.FAILED}' AS status,
+  count(*) AS records_read, count(*) AS records_written,
+  'landing unreadable' AS error_message FROM lineitem""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from urbanflux import constants as K
 from urbanflux import schemas
 from urbanflux.functions.keys import clock, moment, utc_now
 from urbanflux.functions.rules import incident_rules, weather_rules
-from urbanflux.operators.audit import Counts, run_audited
+from urbanflux.operators.audit import Counts, run_audited, run_steps
 from urbanflux.operators.dedupe import new_incidents
 from urbanflux.operators.enrich import attach_surrogate
 from urbanflux.operators.facts import INCIDENT_COLUMNS, incident_facts, weather_facts
@@ -92,7 +93,7 @@ def run_scd2(
     vehicles: DataFrame | None = None,
     now: datetime | None = None,
 ) -> None:
-    """Merge both dimensions, audited one by one; a failure of one does not stop the other.
+    """Merge both dimensions, audited one by one; a failure of one is raised after the other ran.
 
     Sources default to the operational tables of the warehouse; pass JDBC frames to read
     them from a database.
@@ -101,19 +102,21 @@ def run_scd2(
         (K.SENSORS_JOB, sensors, "sensors", "dim_sensors", SENSORS),
         (K.VEHICLES_JOB, vehicles, "vehicles", "dim_vehicles", VEHICLES),
     )
-    for job, source, operational, dimension, spec in jobs:
 
-        def merge(source=source, operational=operational, dimension=dimension, spec=spec):
+    def audited(job, source, operational, dimension, spec):
+        def merge() -> Counts:
             rows = wh.operational(operational).current(wh.spark) if source is None else source
             return merge_dimension(wh, rows, dimension, spec, now)
 
-        run_audited(wh.spark, job, merge, wh.append_audit)
+        return lambda: run_audited(wh.spark, job, merge, wh.append_audit)
+
+    run_steps(*(audited(*job) for job in jobs))
 
 
 def run_daily(
     wh: Warehouse, routes: DataFrame, vehicles: DataFrame, now: datetime | None = None
 ) -> None:
-    """Apply the schedule and vehicle deltas, then merge the dimensions."""
+    """Apply the schedule and vehicle deltas, then merge the dimensions; a failure is raised."""
 
     def deltas() -> Counts:
         interval, assignment = ["schedule_interval_minutes"], ["assigned_route_id", "status"]
@@ -121,8 +124,8 @@ def run_daily(
             wh, "vehicles", vehicles, "vehicle_id", assignment, now
         )
 
-    if run_audited(wh.spark, K.DAILY_JOB, deltas, wh.append_audit) is not None:
-        run_scd2(wh, now=now)
+    run_audited(wh.spark, K.DAILY_JOB, deltas, wh.append_audit)
+    run_scd2(wh, now=now)
 
 
 # ------------------------------------------------------------------------------- hourly
@@ -183,14 +186,15 @@ def load_incidents(
     """
     landed = read_landing_json(wh.spark, path, schemas.INCIDENT_LANDING)
     checked = materialize(mark_faults(landed, incident_rules()), "incidents")
-    reports = incident_facts(valid_rows(checked), keep=("landed_order",))
+    placed = incident_facts(valid_rows(checked), keep=("landed_order",))
+    dated = materialize(_with_calendar_check(wh, placed), "incidents")
+    reports = valid_rows(dated)
     stored = wh.fact("fact_incident_reports").filter(F.col("run_id") != run_id)
     if "record_timestamp" in dedupe_keys:
-        days = reports.select("date_key").distinct().collect()  # at most the calendar's days
-        stored = stored.filter(F.col("date_key").isin([d["date_key"] for d in days]))
+        days = reports.select("date_key").distinct()  # in the calendar, so no more than its days
+        stored = stored.join(F.broadcast(days), "date_key", "left_semi")
     fresh = new_incidents(reports, stored, ["landed_order"], dedupe_keys)
-    dated = materialize(_with_calendar_check(wh, fresh.drop("landed_order")), "incidents")
-    facts = valid_rows(dated)
+    facts = materialize(fresh.drop("landed_order", "validation_error"), "incidents")
     start = wh.reserve_ids("fact_incident_reports", run_id, facts.count(), K.FIRST_INCIDENT_ID)
     written = overwrite_counted(
         assign_surrogate_keys(facts, INCIDENT_COLUMNS, "incident_id", start),
@@ -211,12 +215,15 @@ def run_hourly(
 ) -> None:
     """Load both landing folders under one audit row whose counts are the sums.
 
-    ``run_id`` names the scheduled hour; running it again replaces what it wrote.
+    The loads do not depend on each other: both run, and then what failed is raised. ``run_id``
+    names the scheduled hour; running it again replaces what it wrote.
     """
 
     def load() -> Counts:
-        weather = load_weather(wh, weather_path, run_id, now)
-        return weather + load_incidents(wh, incident_path, run_id)
+        return run_steps(
+            lambda: load_weather(wh, weather_path, run_id, now),
+            lambda: load_incidents(wh, incident_path, run_id),
+        )
 
     run_audited(wh.spark, K.HOURLY_JOB, load, wh.append_audit)
 
@@ -250,6 +257,8 @@ def start_streams(
             dead_letter_topic=dead_letter,
             profile=profile,
             on_unmatched=on_unmatched,
+            read_calendars=wh.calendars,
+            stream_number=cache(partial(wh.stream_number, fact)),
         )
         checkpoint = f"{checkpoint_root}/{feed.name}-{stream_id}"
         queries.append(job.start(topic.read(wh.spark), checkpoint, available_now))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from urbanflux import constants as K
@@ -13,7 +14,7 @@ from urbanflux import schemas
 from urbanflux.functions.buckets import congestion_index, is_peak
 from urbanflux.functions.keys import event_time, moment, with_calendar_keys
 from urbanflux.functions.rules import gps_rules, incident_rules, traffic_rules
-from urbanflux.operators.audit import Counts, latest_state, run_audited
+from urbanflux.operators.audit import Counts, StepsFailed, latest_state, run_audited, run_steps
 from urbanflux.operators.dedupe import new_incidents
 from urbanflux.operators.enrich import (
     attach_surrogate,
@@ -44,7 +45,7 @@ from urbanflux.operators.windows import collapse_instants, next_event_time
 from urbanflux.plans import derived, kpis, views
 from urbanflux.plans.derived import table
 from urbanflux.session import materialize, scratch_path
-from urbanflux.sources.calendar import dim_date_covering, dim_time
+from urbanflux.sources.calendar import dim_date, dim_date_covering, dim_time
 from urbanflux.sources.streams import Topic
 from urbanflux.sources.tables import append_table, read_table
 from urbanflux.streaming.ingest import GPS, TRAFFIC, IngestJob, checked_readings
@@ -158,6 +159,22 @@ def date_time_keys(spark, sf):
     return with_calendar_keys(timed).select("event_id", "record_timestamp", "date_key", "time_key")
 
 
+def event_time_zones(spark, sf):
+    """Event times as texts with and without offset, without time, and without day."""
+    iso = F.date_format("ts", derived.ISO_MICROS)
+    texts = [
+        iso,
+        F.concat(iso, F.lit("Z")),
+        F.concat(iso, F.lit("+05:00")),
+        F.concat(iso, F.lit("-03:30")),
+        F.date_format("ts", "yyyy-MM-dd"),
+        F.date_format("ts", "yyyy-MM"),
+    ]
+    text = F.element_at(F.array(*texts), (F.col("event_id") % len(texts)).cast("int") + 1)
+    events = table(spark, sf, "events").select("event_id", event_time(text).alias("record_timestamp"))
+    return with_calendar_keys(events)
+
+
 def dim_date_usage(spark, sf):
     orders = table(spark, sf, "orders")
     keyed = with_calendar_keys(orders, "o_orderdate")
@@ -477,6 +494,25 @@ def audit_counts(spark, sf):
     return runs.select("job_name", "status", "records_read", "records_written", "error_message")
 
 
+def audit_failed_job(spark, sf):
+    """A job of two steps, one of which fails: its row has the counts of the other."""
+    path = scratch_path(spark, "audit")
+
+    def good():
+        reports = table(spark, sf, "lineitem").count()
+        return Counts(reports, reports)
+
+    def bad():
+        raise ValueError("landing unreadable")
+
+    with contextlib.suppress(StepsFailed):
+        run_audited(
+            spark, K.HOURLY_JOB, lambda: run_steps(bad, good), lambda e: append_table(e, path)
+        )
+    runs = latest_state(read_table(spark, path, schemas.ETL_AUDIT_LOG))
+    return runs.select("job_name", "status", "records_read", "records_written", "error_message")
+
+
 def audit_latest(spark, sf):
     """Orders as run events: the last order of a customer is the state of that run."""
     status = (
@@ -501,7 +537,7 @@ def _topic(messages: DataFrame, name: str, root: str, files_per_batch: int | Non
     """Lay the messages out as a folder topic."""
     options = {} if files_per_batch is None else {"maxFilesPerTrigger": str(files_per_batch)}
     topic = Topic(name, "text", f"{root}/{name}", options)
-    topic.publish(messages.select("value"), "landed")
+    topic.publish(messages.select("value").repartition(4), "landed")
     return topic
 
 
@@ -531,14 +567,40 @@ def stream_fact_ingest(spark, sf):
         query.awaitTermination()
     readings = read_table(spark, f"{root}/facts-traffic", schemas.FACT_TRAFFIC_READINGS)
     pings = read_table(spark, f"{root}/facts-gps", schemas.FACT_GPS_PINGS)
-    key = ["date_key", "time_key", "speed", "record_timestamp"]
-    return readings.select(
-        F.lit("traffic").alias("feed"), F.col("sensor_key").alias("entity_key"), *key
-    ).unionByName(
-        pings.select(F.lit("gps").alias("feed"), F.col("vehicle_key").alias("entity_key"), *key)
+    shared = ["date_key", "time_key", "speed", "record_timestamp"]
+
+    def shown(facts, feed, key, number):
+        alone = F.count("*").over(Window.partitionBy(number)) == 1
+        names = [F.lit(feed).alias("feed"), F.col(key).alias("entity_key")]
+        return facts.select(*names, *shared, alone.alias("id_is_unique"))
+
+    return shown(readings, "traffic", "sensor_key", "reading_id").unionByName(
+        shown(pings, "gps", "vehicle_key", "ping_id")
     )
 
 
+def stream_constraint_check(spark, sf):
+    """Lenient readings against the constraints of their table and a calendar that ends early."""
+    root, events = scratch_path(spark, "stream"), table(spark, sf, "events")
+    topic = _topic(derived.traffic_messages(events), K.TRAFFIC_TOPIC, root, 2)
+    days = dim_date(spark, "2024-01-01", "2024-01-14")
+    job = IngestJob(
+        feed=TRAFFIC,
+        stream_id="traffic-1",
+        read_dimension=lambda: _sensors(spark, sf),
+        fact_path=f"{root}/facts",
+        dead_letter_path=f"{root}/dead",
+        profile="job",
+        read_calendars=lambda: (days, dim_time(spark)),
+    )
+    job.start(topic.read(spark), f"{root}/progress", available_now=True).awaitTermination()
+    letters = read_table(spark, f"{root}/dead", schemas.DEAD_LETTER_QUEUE)
+    facts = read_table(spark, f"{root}/facts", schemas.FACT_TRAFFIC_READINGS)
+    outcome = letters.select(F.col("validation_error").alias("outcome"))
+    outcome = outcome.unionByName(facts.select(F.lit("stored").alias("outcome")))
+    return outcome.groupBy("outcome").agg(F.count("*").alias("messages"))
+
+
 def stream_dead_letter_monitor(spark, sf):
     """Dead letters of both feeds travel through their topic to the monitor's counts."""
     root, events = scratch_path(spark, "stream"), table(spark, sf, "events")
@@ -568,11 +630,14 @@ def stream_dead_letter_monitor(spark, sf):
 
 
 def stream_replay(spark, sf):
-    """The same batch processed twice leaves one copy."""
+    """The same micro-batch processed twice, as after a crash, leaves one copy."""
     root, events = scratch_path(spark, "stream"), table(spark, sf, "events")
-    topic = _topic(derived.traffic_messages(events), K.TRAFFIC_TOPIC, root)
-    for progress in ("progress-lost", "progress-again"):
-        _ingest(spark, sf, root, TRAFFIC, topic, "traffic-1", progress).awaitTermination()
+    job = IngestJob(
+        TRAFFIC, "traffic-1", lambda: _sensors(spark, sf), f"{root}/facts-traffic", f"{root}/dead"
+    )
+    batch = materialize(derived.traffic_messages(events).select("value"), "messages")
+    for _ in range(2):
+        job.process(batch, 0)
     facts = read_table(spark, f"{root}/facts-traffic", schemas.FACT_TRAFFIC_READINGS)
     return facts.select(*TRAFFIC_COLUMNS)
 
@@ -623,5 +688,8 @@ QUERIES: dict[str, Query] = {
     "audit_latest": audit_latest,
     "stream_fact_ingest": stream_fact_ingest,
     "stream_dead_letter_monitor": stream_dead_letter_monitor,
+    "stream_constraint_check": stream_constraint_check,
     "stream_replay": stream_replay,
+    "event_time_zones": event_time_zones,
+    "audit_failed_job": audit_failed_job,
 }

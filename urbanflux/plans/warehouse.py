@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from urbanflux import schemas
@@ -72,6 +73,20 @@ class Warehouse:
         append_table(self.spark.createDataFrame([(run_id, last + n)], layout).coalesce(1), path)
         return last
 
+    def stream_number(self, name: str, stream: str) -> int:
+        """The number of a stream among those that write to a fact; one row per checkpoint."""
+        known = read_table(
+            self.spark,
+            f"{self.root}/reserved_ids/streams-{name}",
+            schemas.columns("run_id string, last_id long"),
+        )
+        own = known.filter(F.col("run_id") == stream).agg(F.min("last_id").alias("n")).first()["n"]
+        return self.reserve_ids(f"streams-{name}", stream, 1) if own is None else own - 1
+
+    def calendars(self) -> tuple[DataFrame, DataFrame]:
+        days, minutes = (self.dimension(n).current(self.spark) for n in ("dim_date", "dim_time"))
+        return days, minutes
+
     @property
     def dead_letter_path(self) -> str:
         return f"{self.root}/dead_letter_queue"

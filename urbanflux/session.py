@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +19,6 @@ SESSION_DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
-_SCRATCH_FOLDERS: dict[str, str] = {}
-
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; keyword arguments use ``__`` for dots."""
@@ -38,17 +35,11 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without that setting (tests) gets a temporary folder.
+    A session without that setting uses a folder below its SQL warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _SCRATCH_FOLDERS:
-        _SCRATCH_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="urbanflux-")
-    return _SCRATCH_FOLDERS[context.applicationId]
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

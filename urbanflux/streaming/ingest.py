@@ -13,10 +13,12 @@ from pyspark.sql.types import StructType
 
 from urbanflux import constants as K
 from urbanflux import schemas
-from urbanflux.functions.keys import clock
+from urbanflux.functions.keys import clock, event_time, with_calendar_keys
 from urbanflux.functions.rules import Rule, gps_rules, traffic_rules
 from urbanflux.operators.enrich import attach_surrogate, mark_unknown
-from urbanflux.operators.facts import gps_facts, traffic_facts
+from urbanflux.operators.facts import GPS_COLUMNS, TRAFFIC_COLUMNS, gps_facts, traffic_facts
+from urbanflux.operators.integrity import mark_missing, mark_unknown_calendar
+from urbanflux.operators.surrogate import number_places
 from urbanflux.operators.validate import (
     as_json_messages,
     dead_letters,
@@ -29,6 +31,8 @@ from urbanflux.sources.streams import Topic
 from urbanflux.sources.tables import overwrite_folder
 
 UNMATCHED = ("dead_letter", "drop")
+#: Ids of streamed facts: the stream's number, the micro-batch, the place of the row (63 bits).
+STREAM_BITS, BATCH_BITS, ROW_BITS = 9, 24, 30
 
 
 @dataclass(frozen=True)
@@ -43,15 +47,18 @@ class Feed:
     surrogate_key: str
     facts: Callable[[DataFrame], DataFrame]
     fact_key: str
+    required: tuple[str, ...]
 
 
 TRAFFIC = Feed(
     "traffic", K.TRAFFIC_TOPIC, schemas.TRAFFIC_PAYLOAD, traffic_rules,
     "sensor_id", "sensor_key", traffic_facts, "reading_id",
+    tuple(c for c in TRAFFIC_COLUMNS if not c.endswith("_key")),
 )
 GPS = Feed(
     "gps", K.GPS_TOPIC, schemas.GPS_PAYLOAD, gps_rules,
     "vehicle_id", "vehicle_key", gps_facts, "ping_id",
+    tuple(c for c in GPS_COLUMNS if not c.endswith("_key")),
 )
 
 
@@ -69,7 +76,12 @@ def checked_readings(
     if on_unmatched not in UNMATCHED:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED}, not {on_unmatched!r}")
     parsed = mark_faults(parse_payloads(messages, feed.schema), feed.rules(profile))
-    matched = attach_surrogate(parsed, dimension, feed.natural_key, feed.surrogate_key)
+    # A faulty row needs no surrogate. No key of its own gathers all of them in the join.
+    lookup = F.when(F.col("validation_error").isNull(), F.col(feed.natural_key))
+    spread = F.concat_ws("-", F.lit("\x00"), F.spark_partition_id(), F.xxhash64("raw_payload") % 64)
+    keyed = parsed.withColumn("_lookup", F.coalesce(lookup, spread))
+    entities = dimension.withColumnRenamed(feed.natural_key, "_lookup")
+    matched = attach_surrogate(keyed, entities, "_lookup", feed.surrogate_key).drop("_lookup")
     if on_unmatched == "dead_letter":
         return mark_unknown(matched, feed.natural_key, feed.surrogate_key)
     known = F.col(feed.surrogate_key).isNotNull() | F.col("validation_error").isNotNull()
@@ -80,10 +92,15 @@ def checked_readings(
 class IngestJob:
     """Where one feed's output goes.
 
-    ``read_dimension`` is called for every micro-batch, so new versions are seen. Facts and
-    dead letters of a micro-batch live in a folder of their own, named by stream and batch,
-    and are replaced as a whole: a repeated batch leaves exactly one copy. ``stream_id`` must
-    change whenever the checkpoint location does, because batch numbers then start anew.
+    ``read_dimension`` and ``read_calendars`` (days and minutes) are called for every
+    micro-batch, so new versions are seen. Facts and dead letters of a micro-batch live in a
+    folder of their own, named by stream and batch, and are replaced as a whole: a repeated batch
+    leaves exactly one copy. The stream's name ends in the id that Spark keeps in the
+    checkpoint, so a new checkpoint never replaces what an earlier one has stored.
+
+    Facts lacking a value that the table requires, or outside the calendars, become dead letters
+    in every profile. Ids are unique over all batches and streams: ``stream_number`` gives each
+    stream a number of its own.
     """
 
     feed: Feed
@@ -94,17 +111,40 @@ class IngestJob:
     dead_letter_topic: Topic | None = None
     profile: str = "strict"
     on_unmatched: str = "dead_letter"
+    read_calendars: Callable[[], tuple[DataFrame, DataFrame]] | None = None
+    stream_number: Callable[[str], int] = lambda stream: 0
 
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        place = f"stream_id={self.stream_id}/batch_id={batch_id}"
-        checked = checked_readings(
+    def checked(self, batch: DataFrame) -> DataFrame:
+        """Parsed messages with their fact columns and ``validation_error``."""
+        rows = checked_readings(
             batch, self.feed, self.read_dimension(), self.profile, self.on_unmatched
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        shown = [c for c in rows.columns if c not in (*TRAFFIC_COLUMNS, *GPS_COLUMNS)]
+        facts = F.struct(*self.feed.facts(rows).columns)
+        dated = with_calendar_keys(
+            rows.withColumn("record_timestamp", event_time(F.col("timestamp")))
+        )
+        dated = mark_missing(dated.select(*shown, facts.alias("fact")), "fact", self.feed.required)
+        if self.read_calendars is not None:
+            dated = mark_unknown_calendar(dated, "fact", *self.read_calendars())
+        return dated
+
+    def first_id(self, stream: str, batch_id: int) -> int:
+        number = self.stream_number(stream)
+        if number >> STREAM_BITS or batch_id >> BATCH_BITS:
+            raise ValueError(f"no ids left for batch {batch_id} of stream {number}")
+        return (number << BATCH_BITS | batch_id) << ROW_BITS
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        kept = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stream = f"{self.stream_id}-{kept}" if kept else self.stream_id
+        place = f"stream_id={stream}/batch_id={batch_id}"
+        checked = self.checked(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            facts = self.feed.facts(valid_rows(checked))
-            numbered = facts.select(
-                F.monotonically_increasing_id().alias(self.feed.fact_key), *facts.columns
-            )
+            facts = valid_rows(checked).select("fact.*", F.monotonically_increasing_id().alias("_place"))
+            if facts.count() >> ROW_BITS:
+                raise ValueError(f"more than {1 << ROW_BITS} facts in one micro-batch")
+            numbered = number_places(facts, self.feed.fact_key, self.first_id(stream, batch_id))
             overwrite_folder(numbered, f"{self.fact_path}/{place}", ("date_key",))
 
             letters = dead_letters(faulty_rows(checked), self.feed.topic)
@@ -112,7 +152,7 @@ class IngestJob:
             overwrite_folder(stamped, f"{self.dead_letter_path}/{place}")
             if self.dead_letter_topic is not None:
                 self.dead_letter_topic.publish(
-                    as_json_messages(letters), f"{self.stream_id}-{batch_id}"
+                    as_json_messages(letters), f"{stream}-{batch_id}"
                 )
         finally:
             checked.unpersist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,8 +41,12 @@ def start_monitor(
     """Write alert lines and per-batch counts, one folder per micro-batch."""
 
     def alert(batch: DataFrame, batch_id: int) -> None:
-        alert_lines(batch).write.mode("overwrite").text(f"{alert_path}/batch_id={batch_id}")
-        overwrite_folder(counts_by_reason(batch), f"{count_path}/batch_id={batch_id}")
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read the source once
+        try:
+            alert_lines(kept).write.mode("overwrite").text(f"{alert_path}/batch_id={batch_id}")
+            overwrite_folder(counts_by_reason(kept), f"{count_path}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
 
     writer = (
         messages.writeStream.queryName("dead-letter-monitor")
