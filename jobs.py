@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import json
+import os
+from pathlib import Path
 
 from urbanflux import constants as K
 from urbanflux.plans.pipelines import (
@@ -31,9 +34,12 @@ def parser() -> argparse.ArgumentParser:
 
     scd2 = jobs.add_parser("scd2", help="merge sensors and vehicles into their dimensions")
     scd2.add_argument("--jdbc-url", help="read the operational tables from this database")
-    scd2.add_argument("--user")
-    scd2.add_argument("--password")
+    scd2.add_argument("--jdbc-options", help="JSON file of connector options: user, fetchsize, …")
     scd2.add_argument("--schema", default="oltp")
+    scd2.add_argument("--partition-column", help="read in parallel by this numeric or time column")
+    scd2.add_argument("--lower")
+    scd2.add_argument("--upper")
+    scd2.add_argument("--partitions", type=int, default=1)
 
     daily = jobs.add_parser("daily", help="apply parquet deltas, then merge the dimensions")
     daily.add_argument("routes")
@@ -57,9 +63,15 @@ def parser() -> argparse.ArgumentParser:
     return root
 
 
-def _database_table(spark, args, name):
-    login = {"user": args.user or "", "password": args.password or ""}
-    return read_jdbc(spark, JdbcTable(args.jdbc_url, f"{args.schema}.{name}", login))
+def database_table(args, name) -> JdbcTable:
+    """The password comes from ``JDBC_PASSWORD`` or the options file, not the command line."""
+    options = json.loads(Path(args.jdbc_options).read_text()) if args.jdbc_options else {}
+    if "JDBC_PASSWORD" in os.environ:
+        options["password"] = os.environ["JDBC_PASSWORD"]
+    return JdbcTable(
+        args.jdbc_url, f"{args.schema}.{name}", options,
+        args.partition_column, args.lower, args.upper, args.partitions,
+    )
 
 
 def run(spark, args) -> None:
@@ -68,8 +80,7 @@ def run(spark, args) -> None:
         set_up_calendar(wh, args.first_day, args.last_day)
     elif args.job == "scd2":
         if args.jdbc_url:
-            run_scd2(wh, _database_table(spark, args, "sensors"),
-                     _database_table(spark, args, "vehicles"))
+            run_scd2(wh, *(read_jdbc(spark, database_table(args, n)) for n in ("sensors", "vehicles")))
         else:
             run_scd2(wh)
     elif args.job == "daily":

@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from jobs import parser, run
+from jobs import database_table, parser, run
 from urbanflux import schemas
 from urbanflux.plans.pipelines import load_seed
 from urbanflux.plans.warehouse import Warehouse
@@ -24,3 +24,17 @@ def test_calendar_merge_and_view(spark, folder):
     assert wh.dimension("dim_date").current(spark).count() == 3
     assert wh.current_dimension("dim_sensors").first()["sensor_id"] == "S1"
     assert "congestion_level" in spark.read.parquet(f"{folder}/view").columns
+
+
+def test_database_options_keep_the_password_off_the_command_line(folder, monkeypatch):
+    path = f"{folder}/options.json"
+    with open(path, "w") as file:
+        file.write('{"user": "u", "fetchsize": "5000"}')
+    monkeypatch.setenv("JDBC_PASSWORD", "secret")
+    line = f"--warehouse w scd2 --jdbc-url jdbc:x:y --jdbc-options {path} --partition-column id"
+    args = parser().parse_args([*line.split(), "--lower", "0", "--upper", "9", "--partitions", "4"])
+    assert database_table(args, "sensors").options() == {
+        "url": "jdbc:x:y", "dbtable": "oltp.sensors", "user": "u", "fetchsize": "5000",
+        "password": "secret", "partitionColumn": "id", "lowerBound": "0", "upperBound": "9",
+        "numPartitions": "4",
+    }

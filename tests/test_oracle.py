@@ -4,7 +4,9 @@ import pytest
 from conftest import SF
 from oracle_check import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from urbanflux.plans.oracle import ORACLE
+from urbanflux.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,12 +15,12 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, connection, name):
-    assert differences(queries()[name](spark, SF), connection, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF), connection, ORACLE[name]) == []
 
 
 def test_entry(spark):

@@ -6,16 +6,19 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from urbanflux import schemas
 from urbanflux.functions.rules import traffic_rules
 from urbanflux.operators.dedupe import first_per_key
 from urbanflux.operators.validate import faulty_rows, mark_faults, parse_payloads
 from urbanflux.plans import views
+from urbanflux.plans.queries import QUERIES
 from urbanflux.plans.views import Star
 from urbanflux.sources.calendar import dim_date, dim_time
 
-EAGER = {"audit_counts", "stream_fact_ingest", "stream_dead_letter_monitor", "stream_replay"}
+EAGER = {
+    "audit_counts", "audit_failed_job", "stream_constraint_check", "stream_dead_letter_monitor",
+    "stream_fact_ingest", "stream_replay",
+}
 
 
 def plan(df):
@@ -33,16 +36,26 @@ def no_small_tables(spark):
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_cross_joins_and_no_python_rows(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", text)
 
 
+@pytest.mark.parametrize(
+    "name,table",
+    [("referential_check", "lineitem"), ("next_ping", "events"), ("incident_dedupe", "lineitem"),
+     ("partial_update_upsert", "orders"), ("scd1_upsert", "lineitem")],
+)
+def test_large_inputs_are_scanned_once(spark, name, table):
+    """After what the query has written, the plan reads the table once at most."""
+    assert plan(QUERIES[name](spark, SF)).count(f"/{table}.parquet") <= 1
+
+
 def test_entity_dimensions_are_not_broadcast_beyond_the_threshold(spark, no_small_tables):
-    joined = plan(queries()["fact_load"](spark, SF))
+    joined = plan(QUERIES["fact_load"](spark, SF))
     assert "SortMergeJoin" in joined and "BroadcastHashJoin" not in joined
-    congestion = plan(queries()["congestion_view"](spark, SF))
+    congestion = plan(QUERIES["congestion_view"](spark, SF))
     # the two calendars are hinted, the sensors are not
     assert congestion.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in congestion
 
@@ -55,7 +68,7 @@ def test_results_do_not_depend_on_the_join_strategy(spark, no_small_tables):
     connection = connect(SF)
     for name in ("fact_load", "punctuality_view", "travel_time_view", "incident_dedupe",
                  "referential_check", "partial_update_upsert", "scd2_classify"):
-        assert differences(queries()[name](spark, SF), connection, oracle_sql()[name]) == []
+        assert differences(QUERIES[name](spark, SF), connection, oracle_sql()[name]) == []
 
 
 def test_a_message_is_parsed_once(spark, folder):
@@ -80,9 +93,9 @@ def test_facts_are_pruned_by_day_and_column(spark, folder):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(queries()["scd2_classify"](spark, SF))
+    text = plan(QUERIES["scd2_classify"](spark, SF))
     assert "PushedFilters: [IsNotNull(c_acctbal), GreaterThanOrEqual(c_acctbal,0.0)]" in text
-    text = plan(queries()["primary_key_check"](spark, SF))
+    text = plan(QUERIES["primary_key_check"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanflux.session import materialize
+
 
 def _one_per_key(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
     # An aggregate, not a ranked window: copies collapse before the shuffle, so a key that
@@ -45,5 +47,9 @@ def new_incidents(
     order: list[str],
     keys: tuple[str, ...] = ("location_name", "record_timestamp"),
 ) -> DataFrame:
-    """First report per place and instant that is not stored yet."""
-    return absent_from(first_per_key(reports, list(keys), order), stored, list(keys))
+    """First report per place and instant that is not stored yet.
+
+    The firsts, which are asked for their keys and for their rows, are written once.
+    """
+    firsts = materialize(first_per_key(reports, list(keys), order), "firsts")
+    return absent_from(firsts, stored, list(keys))

@@ -71,7 +71,8 @@ def _pair(
 ) -> DataFrame:
     """One row per natural key: ``new`` struct, ``old`` struct, ``change_type``."""
     order = [c for c in spec.source_order if c in source.columns]
-    picked = source.select(spec.natural_key, *spec.attributes, *order)
+    # a null key matches no version and would open one with every merge
+    picked = source.select(spec.natural_key, *spec.attributes, *order).dropna(subset=[spec.natural_key])
     incoming = last_per_key(picked, [spec.natural_key], order)
     new = incoming.select(spec.natural_key, F.struct(*spec.attributes).alias("new"))
     old = current_versions(dimension)
@@ -107,7 +108,7 @@ def scd2_merge(
     """Close changed versions at ``effective`` and open new ones from it.
 
     Validity is half-open, ``[start_date, end_date)``. Entities gone from the source keep
-    their current version. One join of source and current versions feeds everything.
+    their current version. Source rows without a natural key are left out. One join of source and current versions feeds everything.
     """
     paired = materialize(_pair(source, dimension, spec, null_safe, "full_outer"), "scd2")
     counts = {r["change_type"]: r["n"] for r in paired.groupBy("change_type").agg(

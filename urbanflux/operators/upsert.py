@@ -9,6 +9,7 @@ from urbanflux import constants as K
 from urbanflux.functions.buckets import station_name
 from urbanflux.operators.dedupe import absent_from, first_per_key, last_per_key
 from urbanflux.operators.surrogate import assign_surrogate_keys, highest_key
+from urbanflux.session import materialize
 
 
 def upsert(
@@ -22,8 +23,10 @@ def upsert(
 
     Columns the delta lacks stay null on insert. The last delta row per key by
     ``delta_order`` wins. A delta under the broadcast threshold leaves the target unshuffled.
+    Rows with a null key match nothing and are left out. The delta is evaluated and written once.
     """
-    delta = last_per_key(delta, keys, delta_order or [])
+    keyed = delta.dropna(subset=keys)
+    delta = materialize(last_per_key(keyed, keys, delta_order or []), "delta")
     for column in set(target.columns) - set(delta.columns):
         delta = delta.withColumn(column, F.lit(None).cast(target.schema[column].dataType))
     changes = delta.select(*keys, F.struct(*update).alias("_new"))
@@ -44,8 +47,11 @@ def upsert(
 def insert_if_absent(
     target: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None
 ) -> DataFrame:
-    """Add the rows whose key the target lacks; the first row per key wins."""
-    firsts = first_per_key(rows, keys, order or [])
+    """Add the rows whose key the target lacks; the first row per key wins.
+
+    Rows with a null key, which would be added again each time, are left out.
+    """
+    firsts = materialize(first_per_key(rows.dropna(subset=keys), keys, order or []), "firsts")
     return target.unionByName(absent_from(firsts, target, keys).select(*target.columns))
 
 
@@ -60,7 +66,8 @@ def upsert_stations(
     Names are derived from the id and new stations get default coordinates, unless the
     operational ``reference`` table knows the station.
     """
-    reported = station_ids.select("station_id").distinct()
+    reported = station_ids.select("station_id").dropna().distinct()
+    reported = materialize(reported, "stations")  # reports are read once
     named = reported.select(
         "station_id",
         station_name(F.col("station_id")).alias("station_name"),

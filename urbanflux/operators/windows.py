@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanflux.functions.keys import time_chunk
+from urbanflux.session import materialize
 
 
 def collapse_instants(
@@ -28,8 +29,9 @@ def next_event_time(
     The window runs per entity and time slice. A slice learns of the entity's next slice
     through one extra row carrying that slice's first timestamp, found by a partial
     aggregate; the extra rows are dropped afterwards. Only one row per slice is ever ordered
-    per entity.
+    per entity. The input is written once, because both the slices and their firsts need it.
     """
+    df = materialize(df, "instants")
     sliced = df.withColumn("_chunk", time_chunk(F.col(ts), chunk_seconds))
     firsts = sliced.groupBy(key, "_chunk").agg(F.min(ts).alias("_first"))
     per_key = Window.partitionBy(key).orderBy("_chunk")

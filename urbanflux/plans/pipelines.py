@@ -68,13 +68,23 @@ def apply_delta(
     key: str,
     update: list[str],
     now: datetime | None = None,
+    references: tuple[ForeignKey, ...] = (),
 ) -> Counts:
-    """Upsert operational rows; known keys change in the ``update`` columns only."""
+    """Upsert operational rows; known keys change in the ``update`` columns only.
+
+    Rows without a key, or that refer to something the ``references`` lack, join the dead letters.
+    """
     target = wh.operational(table)
-    stamped = delta.withColumns({"created_at": _at(now), "updated_at": _at(now)})
+    checked = mark_orphans(delta, list(references)) if references else delta
+    orphan = F.col("fk_violations") if references else F.lit(None).cast("string")
+    missing = F.when(F.col(key).isNull(), F.lit(f"{K.MISSING_FIELD_REASON}{key}"))
+    error = F.coalesce(missing, F.concat(F.lit("Unknown "), orphan))
+    checked = materialize(checked.withColumn("validation_error", error).drop("fk_violations"), "delta")
+    good = valid_rows(checked).select(*delta.columns)
+    stamped = good.withColumns({"created_at": _at(now), "updated_at": _at(now)})
     target.commit(upsert(target.current(wh.spark), stamped, [key], [*update, "updated_at"]))
-    n = delta.count()
-    return Counts(read=n, written=n)
+    _reject(wh, faulty_rows(checked), table, (now or utc_now()).isoformat())
+    return Counts(read=checked.count(), written=good.count())
 
 
 def merge_dimension(
@@ -120,9 +130,10 @@ def run_daily(
 
     def deltas() -> Counts:
         interval, assignment = ["schedule_interval_minutes"], ["assigned_route_id", "status"]
-        return apply_delta(wh, "transit_routes", routes, "route_id", interval, now) + apply_delta(
-            wh, "vehicles", vehicles, "vehicle_id", assignment, now
-        )
+        done = apply_delta(wh, "transit_routes", routes, "route_id", interval, now)
+        known = wh.operational("transit_routes").current(wh.spark)
+        route = ForeignKey("assigned_route_id", known, "route_id")
+        return done + apply_delta(wh, "vehicles", vehicles, "vehicle_id", assignment, now, (route,))
 
     run_audited(wh.spark, K.DAILY_JOB, deltas, wh.append_audit)
     run_scd2(wh, now=now)
@@ -132,7 +143,7 @@ def run_daily(
 
 
 def _reject(wh: Warehouse, faulty: DataFrame, source: str, run_id: str) -> None:
-    """Rejected landing records join the dead letters as JSON."""
+    """Rejected records of a batch join the dead letters as JSON."""
     fields = [c for c in faulty.columns if c not in ("validation_error", "landed_order")]
     rows = faulty.select(F.to_json(F.struct(*fields)).alias("raw_payload"), "validation_error")
     letters = dead_letters(rows, source).withColumn("created_at", clock())

@@ -103,7 +103,7 @@ def _route_gaps(star: Star, order: list[str]) -> DataFrame:
     pings = star.fact_gps_pings.select("vehicle_key", "record_timestamp", *order)
 
     spans = pings.groupBy("vehicle_key").agg(
-        F.count("*").alias("n"),
+        F.count("record_timestamp").alias("n"),
         F.min("record_timestamp").alias("first"),
         F.max("record_timestamp").alias("last"),
     )
