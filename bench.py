@@ -1,7 +1,7 @@
 """Headline timings. Prints one JSON line; every query is run to completion without collecting.
 
 Environment: ``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_REPEAT``
-(default 3; the median counts, after one warm-up run), ``BENCH_QUERIES`` (comma-separated, or
+(default 2; the median counts, after one warm-up run), ``BENCH_QUERIES`` (comma-separated, or
 ``headline``; default all of the reference's queries).
 """
 
@@ -36,7 +36,7 @@ def seconds(action) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", DEFAULT_DIR)
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     chosen = os.environ.get("BENCH_QUERIES")
     names = HEADLINE if chosen == "headline" else chosen.split(",") if chosen else list(QUERIES)
     spark = build_session(
