@@ -9,6 +9,7 @@ from pathlib import Path
 
 from urbanflux import constants as K
 from urbanflux.plans.pipelines import (
+    compact_facts,
     run_daily,
     run_hourly,
     run_scd2,
@@ -50,6 +51,8 @@ def parser() -> argparse.ArgumentParser:
     hourly.add_argument("incidents")
     hourly.add_argument("run_id")
 
+    jobs.add_parser("compact", help="rewrite closed micro-batches into large files per day")
+
     for name, text in (("stream", "ingest both feeds"), ("monitor", "watch the dead letters")):
         stream = jobs.add_parser(name, help=text)
         stream.add_argument("--bootstrap-servers", required=True)
@@ -87,6 +90,8 @@ def run(spark, args) -> None:
         run_daily(wh, spark.read.parquet(args.routes), spark.read.parquet(args.vehicles))
     elif args.job == "hourly":
         run_hourly(wh, args.weather, args.incidents, args.run_id)
+    elif args.job == "compact":
+        compact_facts(wh)
     elif args.job == "view":
         VIEWS[args.name](wh.star()).write.mode("overwrite").parquet(args.target)
     else:

@@ -16,7 +16,7 @@ from urbanflux.plans.views import Star
 from urbanflux.sources.calendar import dim_date, dim_time
 
 EAGER = {
-    "audit_counts", "audit_failed_job", "stream_constraint_check", "stream_dead_letter_monitor",
+    "audit_counts", "audit_failed_job", "stream_compacted_facts", "stream_constraint_check", "stream_dead_letter_monitor",
     "stream_fact_ingest", "stream_replay",
 }
 

@@ -495,6 +495,7 @@ letters AS (
 SELECT source_topic, validation_error, count(*) AS letters
 FROM letters WHERE validation_error IS NOT NULL GROUP BY ALL""",
     "stream_replay": f"WITH {_TRAFFIC}, {_SENSORS} {_FACTS}",
+    "stream_compacted_facts": f"WITH {_TRAFFIC}, {_SENSORS} {_FACTS}",
     "stream_constraint_check": f"""WITH {_TRAFFIC}, {_SENSORS}
 SELECT CASE WHEN job_invalid THEN '{K.TRAFFIC_JOB_REASON}'
   WHEN NOT EXISTS (SELECT 1 FROM sensors s WHERE s.sensor_id = traffic.sensor_id AND s.is_current)

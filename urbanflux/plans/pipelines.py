@@ -242,6 +242,12 @@ def run_hourly(
 # ---------------------------------------------------------------------------- streaming
 
 
+def compact_facts(wh: Warehouse) -> dict[str, int]:
+    """Compact the closed micro-batches of all streamed facts; numbers of batches by fact."""
+    names = ("fact_traffic_readings", "fact_gps_pings")
+    return {name: wh.compacted(name).compact(wh.spark) for name in names}
+
+
 def start_streams(
     wh: Warehouse,
     traffic: Topic,

@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from urbanflux import constants as K
 from urbanflux import schemas
@@ -44,8 +45,10 @@ from urbanflux.operators.validate import (
 from urbanflux.operators.windows import collapse_instants, next_event_time
 from urbanflux.plans import derived, kpis, views
 from urbanflux.plans.derived import table
+from urbanflux.plans.warehouse import STREAMED
 from urbanflux.session import materialize, scratch_path
 from urbanflux.sources.calendar import dim_date, dim_date_covering, dim_time
+from urbanflux.sources.compaction import CompactedTable
 from urbanflux.sources.streams import Topic
 from urbanflux.sources.tables import append_table, read_table
 from urbanflux.streaming.ingest import GPS, TRAFFIC, IngestJob, checked_readings
@@ -579,6 +582,17 @@ def stream_fact_ingest(spark, sf):
     )
 
 
+def stream_compacted_facts(spark, sf):
+    """Readings ingested in several micro-batches, the closed ones compacted in between."""
+    root, events = scratch_path(spark, "stream"), table(spark, sf, "events")
+    topic = _topic(derived.traffic_messages(events), K.TRAFFIC_TOPIC, root, 1)
+    _ingest(spark, sf, root, TRAFFIC, topic, "traffic-1", "progress").awaitTermination()
+    layout = StructType([*schemas.FACT_TRAFFIC_READINGS.fields, *STREAMED.fields])
+    facts = CompactedTable(f"{root}/facts-traffic", f"{root}/compacted", layout)
+    facts.compact(spark)
+    return facts.read(spark).select(*TRAFFIC_COLUMNS)
+
+
 def stream_constraint_check(spark, sf):
     """Lenient readings against the constraints of their table and a calendar that ends early."""
     root, events = scratch_path(spark, "stream"), table(spark, sf, "events")
@@ -688,6 +702,7 @@ QUERIES: dict[str, Query] = {
     "audit_latest": audit_latest,
     "stream_fact_ingest": stream_fact_ingest,
     "stream_dead_letter_monitor": stream_dead_letter_monitor,
+    "stream_compacted_facts": stream_compacted_facts,
     "stream_constraint_check": stream_constraint_check,
     "stream_replay": stream_replay,
     "event_time_zones": event_time_zones,

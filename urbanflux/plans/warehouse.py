@@ -14,6 +14,7 @@ from urbanflux.operators.enrich import current_versions
 from urbanflux.operators.surrogate import highest_key
 from urbanflux.operators.validate import newest_first
 from urbanflux.plans.views import Star
+from urbanflux.sources.compaction import CompactedTable
 from urbanflux.sources.snapshots import SnapshotTable
 from urbanflux.sources.tables import append_table, read_table
 
@@ -58,9 +59,17 @@ class Warehouse:
     def fact(self, name: str) -> DataFrame:
         """All rows of a fact; folder names come back as columns, ``date_key`` prunes folders."""
         schema, folders = FACTS[name]
+        if folders is STREAMED:
+            return self.compacted(name).read(self.spark)
         layout = StructType([*schema.fields, *folders.fields])
         return read_table(self.spark, self.fact_path(name), layout)
 
+    def compacted(self, name: str) -> CompactedTable:
+        """A streamed fact as what has been compacted and what has landed since."""
+        schema, folders = FACTS[name]
+        layout = StructType([*schema.fields, *folders.fields])
+        return CompactedTable(self.fact_path(name), f"{self.root}/compacted/{name}", layout)
+
     def reserve_ids(self, name: str, run_id: str, n: int, start: int = 0) -> int:
         """Set ``n`` row ids aside for a run; they begin after the returned number.
 
