@@ -11,25 +11,30 @@ from urbanflux.session import materialize
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, class)`` for every node of a link; ``class`` is the smallest node it reaches.
 
-    Alternates two steps until nothing changes: every larger neighbour of a node, then every smaller
-    one, is linked to the smallest neighbour instead. Both take minima per node (combined before the
-    shuffle) and join them back. Links to itself or null mean nothing; an empty table has no classes.
+    Alternates two steps until every tree is a star: each larger neighbour of a node, then each
+    smaller one, is linked to the smallest neighbour instead. Both take minima per node (combined
+    before the shuffle) and join them back. Links to itself or null mean nothing; an empty table has
+    no classes.
     """
-    edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    edges = materialize(edges, "links")
-    seen = None
-    while True:
+    edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    edges = materialize(edges.distinct(), "edges")
+    while not _only_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
+        large = large.where("u != v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = materialize(small.where("u != v").distinct(), "links")
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == seen:
-            break
-        seen = state
+        edges = materialize(small.where("u != v").distinct(), "edges")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("class")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("class")).unionByName(roots)
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour, which has none, or none itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"))
+    )
+    wrong = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return wrong.where("ups > 1 OR (ups = 1 AND least = 0)").isEmpty()

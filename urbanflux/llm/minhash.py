@@ -8,9 +8,9 @@ documents agree in a register with their weighted Jaccard similarity as probabil
 drawn in order of time and only up to the time by which all registers are filled.
 
 Bands of registers give candidates and multiset overlap decides. In a band's bucket everything is
-compared with one member first; members that are linked by then need no comparison any more, and
-what is left is compared in further rounds, until each pair of a bucket has been compared or is in
-one class.
+compared with one member first. Buckets that then hold several classes still are settled by an exact
+filter: texts in different classes are compared if they share one of their rarest tokens, as all
+texts that overlap enough do. No bucket is ever turned into all of its pairs.
 """
 
 from __future__ import annotations
@@ -32,8 +32,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: A pair at the least similarity shares no band once in about 55,000 times.
 BANDS, ROWS = 36, 6
-#: Rounds after the first two: one member in so many is compared with the rest of its bucket.
-SAMPLES = (64, 8, 1)
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -158,40 +156,86 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
-def _links(members: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame | None:
-    """Links ``(a, b)`` that hold the classes of all buckets together; None without any bucket."""
-    found: DataFrame | None = None
-    tested: DataFrame | None = None
-    classes: DataFrame | None = None
-    for step in ("bucket", "class", *SAMPLES):
-        rows = members
-        if classes is None:
-            rows = rows.withColumn("class", F.col("text_key"))
-        else:
-            rows = rows.join(classes.withColumnRenamed("node", "text_key"), "text_key", "left")
-            rows = rows.withColumn("class", F.coalesce("class", "text_key"))
-            mixed = rows.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least != most")
-            rows = materialize(rows.join(mixed.select("bucket"), "bucket", "left_semi"), "buckets")
-            members = rows.select("bucket", "text_key")
-        if rows.isEmpty():
-            break
-        if step == "bucket":
-            centres = rows.groupBy("bucket").agg(F.min("text_key").alias("a")).withColumn("own", F.col("a"))
-        elif step == "class":
-            centres = rows.groupBy("bucket", F.col("class").alias("own")).agg(F.min("text_key").alias("a"))
-        else:
-            chosen = F.pmod(F.crc32("text_key"), F.lit(step)) == 0
-            centres = rows.where(chosen).select("bucket", F.col("class").alias("own"), F.col("text_key").alias("a"))
-        pairs = centres.join(rows, "bucket").where("own != class")
-        pairs = pairs.select(F.least("a", "text_key").alias("a"), F.greatest("a", "text_key").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = materialize(_verified(pairs, texts, shingle, similarity), "links")
-        found = new if found is None else found.unionByName(new)
-        classes = materialize(connected_components(found), "classes")
-    return classes
+def _tokens(text: str, shingle: int) -> np.ndarray:
+    """One token per shingle and occurrence: multisets overlap as these sets do."""
+    keys, counts = shingles(text, shingle)
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return _mixed(np.repeat(keys, counts) + number.astype(np.uint64) * _MULTIPLY)
+
+
+def _prefix_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Pairs of ``texts`` (``text_key, class, text``) in different classes that may be similar enough.
+
+    Tokens are ordered by the number of texts that hold them. Two sets of ``n`` and ``m`` tokens that
+    overlap enough share ``(n + m) * s / (1 + s)`` of them; at the first they share, both must have
+    that many left. So a token at place ``i`` of ``n`` only serves partners of up to
+    ``(n - i) * (1 + s) / s - n`` tokens, and for partners of its own size or more (``short``) its
+    place lies among the rarest ninth (for a similarity of 0.8). What differs from all others fills
+    these places, so a text that is close to none meets none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [_tokens(x, shingle) for x in texts_of(batch, "text")]
+            sizes = [len(x) for x in found]
+            at = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+            kept = [batch.column(batch.schema.get_field_index(c)).take(at) for c in ("text_key", "class")]
+            tokens = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(np.repeat(sizes, sizes).astype(np.int64)), pa.array(tokens)], names=["text_key", "class", "n", "token"]
+            )
+
+    tokens = texts.select("text_key", "class", "text").mapInArrow(run, "text_key binary, class binary, n bigint, token bigint")
+    tokens = materialize(tokens, "tokens")
+    mixed = F.min("class") != F.max("class")
+    held = tokens.groupBy("token").agg(F.count("*").alias("texts"), mixed.alias("mixed"))
+    place = F.row_number().over(Window.partitionBy("text_key").orderBy("texts", "token")) - 1
+    ranked = tokens.join(held, "token").withColumn("place", place)
+    reach = (F.col("n") - F.col("place")) * ((1 + similarity) / similarity) - F.col("n") + 1e-6
+    rows = ranked.where("mixed").withColumns({"reach": reach, "short": reach >= F.col("n")})
+    rows = materialize(rows.where(reach >= similarity * F.col("n") - 1), "prefixes")
+    least = rows.where("short").groupBy("token").agg(F.min("n").alias("least"))
+    rows = rows.join(least, "token").where("short OR reach >= least").drop("least")
+    rows = materialize(rows, "prefixes")
+    several = rows.groupBy("token").agg(mixed.alias("mixed")).where("mixed").select("token")
+    rows = rows.join(several, "token")
+    others = rows.select("token", F.col("class").alias("other")).distinct()
+    left = rows.where("short").join(others, "token").where("class != other")
+    left = left.select("token", "other", F.col("text_key").alias("a"), F.col("n").alias("n_a"), F.col("reach").alias("reach_a"))
+    right = rows.select("token", F.col("class").alias("other"), F.col("text_key").alias("b"), "n", "reach")
+    pairs = left.join(right, ["token", "other"]).where("n_a <= n AND n <= reach_a AND n_a <= reach")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _links(members: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Classes ``(node, class)`` of the texts that have a link; no link inside a bucket is lost.
+
+    First every member of a bucket is compared with one: the one that shares most buckets with others,
+    which is what copies of one text are copies of. Buckets that still hold several classes
+    are compared by their rarest tokens.
+    """
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    weights = members.join(sizes, "bucket").groupBy("text_key").agg(F.sum("n").alias("weight"))
+    weights = materialize(weights, "weights")
+    centre = F.max(F.struct("weight", "text_key"))["text_key"]
+    centres = members.join(weights, "text_key").groupBy("bucket").agg(centre.alias("a"))
+    pairs = members.join(centres, "bucket").where("a != text_key")
+    pairs = pairs.select(F.least("a", "text_key").alias("a"), F.greatest("a", "text_key").alias("b")).distinct()
+    links = materialize(_verified(pairs, texts, shingle, similarity), "links")
+
+    # What is linked to the same text is in one class: the heaviest neighbour (or itself) stands for it.
+    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ends = ends.join(weights.select(F.col("text_key").alias("b"), "weight"), "b")
+    ends = ends.select(F.col("a").alias("text_key"), "weight", F.col("b").alias("class"))
+    own = weights.select("text_key", "weight", F.col("text_key").alias("class"))
+    heads = ends.unionByName(own).groupBy("text_key").agg(F.max(F.struct("weight", "class"))["class"].alias("class"))
+    rows = materialize(members.join(heads, "text_key"), "buckets")
+    mixed = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
+    left = rows.join(mixed.select("bucket"), "bucket").select("text_key", "class").distinct()
+    left = materialize(texts.join(left, "text_key"), "unresolved")
+    pairs = materialize(_prefix_pairs(left, shingle, similarity), "pairs")
+    more = materialize(_verified(pairs, texts, shingle, similarity), "links")
+    return materialize(connected_components(links.unionByName(more)), "classes")
 
 
 def near_duplicates(
@@ -228,12 +272,8 @@ def near_duplicates(
     texts = full.join(wanted, ["text_key", "name"], "left_semi").select("text_key", "text").dropDuplicates(["text_key"])
     classes = _links(members, materialize(texts, "candidates"), shingle, similarity)
 
-    named = distinct.select("text_key", "key")
-    if classes is not None:
-        named = named.join(classes.withColumnRenamed("node", "text_key"), "text_key", "left")
-        named = named.withColumn("class", F.coalesce("class", "text_key"))
-    else:
-        named = named.withColumn("class", F.col("text_key"))
+    named = distinct.select("text_key", "key").join(classes.withColumnRenamed("node", "text_key"), "text_key", "left")
+    named = named.withColumn("class", F.coalesce("class", "text_key"))
     best = F.min(F.struct(F.col("key").isNull().alias("missing"), "key", "text_key"))
     heads = named.groupBy("class").agg(best.alias("best"))
     named = named.join(heads, "class").select(
