@@ -42,18 +42,18 @@ class Band:
 
 #: By language code.
 LANGUAGE_BANDS = {
-    "en": Band(1.6, 7.0, 0.05, 0.45),
-    "de": Band(1.5, 7.0, 0.08, 0.45),
-    "fr": Band(1.4, 7.0, 0.08, 0.45),
-    "es": Band(1.4, 7.0, 0.08, 0.45),
+    "en": Band(1.6, 7.0, 0.05, 0.40),
+    "de": Band(1.5, 7.0, 0.08, 0.40),
+    "fr": Band(1.4, 7.0, 0.08, 0.40),
+    "es": Band(1.4, 7.0, 0.08, 0.40),
 }
 #: By the script of most letters, where the language is unknown.
 SCRIPT_BANDS = {
-    "LATIN": Band(1.2, 7.0, 0.15, 0.45),
-    "CYRILLIC": Band(1.1, 7.0, 0.15, 0.45),
-    "GREEK": Band(0.8, 5.0, 0.40, 0.40),
-    "CJK": Band(0.3, 4.0, 0.75, 0.35),
-    "": Band(0.25, 8.0, 0.95, 0.30),
+    "LATIN": Band(1.2, 7.0, 0.15, 0.40),
+    "CYRILLIC": Band(1.1, 7.0, 0.15, 0.40),
+    "GREEK": Band(0.8, 5.0, 0.40, 0.35),
+    "CJK": Band(0.3, 4.0, 0.75, 0.30),
+    "": Band(0.25, 8.0, 0.95, 0.25),
 }
 
 
