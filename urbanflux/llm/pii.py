@@ -268,15 +268,14 @@ def train(df: DataFrame, text: str = "text") -> Model:
     """
     found = _prepared(df.select(F.col(text).alias("text")), "text").where(F.size("pii_loose") > 0)
     fold = (F.crc32(F.col("pii_text").cast("binary")) % 2).cast("int")
-    rows = found.select(
-        fold.alias("fold"),
-        F.explode(
-            F.transform(
-                "pii_loose",
-                lambda s: F.struct(_features(F.col("pii_text"), s).alias("f"), _covered(s, F.col("pii_base")).cast("int").alias("y")),
-            )
-        ).alias("x"),
-    )
+    base = F.col("pii_base")
+
+    def labelled(spans: Column, label) -> Column:
+        return F.transform(spans, lambda s: F.struct(_features(F.col("pii_text"), s).alias("f"), label(s).cast("int").alias("y")))
+
+    strict = labelled(F.array_intersect("pii_loose", base), lambda s: F.lit(1))
+    rest = labelled(F.array_except("pii_loose", base), lambda s: _covered(s, base))
+    rows = found.select(fold.alias("fold"), F.explode(F.concat(strict, rest)).alias("x"))
     counts = rows.select("fold", "x.f.*", "x.y").groupBy("fold", "kind", *LEVELS)
     counts = counts.agg(F.sum("y").alias("positive"), F.sum(1 - F.col("y")).alias("negative"))
     return fit([r.asDict() for r in counts.collect()])
@@ -292,11 +291,13 @@ def find_personal_data(df: DataFrame, model: Model, text: str = "text") -> DataF
     found = _prepared(df, text)
     base, source = F.col("pii_base"), F.col("pii_text")
     touches = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    chosen = F.filter(
-        "pii_loose", lambda s: ~F.exists(base, lambda b: touches(s, b)) & model.expression(_features(source, s))
-    )
-    order = lambda spans: F.array_sort(spans)
-    found = found.withColumn("pii_chosen", F.when(F.size("pii_loose") > 0, order(chosen)).otherwise(F.array().cast(f"array<{SPAN}>")))
+    rest = F.array_except("pii_loose", base)  # most are strict matches themselves
+    apart = F.filter(rest, lambda s: ~F.exists(base, lambda b: touches(s, b)))
+    # the features are computed once per candidate, not once per mention in a tree
+    known = F.transform(apart, lambda s: F.struct(s.alias("s"), _features(source, s).alias("f")))
+    chosen = F.transform(F.filter(known, lambda x: model.expression(x["f"])), lambda x: x["s"])
+    none = F.array().cast(f"array<{SPAN}>")
+    found = found.withColumn("pii_chosen", F.when(F.size("pii_loose") > 0, F.array_sort(chosen)).otherwise(none))
     apart = F.filter(
         "pii_chosen",
         lambda s: ~F.exists("pii_chosen", lambda o: touches(s, o) & (F.struct(o["kind"], o["start"]) < F.struct(s["kind"], s["start"]))),
@@ -305,7 +306,7 @@ def find_personal_data(df: DataFrame, model: Model, text: str = "text") -> DataF
     shown = lambda spans: F.transform(
         spans, lambda s: F.struct(name(s).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text"))
     )
-    found = found.withColumns({"base_spans": shown(base), "spans": shown(order(F.concat(base, apart)))})
+    found = found.withColumns({"base_spans": shown(base), "spans": shown(F.array_sort(F.concat(base, apart)))})
     return found.drop("pii_text", "pii_base", "pii_loose", "pii_chosen")
 
 
