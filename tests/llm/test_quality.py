@@ -70,3 +70,15 @@ def test_repeats_clashing_columns_and_empty_table(documents):
     found = quality.judge_quality(df).collect()
     assert sorted(r["kept"] for r in found) == [False, True, True]
     assert quality.judge_quality(df.limit(0)).collect() == []
+
+
+def test_decorated_and_junk_documents_of_a_given_table_fall_outside_while_clean_prose_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judged = quality.judge_quality(docs).where("NOT base_failed")
+    share = F.col("n_symbols") / F.col("word_chars")
+    # the table's marks are * and # on words, or bars between them
+    found = {r["k"]: r for r in judged.groupBy(F.when(share > 0.08, "junk").when(share == 0, "clean").alias("k")).agg(
+        F.count("*").alias("n"), F.avg(F.col("kept").cast("int")).alias("kept"))
+        .collect()}
+    assert found["junk"]["n"] > 30 and found["junk"]["kept"] < 0.4
+    assert found["clean"]["n"] > 500 and found["clean"]["kept"] > 0.95

@@ -3,7 +3,8 @@
 A tokenizer with byte fallback spells text it was made for with few, varied tokens. Characters per
 token, the share of tokens that are single fallback bytes, and the entropy of the tokens are
 measured per document; each language, or else script, has a band for every measure, and a document
-outside one of them is rejected.
+outside one of them is rejected. Fixed bands are outer limits; inside them, a language's or script's own
+documents set narrower ones, by median and quartiles among documents of like numbers of tokens.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 from urbanflux.llm.bpe import vocabulary_path
 from urbanflux.llm.common import TwoGenerationCache, ship_package, slices, texts_of
+from urbanflux.session import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
 CACHED_WORDS = 300_000
@@ -28,6 +31,12 @@ MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEATED = 0.3
 SYMBOLS = "#*$%&|<>"
+#: How far a measure may lie from the median, in standard deviations estimated from the quartiles.
+DEVIATIONS = 3.0
+#: Documents that a language or script needs, of like size or of all, to set its own band.
+LEAST_DOCUMENTS = 100
+#: Per measure the steps a unit in which it is counted, its largest value, and the least standard deviation.
+RESOLUTION = {"chars_per_token": (500, 16, 0.02), "fallback_share": (1000, 1, 0.01), "token_entropy": (1000, 1, 0.005)}
 
 
 @dataclass(frozen=True)
@@ -160,15 +169,73 @@ def judge_quality(
     vocabulary: str = VOCABULARY,
     languages: dict[str, Band] | None = None,
     scripts: dict[str, Band] | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Adds the fields of ``Measures`` to every row; columns of these names are replaced.
+    """Adds the fields of ``Measures`` to ``columns``, by default all; columns of these names are replaced.
 
-    Null and empty texts have no words, fail the base rules and are not kept. An unknown or null
-    language goes by script. Repeated rows get equal results; an empty table stays empty.
+    ``kept`` documents pass the base rules, the fixed bands, and the bands that all rows of their
+    language or script set; fewer than ``LEAST_DOCUMENTS`` set none. Null and empty texts have no words,
+    fail the base rules and are not kept. An unknown or null language goes by script. Repeated rows get
+    equal results; an empty table stays empty.
     """
+    measured = materialize(_measured(df, text, lang, vocabulary, languages, scripts, columns), "measures")
+    names, like = measured.columns, _like(F.col("n_tokens"))
+    limits = corpus_bands(measured)
+    found = measured.withColumn("quality_like", like)
+    for kind, rows in (("like", limits.where("quality_like >= 0")), ("all", limits.where("quality_like < 0").drop("quality_like"))):
+        rows = rows.select(F.col("band"), *(["quality_like"] if kind == "like" else []), *(F.col(c).alias(f"quality_{kind}_{c}") for c in LIMITS))
+        found = found.join(F.broadcast(rows), ["band", "quality_like"] if kind == "like" else ["band"], "left")
+    limit = {c: F.coalesce(f"quality_like_{c}", f"quality_all_{c}") for c in LIMITS}
+    fits = F.coalesce(F.col("chars_per_token").between(limit["min_chars"], limit["max_chars"]), F.lit(True))
+    fits &= F.coalesce(F.col("fallback_share") <= limit["max_fallback"], F.lit(True))
+    fits &= F.coalesce(F.col("token_entropy") >= limit["min_entropy"], F.lit(True))
+    return found.withColumn("kept", F.col("kept") & fits).select(*names)
+
+
+LIMITS = ("min_chars", "max_chars", "max_fallback", "min_entropy")
+
+
+def _like(tokens: Column) -> Column:
+    """Documents of like numbers of tokens: those between two powers of two."""
+    return F.floor(F.log2(F.greatest(tokens, F.lit(1)).cast("double"))).cast("int")
+
+
+def corpus_bands(measured: DataFrame) -> DataFrame:
+    """``band, quality_like`` and ``LIMITS``, from all rows that pass the base rules.
+
+    Values are counted in steps of ``RESOLUTION``, so the result does not depend on any order. The
+    class -1 holds documents of every size, whose entropies are not comparable.
+    """
+    values = [
+        F.struct(F.lit(name).alias("name"), F.round(F.least(F.col(name), F.lit(float(most))) * steps).cast("int").alias("step"))
+        for name, (steps, most, _) in RESOLUTION.items()
+    ]
+    sized = measured.where("NOT base_failed").select("band", F.explode(F.array(F.lit(-1), _like(F.col("n_tokens")))).alias("quality_like"), *RESOLUTION)
+    counts = sized.select("band", "quality_like", F.explode(F.array(*values)).alias("x")).groupBy("band", "quality_like", "x.name", "x.step").count()
+    group = Window.partitionBy("band", "quality_like", "name")  # holds steps, not documents
+    counts = counts.withColumn("below", F.sum("count").over(group.orderBy("step"))).withColumn("n", F.sum("count").over(group))
+    at = lambda q: F.min(F.when(F.col("below") >= F.col("n") * q, F.col("step")))
+    found = counts.where(F.col("n") >= LEAST_DOCUMENTS).groupBy("band", "quality_like", "name")
+    found = found.agg(at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
+    steps = F.create_map(*(F.lit(x) for name, r in RESOLUTION.items() for x in (name, float(r[0]))))
+    least = F.create_map(*(F.lit(x) for name, r in RESOLUTION.items() for x in (name, r[2])))
+    reach = DEVIATIONS * F.greatest((F.col("q3") - F.col("q1")) / 1.349 / steps[F.col("name")], least[F.col("name")])
+    middle = F.col("q2") / steps[F.col("name")]
+    found = found.select("band", "quality_like", "name", (middle - reach).alias("low"), (middle + reach).alias("high"))
+    of = lambda name, side: F.max(F.when(F.col("name") == name, F.col(side)))
+    return found.groupBy("band", "quality_like").agg(
+        of("chars_per_token", "low").alias("min_chars"),
+        of("chars_per_token", "high").alias("max_chars"),
+        of("fallback_share", "high").alias("max_fallback"),
+        F.when(F.col("quality_like") >= 0, of("token_entropy", "low")).alias("min_entropy"),
+    )
+
+
+def _measured(df: DataFrame, text: str, lang: str, vocabulary: str, languages, scripts, columns) -> DataFrame:
+    """All of ``Measures``, ``kept`` by the fixed bands alone."""
     ship_package(df.sparkSession)
     names = [f.name for f in fields(Measures)]
-    keep = [c for c in df.columns if c not in names]
+    keep = [c for c in (df.columns if columns is None else columns) if c not in names]
     kinds = [TYPES[f.type] for f in fields(Measures)]
     schema = df.select(*keep).schema
     for name, (kind, _) in zip(names, kinds, strict=True):

@@ -41,7 +41,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge_quality(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text", "lang")
+    return quality.judge_quality(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), columns=["doc_id"])
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
