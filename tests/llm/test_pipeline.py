@@ -83,3 +83,12 @@ def test_stages_take_an_empty_table(spark, written, folder, name):
     assert out.collect() == []
     if name != STAGES[-1][0]:
         assert out.columns == COLUMNS
+
+
+def test_last_stage_decodes_what_it_encodes(spark, written, folder):
+    library = Tokenizer.from_file(bpe.vocabulary_path(bpe.VOCABULARY))
+    rows = stage("bpe")(spark, written, folder).collect()
+    assert len(rows) == len(corpus())
+    for r in rows:
+        assert r["decoded"] == " ".join(map(library.id_to_token, r["ids"]))
+    assert any(r["decoded"] for r in rows) and {r["decoded"] for r in rows if not r["text"]} == {""}
