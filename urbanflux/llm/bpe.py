@@ -138,21 +138,32 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _with_column(df: DataFrame, source: str, out: str, kind: T.DataType, arrow: pa.DataType, make) -> DataFrame:
+IDS = (T.ArrayType(T.IntegerType(), False), pa.list_(pa.field("element", pa.int32(), False)))
+TEXT = (T.StringType(), pa.string())
+
+
+def _with_columns(df: DataFrame, added: dict[str, tuple[T.DataType, pa.DataType]], make) -> DataFrame:
+    """Adds columns in one pass; ``make`` gives a function from a batch to their values, column by column."""
     ship_package(df.sparkSession)
-    schema = T.StructType([*(f for f in df.schema if f.name != out), T.StructField(out, kind)])
-    keep = [f.name for f in schema][:-1]
+    keep = [c for c in df.columns if c not in added]
+    schema = T.StructType([*(f for f in df.schema if f.name in keep), *(T.StructField(c, kind) for c, (kind, _) in added.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in slices(batches):
-            column = pa.array(each(batch), arrow)
+            columns = [pa.array(values, arrow) for values, (_, arrow) in zip(each(batch), added.values(), strict=True)]
             kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, column], names=[*keep, out])
+            yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*keep, *added])
 
     return df.mapInArrow(run, schema)
 
 
+def _ready(vocabulary: str) -> WordBpe:
+    bpe = load(vocabulary_path(vocabulary))
+    bpe.words.take_over()
+    return bpe
+
+
 def encode(df: DataFrame, text: str = "text", out: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
     """Adds ``out``: token ids of the whole text as an array; replaces a column of that name.
 
@@ -161,10 +172,10 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", vocabulary: str
     """
 
     def make():
-        bpe = load(vocabulary_path(vocabulary))
-        return lambda batch: [bpe.encode(x) for x in texts_of(batch, text)]
+        bpe = _ready(vocabulary)
+        return lambda batch: [[bpe.encode(x) for x in texts_of(batch, text)]]
 
-    return _with_column(df, text, out, T.ArrayType(T.IntegerType(), False), pa.list_(pa.field("element", pa.int32(), False)), make)
+    return _with_columns(df, {out: IDS}, make)
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -173,19 +184,36 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", vocabulary: st
     def make():
         bpe = load(vocabulary_path(vocabulary))
 
-        def each(batch: pa.RecordBatch) -> list[str]:
-            return [bpe.decode(x.as_py() or []) for x in batch.column(batch.schema.get_field_index(ids))]
+        def each(batch: pa.RecordBatch) -> list[list[str]]:
+            return [[bpe.decode(x.as_py() or []) for x in batch.column(batch.schema.get_field_index(ids))]]
+
+        return each
+
+    return _with_columns(df, {out: TEXT}, make)
+
+
+def encode_and_decode(
+    df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", vocabulary: str = VOCABULARY
+) -> DataFrame:
+    """Adds ``ids`` as ``encode`` and ``decoded`` as ``decode`` do, in one pass with one worker per task."""
+
+    def make():
+        bpe = _ready(vocabulary)
+
+        def each(batch: pa.RecordBatch) -> list[list]:
+            coded = [bpe.encode(x) for x in texts_of(batch, text)]
+            return [coded, list(map(bpe.decode, coded))]
 
         return each
 
-    return _with_column(df, ids, out, T.StringType(), pa.string(), make)
+    return _with_columns(df, {ids: IDS, decoded: TEXT}, make)
 
 
 def digests(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """Per document its number of tokens and digests of its ids and of the decoded text."""
-    coded = decode(encode(df.select(key, text), text, "ids", vocabulary).select(key, "ids"), "ids", "decoded", vocabulary)
+    coded = encode_and_decode(df.select(F.col(key).alias("key"), F.col(text).alias("text")), vocabulary=vocabulary)
     return coded.select(
-        F.col(key),
+        F.col("key").alias(key),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),

@@ -33,12 +33,25 @@ def ship_package(spark: SparkSession) -> None:
 
 
 class TwoGenerationCache(dict):
-    """Bounded memo of ``make``: when full, entries not used since the last turn are forgotten."""
+    """Bounded memo of ``make``: when full, entries not used since the last turn are forgotten.
+
+    A worker process outlives its tasks and serves several operators; ``take_over`` makes a cache the
+    only filled one of its process, so that their sizes never add up.
+    """
+
+    _filled: TwoGenerationCache | None = None
 
     def __init__(self, make: Callable, size: int):
         super().__init__()
         self.make, self.size, self.older = make, size, {}
 
+    def take_over(self) -> None:
+        filled = TwoGenerationCache._filled
+        if filled is not None and filled is not self:
+            filled.clear()
+            filled.older = {}
+        TwoGenerationCache._filled = self
+
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:

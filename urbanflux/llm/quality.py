@@ -244,6 +244,7 @@ def _measured(df: DataFrame, text: str, lang: str, vocabulary: str, languages, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(vocabulary_path(vocabulary), tuple(languages.items()), tuple(scripts.items()))
+        judge.words.take_over()
         for batch in slices(batches):
             langs = batch.column(batch.schema.get_field_index(lang)).to_pylist()
             found = [judge.measure(x, a) for x, a in zip(texts_of(batch, text), langs, strict=True)]
