@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds ``ids``, the tokens of the text, ``decoded``, the text they decode to, and ``n_tokens``."""
-    coded = bpe.decode(bpe.encode(docs.select(*COLUMNS), "text", "ids"), "ids", "decoded")
+    coded = bpe.encode_and_decode(docs.select(*COLUMNS))
     return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
