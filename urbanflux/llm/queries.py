@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, licenses, lm, minhash, mixing, neighbours, ordinal, pii, prefix_trie, quality, url_rules
+from urbanflux.llm import bpe, licenses, lm, minhash, mixing, neighbours, ordinal, pii, prefix_trie, quality, spelling, url_rules
 from urbanflux.llm.common import read
 from urbanflux.session import materialize
 
@@ -71,6 +71,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_minhash": op2_minhash,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op9_ordinal": op9_ordinal,
     "op10_mixing": op10_mixing,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling": op13_spelling,
 }
 
 _URL = r"""
