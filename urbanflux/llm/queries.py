@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflux.llm import bpe, licenses, lm, minhash, mixing, neighbours, ordinal, pii, prefix_trie, quality, spelling, url_rules
+from urbanflux.llm import bpe, licenses, lm, minhash, mixing, neighbours, ordinal, pii, prefix_trie, quality, spelling, suffixes, url_rules
 from urbanflux.llm.common import read
 from urbanflux.session import materialize
 
@@ -67,6 +67,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(read(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_neighbours": op8_neighbours,
     "op9_ordinal": op9_ordinal,
     "op10_mixing": op10_mixing,
+    "op11_suffixes": op11_suffixes,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling": op13_spelling,
 }
