@@ -59,6 +59,7 @@ def parser() -> argparse.ArgumentParser:
         stream.add_argument("--checkpoints", required=True)
         stream.add_argument("--stream-id", default="1")
         stream.add_argument("--profile", choices=("strict", "job"), default="strict")
+        stream.add_argument("--as-of", action="store_true", help="versions valid at a reading's own time")
 
     view = jobs.add_parser("view", help="write a serving view as parquet")
     view.add_argument("name", choices=sorted(VIEWS))
@@ -100,11 +101,11 @@ def run(spark, args) -> None:
         dead = Topic(K.DEAD_LETTER_TOPIC, options=kafka)
         if args.job == "stream":
             start_streams(wh, *topics, dead, args.checkpoints, args.stream_id,
-                          profile=args.profile)
+                          profile=args.profile, as_of=args.as_of)
         else:
             start_monitor(
                 dead.read(spark, "earliest"), f"{args.warehouse}/alerts",
-                f"{args.warehouse}/alert_counts", f"{args.checkpoints}/monitor",
+                f"{args.warehouse}/alerts_seen", f"{args.checkpoints}/monitor",
             )
         spark.streams.awaitAnyTermination()
 

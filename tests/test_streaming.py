@@ -11,7 +11,13 @@ from urbanflux.plans.pipelines import set_up_calendar, start_streams
 from urbanflux.plans.warehouse import Warehouse
 from urbanflux.sources.streams import Topic
 from urbanflux.streaming.ingest import TRAFFIC, IngestJob, checked_readings
-from urbanflux.streaming.monitor import alert_lines, counts_by_reason, start_monitor
+from urbanflux.streaming.monitor import (
+    alert_lines,
+    counts_by_reason,
+    letter_counts,
+    letters_of,
+    start_monitor,
+)
 
 JAN = datetime(2026, 1, 1)
 
@@ -97,14 +103,14 @@ def test_both_feeds_to_facts_and_dead_letters(spark, wh, topics, folder):
     ]
 
     # monitor: one alert per letter, counts per reason
-    monitor = start_monitor(dead.read(spark, "earliest"), f"{folder}/alerts", f"{folder}/counts",
+    monitor = start_monitor(dead.read(spark, "earliest"), f"{folder}/alerts", f"{folder}/seen",
                             f"{folder}/progress-monitor", available_now=True)
     monitor.awaitTermination()
     alerts = [r["value"] for r in spark.read.text(f"{folder}/alerts").collect()]
     assert len(alerts) == 4
     assert all(a.startswith("CRITICAL INVALID PAYLOAD RECEIVED in DLQ: {") for a in alerts)
     counts = {(r["validation_error"], r["letters"])
-              for r in spark.read.parquet(f"{folder}/counts").collect()}
+              for r in letter_counts(spark, f"{folder}/seen").collect()}
     assert counts == {(error, 1) for _, error, _ in letters}
 
 
@@ -200,4 +206,54 @@ def test_alerts_survive_undecodable_bytes(spark):
     assert alert_lines(messages).first()["value"] == (
         'CRITICAL INVALID PAYLOAD RECEIVED in DLQ: {"validation_error":"a"}'
     )
-    assert counts_by_reason(messages).first()["validation_error"] == "a"
+    assert counts_by_reason(letters_of(messages)).first()["validation_error"] == "a"
+
+
+def test_late_readings_get_the_version_of_their_own_time(spark, wh, topics, folder):
+    traffic, gps, _ = topics
+    cut = datetime(2026, 7, 10, 12)
+    versions = [(5, "SNS-001", "Here", 1.0, 2.0, "ACTIVE", JAN, cut, False, JAN),
+                (6, "SNS-001", "There", 1.0, 2.0, "ACTIVE", cut, None, True, JAN)]
+    closed, current = (spark.createDataFrame([v], schemas.DIM_SENSORS) for v in versions)
+    wh.dimension("dim_sensors").commit(current, closed)
+    traffic.publish(texts(spark, reading(ts="2026-07-17T10:34:02", speed=1.0),
+                          reading(ts="2026-07-10T11:59:59", speed=2.0),
+                          reading(ts="2026-07-10T12:00:00", speed=3.0),
+                          reading(ts="2025-12-31T23:59:59", speed=4.0), reading("SNS-404"), "junk"), "1")
+    gps.publish(texts(spark, ping()), "1")
+    run(wh, [traffic, gps, None], folder, as_of=True)
+    assert {(r["speed"], r["sensor_key"]) for r in facts_of(wh)} == {(1.0, 6), (2.0, 5), (3.0, 6)}
+    assert sorted(r["validation_error"] for r in wh.dead_letter_queue().collect()) == [
+        "Malformed payload", "Unknown sensor_id", "Unknown sensor_id",
+    ]
+
+
+def monitored(spark, dead, folder, progress):
+    start_monitor(dead.read(spark, "earliest"), f"{folder}/alerts", f"{folder}/seen",
+                  f"{folder}/{progress}", available_now=True).awaitTermination()
+    return {(r["source_topic"], r["validation_error"]): r["letters"]
+            for r in letter_counts(spark, f"{folder}/seen").collect()}
+
+
+def test_repeated_letters_and_a_lost_monitor_checkpoint_leave_the_counts(spark, wh, topics, folder):
+    dead = topics[2]
+    job = IngestJob(TRAFFIC, "s", lambda: wh.current_dimension("dim_sensors"),
+                    wh.fact_path("fact_traffic_readings"), wh.dead_letter_path, dead)
+    batch = texts(spark, "junk", "junk", "junk", reading(speed=-1.0), reading())
+    job.process(batch, 0)
+    expected = {(K.TRAFFIC_TOPIC, "Malformed payload"): 3, (K.TRAFFIC_TOPIC, "Speed cannot be negative"): 1}
+    assert monitored(spark, dead, folder, "m1") == expected
+    job.process(batch, 0)  # the ingest repeats its micro-batch; this topic keeps the first copy too
+    dead.publish(spark.read.text(f"{dead.path}/s-0"), "copy")
+    assert monitored(spark, dead, folder, "m1") == expected
+    alerts = spark.read.text(f"{folder}/alerts").count()
+    assert alerts == 4  # state dropped the copies before they raised an alert
+    assert monitored(spark, dead, folder, "m2") == expected
+    job.process(batch, 1)
+    assert monitored(spark, dead, folder, "m2") == {k: 2 * n for k, n in expected.items()}
+
+
+def test_letters_of_other_writers_all_count(spark, folder):
+    dead = Topic(K.DEAD_LETTER_TOPIC, "text", f"{folder}/dead")
+    dead.publish(texts(spark, *[json.dumps({"source_topic": "t", "validation_error": "e"})] * 3, "no json"), "1")
+    assert monitored(spark, dead, folder, "m") == {("t", "e"): 3, (None, None): 1}

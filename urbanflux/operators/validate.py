@@ -38,14 +38,18 @@ def faulty_rows(marked: DataFrame) -> DataFrame:
 
 
 def dead_letters(
-    faulty: DataFrame, source_topic: str | Column, payload: str = "raw_payload"
+    faulty: DataFrame,
+    source_topic: str | Column,
+    payload: str = "raw_payload",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``payload, validation_error, source_topic``; a message without a value has payload ''."""
+    """``payload, validation_error, source_topic`` and ``keep``; without a value the payload is ''."""
     topic = F.lit(source_topic) if isinstance(source_topic, str) else source_topic
     return faulty.select(
         F.coalesce(F.col(payload), F.lit("")).alias("payload"),
         "validation_error",
         topic.alias("source_topic"),
+        *keep,
     )
 
 

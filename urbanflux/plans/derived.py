@@ -125,6 +125,30 @@ def vehicle_dimension(customer: DataFrame) -> DataFrame:
     )
 
 
+def sensor_history(customer: DataFrame) -> DataFrame:
+    """Three versions of every solvent customer as a sensor, the last one open.
+
+    The first one begins on one of five days, the second follows at once or after a gap of two days.
+    """
+    version, day = F.col("version"), F.col("c_custkey") % 5
+    versions = customer.filter("c_acctbal >= 0").select(
+        "*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("version")
+    )
+    second = F.when(F.col("c_nationkey") % 2 == 0, F.lit(12)).otherwise(F.lit(14))
+    month = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
+    begin = lambda days, hours=0: month + F.make_dt_interval(days=days - 1, hours=F.lit(hours))
+    return versions.select(
+        (F.col("c_custkey") * 4 + version).alias("sensor_key"),
+        F.concat(F.lit("SNS-"), "c_custkey").alias("sensor_id"),
+        F.concat_ws("/", "c_mktsegment", "version").alias("location_name"),
+        F.when(version == 0, begin(3 + day.cast("int")))
+        .when(version == 1, begin(second))
+        .otherwise(begin(F.lit(20), 12))
+        .alias("start_date"),
+        F.when(version == 0, begin(F.lit(12))).when(version == 1, begin(F.lit(20), 12)).alias("end_date"),
+    )
+
+
 def traffic_readings(events: DataFrame) -> DataFrame:
     return with_calendar_keys(_k(events), "ts").select(
         F.col("event_id").alias("reading_id"),

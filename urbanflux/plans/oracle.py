@@ -304,6 +304,17 @@ _FACTS = f"""SELECT s.sensor_key, {_keys("t.ts")}, t.speed, t.k AS vehicle_volum
 FROM traffic t JOIN sensors s ON s.sensor_id = t.sensor_id AND s.is_current
 WHERE t.strict_reason IS NULL"""
 
+_HISTORY = """history AS (
+  SELECT c_custkey * 4 + v AS sensor_key, 'SNS-' || c_custkey AS sensor_id,
+    c_mktsegment || '/' || v AS location_name,
+    CASE v WHEN 0 THEN TIMESTAMP '2024-01-03' + INTERVAL 1 DAY * (c_custkey % 5)
+      WHEN 1 THEN CASE WHEN c_nationkey % 2 = 0 THEN TIMESTAMP '2024-01-12' ELSE TIMESTAMP '2024-01-14' END
+      ELSE TIMESTAMP '2024-01-20 12:00:00' END AS start_date,
+    CASE v WHEN 0 THEN TIMESTAMP '2024-01-12' WHEN 1 THEN TIMESTAMP '2024-01-20 12:00:00' END AS end_date
+  FROM customer, (VALUES (0), (1), (2)) versions(v) WHERE c_acctbal >= 0)"""
+
+_VALID_THEN = "h.start_date <= {ts} AND (h.end_date IS NULL OR {ts} < h.end_date)"
+
 _REASON_WITH_UNKNOWN = f"""CASE WHEN strict_reason IS NOT NULL THEN strict_reason
   WHEN NOT EXISTS (SELECT 1 FROM sensors s WHERE s.sensor_id = traffic.sensor_id
                    AND s.is_current) THEN 'Unknown sensor_id' END"""
@@ -380,6 +391,15 @@ SELECT payload, validation_error, '{K.TRAFFIC_TOPIC}' AS source_topic
 FROM checked WHERE validation_error IS NOT NULL""",
     "current_version_lookup": f"""WITH {_VEHICLES}
 SELECT vehicle_id, vehicle_key FROM vehicles WHERE is_current""",
+    "as_of_lookup": f"""WITH {_HISTORY}
+SELECT e.event_id, 'SNS-' || e.user_id AS sensor_id, e.ts, h.sensor_key, h.location_name
+FROM events e LEFT JOIN history h
+  ON h.sensor_id = 'SNS-' || e.user_id AND {_VALID_THEN.format(ts="e.ts")}""",
+    "fact_load_as_of": f"""WITH {_TRAFFIC}, {_HISTORY}
+SELECT h.sensor_key, {_keys("t.ts")}, t.speed, t.k AS vehicle_volume,
+  t.k / CAST(100 AS DOUBLE) AS occupancy, t.congestion_index, t.ts AS record_timestamp
+FROM traffic t JOIN history h ON h.sensor_id = t.sensor_id AND {_VALID_THEN.format(ts="t.ts")}
+WHERE t.strict_reason IS NULL""",
     "weather_fact_load": f"""WITH {_STATIONS}
 SELECT station_key, {_keys("l_shipdate")}, l_quantity AS temperature,
   l_discount AS precipitation, l_extendedprice AS wind_speed, l_shipdate AS record_timestamp
@@ -493,6 +513,11 @@ letters AS (
   UNION ALL
   SELECT '{K.GPS_TOPIC}', {_GPS_UNKNOWN} FROM gps)
 SELECT source_topic, validation_error, count(*) AS letters
+FROM letters WHERE validation_error IS NOT NULL GROUP BY ALL""",
+    "dead_letter_exactly_once": f"""WITH {_TRAFFIC}, {_SENSORS}, letters AS (
+  SELECT '{K.TRAFFIC_TOPIC}' AS source_topic, {_REASON_WITH_UNKNOWN} AS validation_error
+  FROM traffic)
+SELECT source_topic, validation_error, count(*) AS letters
 FROM letters WHERE validation_error IS NOT NULL GROUP BY ALL""",
     "stream_replay": f"WITH {_TRAFFIC}, {_SENSORS} {_FACTS}",
     "stream_compacted_facts": f"WITH {_TRAFFIC}, {_SENSORS} {_FACTS}",

@@ -258,8 +258,17 @@ def start_streams(
     available_now: bool = False,
     profile: str = "strict",
     on_unmatched: str = "dead_letter",
+    as_of: bool = False,
 ) -> list[StreamingQuery]:
-    """Start one independent query per feed; wait with ``spark.streams.awaitAnyTermination``."""
+    """Start one independent query per feed; wait with ``spark.streams.awaitAnyTermination``.
+
+    With ``as_of`` a reading gets the dimension version that was valid at its own time instead of
+    the current one.
+    """
+
+    def versions(name: str) -> DataFrame:
+        return wh.dimension(name).all_versions(wh.spark) if as_of else wh.current_dimension(name)
+
     queries = []
     for feed, topic, dimension, fact in (
         (TRAFFIC, traffic, "dim_sensors", "fact_traffic_readings"),
@@ -268,7 +277,7 @@ def start_streams(
         job = IngestJob(
             feed=feed,
             stream_id=f"{feed.name}-{stream_id}",
-            read_dimension=lambda name=dimension: wh.current_dimension(name),
+            read_dimension=partial(versions, dimension),
             fact_path=wh.fact_path(fact),
             dead_letter_path=wh.dead_letter_path,
             dead_letter_topic=dead_letter,
@@ -276,6 +285,7 @@ def start_streams(
             on_unmatched=on_unmatched,
             read_calendars=wh.calendars,
             stream_number=cache(partial(wh.stream_number, fact)),
+            as_of=as_of,
         )
         checkpoint = f"{checkpoint_root}/{feed.name}-{stream_id}"
         queries.append(job.start(topic.read(wh.spark), checkpoint, available_now))

@@ -15,6 +15,7 @@ from urbanflux import schemas
 from urbanflux.functions.buckets import congestion_index, is_peak
 from urbanflux.functions.keys import event_time, moment, with_calendar_keys
 from urbanflux.functions.rules import gps_rules, incident_rules, traffic_rules
+from urbanflux.operators.asof import attach_as_of
 from urbanflux.operators.audit import Counts, StepsFailed, latest_state, run_audited, run_steps
 from urbanflux.operators.dedupe import new_incidents
 from urbanflux.operators.enrich import (
@@ -52,7 +53,7 @@ from urbanflux.sources.compaction import CompactedTable
 from urbanflux.sources.streams import Topic
 from urbanflux.sources.tables import append_table, read_table
 from urbanflux.streaming.ingest import GPS, TRAFFIC, IngestJob, checked_readings
-from urbanflux.streaming.monitor import start_monitor
+from urbanflux.streaming.monitor import letter_counts, start_monitor
 
 MERGED_AT = datetime(2024, 2, 1)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,6 +246,22 @@ def current_version_lookup(spark, sf):
     return _vehicles(spark, sf).select("vehicle_id", "vehicle_key")
 
 
+def as_of_lookup(spark, sf):
+    """Events with the version of their sensor that was valid at their time; some have none."""
+    sensor = F.concat(F.lit("SNS-"), "user_id").alias("sensor_id")
+    readings = table(spark, sf, "events").select("event_id", sensor, "ts")
+    history = derived.sensor_history(table(spark, sf, "customer"))
+    values = ["sensor_key", "location_name"]
+    return attach_as_of(materialize(readings, "readings"), history, "sensor_id", "ts", values)
+
+
+def fact_load_as_of(spark, sf):
+    """Readings become facts of the version valid at their own time, however late they come."""
+    messages = derived.traffic_messages(table(spark, sf, "events"))
+    history = derived.sensor_history(table(spark, sf, "customer"))
+    return traffic_facts(valid_rows(checked_readings(messages, TRAFFIC, history, as_of=True)))
+
+
 def weather_fact_load(spark, sf):
     reports = derived.weather_reports(table(spark, sf, "lineitem"))
     stations = scd1_upsert(spark, sf)
@@ -630,17 +647,32 @@ def stream_dead_letter_monitor(spark, sf):
     monitor = start_monitor(
         dead.read(spark, "earliest"),
         f"{root}/alerts",
-        f"{root}/counts",
+        f"{root}/seen",
         f"{root}/progress-monitor",
         available_now=True,
     )
     monitor.awaitTermination()
-    counts = schemas.columns("source_topic string, validation_error string, letters long")
-    return (
-        read_table(spark, f"{root}/counts", counts)
-        .groupBy("source_topic", "validation_error")
-        .agg(F.sum("letters").alias("letters"))
-    )
+    return letter_counts(spark, f"{root}/seen")
+
+
+def dead_letter_exactly_once(spark, sf):
+    """Letters published twice, seen by a monitor that then loses its checkpoint, count once."""
+    root, events = scratch_path(spark, "stream"), table(spark, sf, "events")
+    dead = Topic(K.DEAD_LETTER_TOPIC, "text", f"{root}/{K.DEAD_LETTER_TOPIC}")
+    traffic = _topic(derived.traffic_messages(events), K.TRAFFIC_TOPIC, root, 2)
+    _ingest(spark, sf, root, TRAFFIC, traffic, "traffic-1", "progress", dead).awaitTermination()
+    # a topic that keeps both copies of a repeated micro-batch
+    dead.publish(spark.read.text(f"{dead.path}/*"), "repeated")
+    for progress in ("lost", "new"):
+        monitor = start_monitor(
+            dead.read(spark, "earliest"),
+            f"{root}/alerts",
+            f"{root}/seen",
+            f"{root}/progress-{progress}",
+            available_now=True,
+        )
+        monitor.awaitTermination()
+    return letter_counts(spark, f"{root}/seen")
 
 
 def stream_replay(spark, sf):
@@ -675,6 +707,8 @@ QUERIES: dict[str, Query] = {
     "unknown_entity": unknown_entity,
     "unmatched_dead_letters": unmatched_dead_letters,
     "current_version_lookup": current_version_lookup,
+    "as_of_lookup": as_of_lookup,
+    "fact_load_as_of": fact_load_as_of,
     "weather_fact_load": weather_fact_load,
     "incident_dedupe": incident_dedupe,
     "referential_check": referential_check,
@@ -705,6 +739,7 @@ QUERIES: dict[str, Query] = {
     "stream_compacted_facts": stream_compacted_facts,
     "stream_constraint_check": stream_constraint_check,
     "stream_replay": stream_replay,
+    "dead_letter_exactly_once": dead_letter_exactly_once,
     "event_time_zones": event_time_zones,
     "audit_failed_job": audit_failed_job,
 }

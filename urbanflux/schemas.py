@@ -110,3 +110,9 @@ ETL_AUDIT_LOG = columns(
 DEAD_LETTER_QUEUE = columns(
     "payload string, validation_error string, source_topic string, created_at timestamp_ntz"
 )
+# as it travels through the topic; the id names stream, micro-batch and place of the message
+DEAD_LETTER_MESSAGE = columns(
+    "payload string, validation_error string, source_topic string, letter_id string"
+)
+# what the monitor keeps of a letter
+SEEN_LETTER = columns("letter_id string, source_topic string, validation_error string")

@@ -15,6 +15,7 @@ from urbanflux import constants as K
 from urbanflux import schemas
 from urbanflux.functions.keys import clock, event_time, with_calendar_keys
 from urbanflux.functions.rules import Rule, gps_rules, traffic_rules
+from urbanflux.operators.asof import attach_as_of
 from urbanflux.operators.enrich import attach_surrogate, mark_unknown
 from urbanflux.operators.facts import GPS_COLUMNS, TRAFFIC_COLUMNS, gps_facts, traffic_facts
 from urbanflux.operators.integrity import mark_missing, mark_unknown_calendar
@@ -27,6 +28,7 @@ from urbanflux.operators.validate import (
     parse_payloads,
     valid_rows,
 )
+from urbanflux.session import materialize
 from urbanflux.sources.streams import Topic
 from urbanflux.sources.tables import overwrite_folder
 
@@ -68,20 +70,31 @@ def checked_readings(
     dimension: DataFrame,
     profile: str = "strict",
     on_unmatched: str = "dead_letter",
+    as_of: bool = False,
 ) -> DataFrame:
     """Parsed messages with surrogate key and ``validation_error`` (null when valid).
 
-    ``on_unmatched="drop"`` leaves valid readings of unknown entities out altogether.
+    ``on_unmatched="drop"`` leaves valid readings of unknown entities out altogether. With ``as_of``
+    the dimension holds all versions, and a reading gets the one valid at its own time, however late it
+    arrives; one from before the first version or out of a gap is of an unknown entity. Messages with a
+    ``_place`` keep it.
     """
     if on_unmatched not in UNMATCHED:
         raise ValueError(f"on_unmatched must be one of {UNMATCHED}, not {on_unmatched!r}")
-    parsed = mark_faults(parse_payloads(messages, feed.schema), feed.rules(profile))
+    keep = tuple(c for c in ("_place",) if c in messages.columns)
+    parsed = mark_faults(parse_payloads(messages, feed.schema, keep=keep), feed.rules(profile))
     # A faulty row needs no surrogate. No key of its own gathers all of them in the join.
     lookup = F.when(F.col("validation_error").isNull(), F.col(feed.natural_key))
     spread = F.concat_ws("-", F.lit("\x00"), F.spark_partition_id(), F.xxhash64("raw_payload") % 64)
     keyed = parsed.withColumn("_lookup", F.coalesce(lookup, spread))
     entities = dimension.withColumnRenamed(feed.natural_key, "_lookup")
-    matched = attach_surrogate(keyed, entities, "_lookup", feed.surrogate_key).drop("_lookup")
+    if as_of:
+        timed = keyed.withColumn("_event_time", event_time(F.col("timestamp")))
+        timed = materialize(timed, "readings")  # the lookup needs it twice
+        matched = attach_as_of(timed, entities, "_lookup", "_event_time", [feed.surrogate_key])
+        matched = matched.drop("_lookup", "_event_time")
+    else:
+        matched = attach_surrogate(keyed, entities, "_lookup", feed.surrogate_key).drop("_lookup")
     if on_unmatched == "dead_letter":
         return mark_unknown(matched, feed.natural_key, feed.surrogate_key)
     known = F.col(feed.surrogate_key).isNotNull() | F.col("validation_error").isNotNull()
@@ -100,7 +113,10 @@ class IngestJob:
 
     Facts lacking a value that the table requires, or outside the calendars, become dead letters
     in every profile. Ids are unique over all batches and streams: ``stream_number`` gives each
-    stream a number of its own.
+    stream a number of its own. A dead letter on the topic names its stream, micro-batch and
+    place in that, which are the same when the micro-batch is repeated.
+
+    With ``as_of``, ``read_dimension`` gives all versions, not only the current ones.
     """
 
     feed: Feed
@@ -113,11 +129,14 @@ class IngestJob:
     on_unmatched: str = "dead_letter"
     read_calendars: Callable[[], tuple[DataFrame, DataFrame]] | None = None
     stream_number: Callable[[str], int] = lambda stream: 0
+    as_of: bool = False
 
     def checked(self, batch: DataFrame) -> DataFrame:
         """Parsed messages with their fact columns and ``validation_error``."""
+        # places are taken before any shuffle: a repeated micro-batch reads the same partitions
+        placed = batch.withColumn("_place", F.monotonically_increasing_id())
         rows = checked_readings(
-            batch, self.feed, self.read_dimension(), self.profile, self.on_unmatched
+            placed, self.feed, self.read_dimension(), self.profile, self.on_unmatched, self.as_of
         )
         shown = [c for c in rows.columns if c not in (*TRAFFIC_COLUMNS, *GPS_COLUMNS)]
         facts = F.struct(*self.feed.facts(rows).columns)
@@ -147,8 +166,10 @@ class IngestJob:
             numbered = number_places(facts, self.feed.fact_key, self.first_id(stream, batch_id))
             overwrite_folder(numbered, f"{self.fact_path}/{place}", ("date_key",))
 
-            letters = dead_letters(faulty_rows(checked), self.feed.topic)
-            stamped = letters.withColumn("created_at", clock())
+            name = F.concat(F.lit(f"{stream}/{batch_id}/"), F.col("_place"))
+            faulty = faulty_rows(checked).withColumn("letter_id", name)
+            letters = dead_letters(faulty, self.feed.topic, keep=("letter_id",))
+            stamped = letters.drop("letter_id").withColumn("created_at", clock())
             overwrite_folder(stamped, f"{self.dead_letter_path}/{place}")
             if self.dead_letter_topic is not None:
                 self.dead_letter_topic.publish(
