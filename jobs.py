@@ -45,13 +45,16 @@ def parser() -> argparse.ArgumentParser:
     daily = jobs.add_parser("daily", help="apply parquet deltas, then merge the dimensions")
     daily.add_argument("routes")
     daily.add_argument("vehicles")
+    daily.add_argument("--run-id", help="default: the day; running it again replaces its rejects")
 
     hourly = jobs.add_parser("hourly", help="load landed weather and incident responses")
     hourly.add_argument("weather")
     hourly.add_argument("incidents")
     hourly.add_argument("run_id")
 
-    jobs.add_parser("compact", help="rewrite closed micro-batches into large files per day")
+    compact = jobs.add_parser("compact", help="rewrite closed micro-batches into large files")
+    compact.add_argument("--runs-before", help="also rejects of batch runs whose id sorts before this")
+    compact.add_argument("--retire", action="store_true", help="remove folders that are replaced")
 
     for name, text in (("stream", "ingest both feeds"), ("monitor", "watch the dead letters")):
         stream = jobs.add_parser(name, help=text)
@@ -88,11 +91,12 @@ def run(spark, args) -> None:
         else:
             run_scd2(wh)
     elif args.job == "daily":
-        run_daily(wh, spark.read.parquet(args.routes), spark.read.parquet(args.vehicles))
+        routes, vehicles = spark.read.parquet(args.routes), spark.read.parquet(args.vehicles)
+        run_daily(wh, routes, vehicles, run_id=args.run_id)
     elif args.job == "hourly":
         run_hourly(wh, args.weather, args.incidents, args.run_id)
     elif args.job == "compact":
-        compact_facts(wh)
+        compact_facts(wh, args.runs_before, args.retire)
     elif args.job == "view":
         VIEWS[args.name](wh.star()).write.mode("overwrite").parquet(args.target)
     else:

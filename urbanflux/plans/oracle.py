@@ -404,6 +404,10 @@ WHERE t.strict_reason IS NULL""",
 SELECT station_key, {_keys("l_shipdate")}, l_quantity AS temperature,
   l_discount AS precipitation, l_extendedprice AS wind_speed, l_shipdate AS record_timestamp
 FROM lineitem JOIN stations ON station_id = 'WTH-' || l_suppkey""",
+    "weather_ids": """SELECT CAST(dayofmonth(l_shipdate) % 2 AS VARCHAR) AS run_id,
+  l_suppkey + 1 AS station_key, l_shipdate AS record_timestamp, l_quantity AS temperature,
+  TRUE AS id_is_unique
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal >= 2000""",
     "incident_dedupe": f"WITH {_LINE_INCIDENTS} SELECT * FROM fresh",
     "referential_check": f"""WITH {_ORDER_CALENDAR}, lines AS (
   SELECT l_orderkey, l_suppkey, {_DATE_KEY.format(ts="l_shipdate")} AS date_key, l_linenumber,

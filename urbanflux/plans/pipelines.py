@@ -19,12 +19,13 @@ from urbanflux.operators.enrich import attach_surrogate
 from urbanflux.operators.facts import INCIDENT_COLUMNS, incident_facts, weather_facts
 from urbanflux.operators.integrity import ForeignKey, mark_orphans
 from urbanflux.operators.scd import SENSORS, VEHICLES, Scd2Spec, scd2_merge
-from urbanflux.operators.surrogate import assign_surrogate_keys
+from urbanflux.operators.surrogate import assign_surrogate_keys, number_places
 from urbanflux.operators.upsert import insert_if_absent, upsert, upsert_stations
 from urbanflux.operators.validate import dead_letters, faulty_rows, mark_faults, valid_rows
-from urbanflux.plans.warehouse import Warehouse
+from urbanflux.plans.warehouse import DIMENSIONS, Warehouse
 from urbanflux.session import materialize
 from urbanflux.sources.calendar import dim_date, dim_time
+from urbanflux.sources.folders import folder_name
 from urbanflux.sources.landing import read_landing_json
 from urbanflux.sources.streams import Topic
 from urbanflux.sources.tables import overwrite_counted, overwrite_folder
@@ -69,10 +70,12 @@ def apply_delta(
     update: list[str],
     now: datetime | None = None,
     references: tuple[ForeignKey, ...] = (),
+    run_id: str | None = None,
 ) -> Counts:
     """Upsert operational rows; known keys change in the ``update`` columns only.
 
-    Rows without a key, or that refer to something the ``references`` lack, join the dead letters.
+    Rows without a key, or that refer to something the ``references`` lack, join the dead letters of
+    the run, by default that of the day; repeating a run replaces them.
     """
     target = wh.operational(table)
     checked = mark_orphans(delta, list(references)) if references else delta
@@ -83,10 +86,14 @@ def apply_delta(
     good = valid_rows(checked).select(*delta.columns)
     stamped = good.withColumns({"created_at": _at(now), "updated_at": _at(now)})
     target.commit(upsert(target.current(wh.spark), stamped, [key], [*update, "updated_at"]))
-    _reject(wh, faulty_rows(checked), table, (now or utc_now()).isoformat())
+    _reject(wh, faulty_rows(checked), table, run_id or daily_run(now))
     return Counts(read=checked.count(), written=good.count())
 
 
+def daily_run(now: datetime | None = None) -> str:
+    return (now or utc_now()).strftime("%Y-%m-%d")
+
+
 def merge_dimension(
     wh: Warehouse, source: DataFrame, dimension: str, spec: Scd2Spec, now: datetime | None = None
 ) -> Counts:
@@ -124,16 +131,24 @@ def run_scd2(
 
 
 def run_daily(
-    wh: Warehouse, routes: DataFrame, vehicles: DataFrame, now: datetime | None = None
+    wh: Warehouse,
+    routes: DataFrame,
+    vehicles: DataFrame,
+    now: datetime | None = None,
+    run_id: str | None = None,
 ) -> None:
-    """Apply the schedule and vehicle deltas, then merge the dimensions; a failure is raised."""
+    """Apply the schedule and vehicle deltas, then merge the dimensions; a failure is raised.
+
+    ``run_id`` names the scheduled run, by default the day; running it again replaces its rejects.
+    """
+    run_id = run_id or daily_run(now)
 
     def deltas() -> Counts:
         interval, assignment = ["schedule_interval_minutes"], ["assigned_route_id", "status"]
-        done = apply_delta(wh, "transit_routes", routes, "route_id", interval, now)
+        done = apply_delta(wh, "transit_routes", routes, "route_id", interval, now, run_id=run_id)
         known = wh.operational("transit_routes").current(wh.spark)
         route = ForeignKey("assigned_route_id", known, "route_id")
-        return done + apply_delta(wh, "vehicles", vehicles, "vehicle_id", assignment, now, (route,))
+        return done + apply_delta(wh, "vehicles", vehicles, "vehicle_id", assignment, now, (route,), run_id)
 
     run_audited(wh.spark, K.DAILY_JOB, deltas, wh.append_audit)
     run_scd2(wh, now=now)
@@ -148,7 +163,20 @@ def _reject(wh: Warehouse, faulty: DataFrame, source: str, run_id: str) -> None:
     rows = faulty.select(F.to_json(F.struct(*fields)).alias("raw_payload"), "validation_error")
     letters = dead_letters(rows, source).withColumn("created_at", clock())
     # one folder per source and run, laid out like the streamed ones
-    overwrite_folder(letters, f"{wh.dead_letter_path}/stream_id={source}-{run_id}/batch_id=0")
+    place = f"stream_id={run_stream(source, run_id)}/batch_id=0"
+    overwrite_folder(letters, f"{wh.dead_letter_path}/{place}")
+
+
+def run_stream(source: str, run_id: str) -> str:
+    """The name under which rejects of a batch run stand among those of streams."""
+    return f"run-{source}-{folder_name(run_id)}"
+
+
+def _is_final(stream: str, runs_before: str | None) -> bool:
+    """Whether a stream is a batch run that is older than ``runs_before``."""
+    sources = ("weather", "incidents", "transit_routes", "vehicles")
+    prefix = next((p for s in sources if stream.startswith(p := f"run-{s}-")), None)
+    return bool(prefix and runs_before and stream.removeprefix(prefix) < folder_name(runs_before))
 
 
 def _with_calendar_check(wh: Warehouse, facts: DataFrame) -> DataFrame:
@@ -160,8 +188,18 @@ def _with_calendar_check(wh: Warehouse, facts: DataFrame) -> DataFrame:
     return marked.withColumn("validation_error", unknown).drop("fk_violations")
 
 
+def with_reserved_ids(
+    wh: Warehouse, fact: str, rows: DataFrame, run_id: str, key: str
+) -> DataFrame:
+    """Number the rows of a run by ids that no other run of the fact has had, in any order."""
+    placed = materialize(rows.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    start = wh.reserve_ids(fact, run_id, placed.count())
+    return number_places(placed, key, start)
+
+
 def load_weather(wh: Warehouse, path: str, run_id: str, now: datetime | None = None) -> Counts:
     """Refresh the stations reported on, then add one fact per report."""
+    run_id = folder_name(run_id)
     landed = read_landing_json(wh.spark, path, schemas.WEATHER_LANDING).drop("landed_order")
     checked = materialize(mark_faults(landed, weather_rules()), "weather")
     reports = valid_rows(checked)
@@ -174,10 +212,10 @@ def load_weather(wh: Warehouse, path: str, run_id: str, now: datetime | None = N
         reports, stations.current(wh.spark), "station_id", "station_key", "inner"
     )
     dated = materialize(_with_calendar_check(wh, weather_facts(keyed)), "weather")
-    facts = valid_rows(dated)
-    numbered = facts.select(F.monotonically_increasing_id().alias("reading_id"), *facts.columns)
     written = overwrite_counted(
-        numbered, f"{wh.fact_path('fact_weather_readings')}/run_id={run_id}", ("date_key",)
+        with_reserved_ids(wh, "fact_weather_readings", valid_rows(dated), run_id, "reading_id"),
+        f"{wh.fact_path('fact_weather_readings')}/run_id={run_id}",
+        ("date_key",),
     )
     rejected = faulty_rows(checked).unionByName(faulty_rows(dated), allowMissingColumns=True)
     _reject(wh, rejected, "weather", run_id)
@@ -195,6 +233,7 @@ def load_incidents(
     With the timestamp among the keys only stored days that occur in the landed records are
     read. The run's own folder is left out, so repeating a run replaces its rows.
     """
+    run_id = folder_name(run_id)
     landed = read_landing_json(wh.spark, path, schemas.INCIDENT_LANDING)
     checked = materialize(mark_faults(landed, incident_rules()), "incidents")
     placed = incident_facts(valid_rows(checked), keep=("landed_order",))
@@ -242,10 +281,27 @@ def run_hourly(
 # ---------------------------------------------------------------------------- streaming
 
 
-def compact_facts(wh: Warehouse) -> dict[str, int]:
-    """Compact the closed micro-batches of all streamed facts; numbers of batches by fact."""
-    names = ("fact_traffic_readings", "fact_gps_pings")
-    return {name: wh.compacted(name).compact(wh.spark) for name in names}
+def compact_facts(
+    wh: Warehouse, runs_before: str | None = None, retire: bool = False
+) -> dict[str, int]:
+    """Compact the closed micro-batches of streamed facts and dead letters; numbers of batches.
+
+    Rejects of batch runs join in once their run id sorts before ``runs_before``, which says that those
+    runs will not be repeated. ``retire`` then removes folders that the version before no longer
+    needs; readers must have opened the tables after the last compaction.
+    """
+    tables = {n: wh.compacted(n) for n in ("fact_traffic_readings", "fact_gps_pings")}
+    tables["dead_letter_queue"] = wh.dead_letters
+    done = {
+        name: table.compact(wh.spark, partial(_is_final, runs_before=runs_before))
+        for name, table in tables.items()
+    }
+    if retire:
+        for table in tables.values():
+            table.retire(wh.spark)
+        for name in DIMENSIONS:
+            wh.dimension(name).retire(wh.spark)
+    return done
 
 
 def start_streams(

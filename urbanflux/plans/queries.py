@@ -46,12 +46,13 @@ from urbanflux.operators.validate import (
 from urbanflux.operators.windows import collapse_instants, next_event_time
 from urbanflux.plans import derived, kpis, views
 from urbanflux.plans.derived import table
-from urbanflux.plans.warehouse import STREAMED
+from urbanflux.plans.pipelines import with_reserved_ids
+from urbanflux.plans.warehouse import STREAMED, Warehouse
 from urbanflux.session import materialize, scratch_path
 from urbanflux.sources.calendar import dim_date, dim_date_covering, dim_time
 from urbanflux.sources.compaction import CompactedTable
 from urbanflux.sources.streams import Topic
-from urbanflux.sources.tables import append_table, read_table
+from urbanflux.sources.tables import append_table, overwrite_folder, read_table
 from urbanflux.streaming.ingest import GPS, TRAFFIC, IngestJob, checked_readings
 from urbanflux.streaming.monitor import letter_counts, start_monitor
 
@@ -269,6 +270,23 @@ def weather_fact_load(spark, sf):
     return weather_facts(keyed, time_text=None)
 
 
+def weather_ids(spark, sf):
+    """Reports stored by two runs: every fact has an id of its own."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    reports = derived.weather_reports(table(spark, sf, "lineitem"))
+    reports = reports.withColumn("run", F.dayofmonth("record_timestamp") % 2)
+    stations = derived.known_stations(table(spark, sf, "supplier"))
+    keyed = attach_surrogate(reports, stations, "station_id", "station_key", "inner")
+    for run in (0, 1):
+        facts = weather_facts(keyed.filter(F.col("run") == run), time_text=None)
+        numbered = with_reserved_ids(wh, "fact_weather_readings", facts, f"run {run}", "reading_id")
+        path = f"{wh.fact_path('fact_weather_readings')}/run_id={run}"
+        overwrite_folder(numbered, path, ("date_key",))
+    stored = wh.fact("fact_weather_readings")
+    alone = F.count("*").over(Window.partitionBy("reading_id")) == 1
+    return stored.select("run_id", "station_key", "record_timestamp", "temperature", alone.alias("id_is_unique"))
+
+
 def incident_dedupe(spark, sf):
     """Line items as incident reports: returned ones are stored, the others arrive."""
     reports = table(spark, sf, "lineitem").select(
@@ -710,6 +728,7 @@ QUERIES: dict[str, Query] = {
     "as_of_lookup": as_of_lookup,
     "fact_load_as_of": fact_load_as_of,
     "weather_fact_load": weather_fact_load,
+    "weather_ids": weather_ids,
     "incident_dedupe": incident_dedupe,
     "referential_check": referential_check,
     "primary_key_check": primary_key_check,

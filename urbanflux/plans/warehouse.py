@@ -70,6 +70,13 @@ class Warehouse:
         layout = StructType([*schema.fields, *folders.fields])
         return CompactedTable(self.fact_path(name), f"{self.root}/compacted/{name}", layout)
 
+    @property
+    def dead_letters(self) -> CompactedTable:
+        """Dead letters of streams and batch runs, compacted and landed."""
+        layout = StructType([*schemas.DEAD_LETTER_QUEUE.fields, *STREAMED.fields])
+        path = f"{self.root}/compacted/dead_letter_queue"
+        return CompactedTable(self.dead_letter_path, path, layout, partition_by=())
+
     def reserve_ids(self, name: str, run_id: str, n: int, start: int = 0) -> int:
         """Set ``n`` row ids aside for a run; they begin after the returned number.
 
@@ -101,8 +108,7 @@ class Warehouse:
         return f"{self.root}/dead_letter_queue"
 
     def dead_letter_queue(self) -> DataFrame:
-        layout = StructType([*schemas.DEAD_LETTER_QUEUE.fields, *STREAMED.fields])
-        return newest_first(read_table(self.spark, self.dead_letter_path, layout), "created_at")
+        return newest_first(self.dead_letters.read(self.spark), "created_at")
 
     def append_audit(self, events: DataFrame) -> None:
         append_table(events, f"{self.root}/etl_audit_log")
