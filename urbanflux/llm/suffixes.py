@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanflux.llm.common import ship_package
+from urbanflux.llm.ordered import join_counted
 from urbanflux.session import materialize
 
 LENGTH = 50
@@ -35,9 +36,11 @@ CHUNK = 1 << 20
 #: An anchor is frequent in at least so many documents, and one in so many of all anchors: there are at most so many.
 FREQUENT = 256
 FREQUENT_SHARE = 1 << 17
-#: Text bytes whose anchors are looked up together, and the fewest lookups a corpus is split into.
-BUCKET_BYTES = 32 << 20
+#: Text bytes whose anchors or windows meet in one bucket, about, and the fewest buckets.
+BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 256
+#: Anchors or replies that are packed together.
+PACKED = 1 << 22
 SALTS = 64
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
@@ -183,37 +186,67 @@ def is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-# Rows of one stage to the next: runs of windows (route, text) and removed ranges (no text).
-FLOW = "route long, hot boolean, doc_id long, text_key long, start long, stop long, text binary"
+# Rows of one stage to the next: packed runs of windows for a bucket, or a removed range.
+FLOW = "bucket long, hot boolean, runs binary, size long, doc_id long, text_key long, start long, stop long"
 FLOW_ARROW = pa.schema(
-    [("route", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("text", pa.binary())]
+    [("bucket", pa.int64()), ("hot", pa.bool_()), ("runs", pa.binary()), *((c, pa.int64()) for c in ("size", "doc_id", "text_key", "start", "stop"))]
 )
 
 
-def _flow(route: np.ndarray, hot: np.ndarray, doc: np.ndarray, key: np.ndarray, start: np.ndarray, stop: np.ndarray, texts: list | None) -> pa.RecordBatch:
-    texts = pa.nulls(len(doc), pa.binary()) if texts is None else pa.array(texts, pa.binary())
-    longs = [pa.array(x.astype(np.int64, copy=False)) for x in (route, doc, key, start, stop)]
-    return pa.RecordBatch.from_arrays([longs[0], pa.array(hot), *longs[1:], texts], schema=FLOW_ARROW)
+def _pack(*arrays: np.ndarray) -> tuple[bytes, int]:
+    raw = b"".join(x.tobytes() for x in arrays)
+    return pa.Codec("zstd", 1).compress(raw, asbytes=True), len(raw)
 
 
-def _settled(data: np.ndarray, at: np.ndarray, place: np.ndarray, text: np.ndarray, doc: np.ndarray, key: np.ndarray, route: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Removed ranges of the windows at ``at`` in ``data``, and the runs of hot or routed windows that are left.
+def pack_runs(data: np.ndarray, at: np.ndarray, size: np.ndarray, start: np.ndarray, doc: np.ndarray, key: np.ndarray) -> tuple[bytes, int]:
+    """Strings of ``size`` bytes from ``at`` on with their place in their text and its document."""
+    count = np.array([len(at)], np.int64)
+    steps = [np.diff(x, prepend=0) for x in (doc, key, start)]
+    index = np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return _pack(count, size.astype(np.int64), *steps, data[index])
 
-    ``place`` is where a window begins in its text; ``route`` 0 asks for no runs.
+
+def unpack_runs(packed: bytes, raw_size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bytes of all strings one after the other, and their sizes, documents, text keys and places."""
+    raw = pa.Codec("zstd").decompress(packed, raw_size, asbytes=True)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    size, *steps = np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n)
+    return np.frombuffer(raw, np.uint8, offset=8 + 32 * n), [size, *(np.cumsum(x) for x in steps)]
+
+
+def _ranges(doc: np.ndarray, key: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+    n = len(doc)
+    longs = [pa.array(x.astype(np.int64, copy=False)) for x in (doc, key, start, stop)]
+    # spread by document
+    return pa.RecordBatch.from_arrays([longs[0], pa.array(np.zeros(n, bool)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), *longs], schema=FLOW_ARROW)
+
+
+def _settled(data: np.ndarray, at: np.ndarray, place: np.ndarray, text: np.ndarray, doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, list[pa.RecordBatch]]:
+    """Which of the windows at ``at`` in ``data`` are left, and the ranges of those that fall.
+
+    ``place`` is where a window begins in its text; ``doc`` and ``key`` belong to texts.
     """
-    gone = beaten(data, at, doc)
-    index = np.flatnonzero(gone)
+    gone = beaten(data, at, doc[text])
+    index, ranges = np.flatnonzero(gone), []
     if len(index):
         first, last = (index[x] for x in runs_of(place[index], text[index]))
-        no = np.zeros(len(first), bool)
-        # removed ranges are spread by their text
-        yield _flow(key[first], no, doc[first], key[first], place[first], place[last] + LENGTH, None)
-    index = np.flatnonzero(~gone & (route != 0))
-    if len(index):
-        first, last = (index[x] for x in runs_of(place[index], text[index], route[index]))
-        held = data.tobytes()
-        texts = [held[a:b] for a, b in zip(at[first].tolist(), (at[last] + LENGTH).tolist(), strict=True)]
-        yield _flow(route[first], hot[first], doc[first], key[first], place[first], place[last] + LENGTH, texts)
+        ranges.append(_ranges(doc[text[first]], key[text[first]], place[first], place[last] + LENGTH))
+    return np.flatnonzero(~gone), ranges
+
+
+def _packed(data: np.ndarray, at: np.ndarray, place: np.ndarray, text: np.ndarray, doc: np.ndarray, key: np.ndarray, route: np.ndarray, bucket: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+    """Runs of windows with one route, packed by bucket, frequent ones apart."""
+    first, last = runs_of(place, text, route)
+    order = np.lexsort((place[first], key[text[first]], doc[text[first]], hot[first], bucket[first]))
+    first, last = first[order], last[order]
+    new = np.append(np.flatnonzero(changes(bucket[first], hot[first])), len(first))
+    rows = []
+    for a, b in zip(new[:-1].tolist(), new[1:].tolist(), strict=True):
+        f, t = first[a:b], text[first[a:b]]
+        rows.append(pack_runs(data, at[f], at[last[a:b]] + LENGTH - at[f], place[f], doc[t], key[t]))
+    lead, n = first[new[:-1]], len(rows)
+    columns = [pa.array(bucket[lead].astype(np.int64)), pa.array(hot[lead]), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())]
+    return pa.RecordBatch.from_arrays([*columns, *[pa.nulls(n, pa.int64())] * 4], schema=FLOW_ARROW)
 
 
 def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -258,36 +291,44 @@ def recurring_anchors(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
+            fresh = ~np.asarray(batch.column(2).fill_null(False)).astype(bool)
+            batch = batch.filter(pa.array(fresh))
             for code, doc in text_anchors(*flat_texts(batch.column(1)), _longs(batch, "doc_id")):
                 rare = ~is_in(code, frequent)
-                code, doc = code[rare], doc[rare]
-                first = np.flatnonzero(changes(code))
-                shared = np.repeat(np.diff(np.append(first, len(code))) > 1, np.diff(np.append(first, len(code))))
-                yield from _replies(doc[shared], _short(code[shared], buckets))
-                lone = ~shared
-                bucket = (code % np.uint64(buckets)).astype(np.int64)
-                upper = (code >> np.uint64(32)).astype(np.uint32)
-                known = shared & changes(code)
-                rows = []
-                at = np.flatnonzero(lone)
-                at = at[np.lexsort((doc[at], bucket[at]))]
-                met = np.flatnonzero(known)
-                met = met[np.argsort(bucket[met], kind="stable")]
-                edges, met_edges = (np.searchsorted(bucket[x], np.arange(buckets + 1)) for x in (at, met))
-                for b in np.flatnonzero((np.diff(edges) > 0) | (np.diff(met_edges) > 0)).tolist():
-                    mine, theirs = at[edges[b] : edges[b + 1]], met[met_edges[b] : met_edges[b + 1]]
-                    steps = zlib.compress(np.diff(doc[mine], prepend=0).tobytes(), 1)
-                    rows.append((b, upper[mine].tobytes(), steps, upper[theirs].tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int64()), pa.nulls(len(rows), pa.int64()),
-                        *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)),
-                    ],
-                    schema=asked,
-                )
-
-    def answer(bucket: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+                found.append((code[rare], doc[rare]))
+                held += int(rare.sum())
+                if held >= PACKED:
+                    yield from asks(found)
+                    found, held = [], 0
+        if held:
+            yield from asks(found)
+
+    def asks(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        code, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((doc, code))
+        code, doc = code[order], doc[order]
+        new = changes(code, doc)
+        code, doc = code[new], doc[new]
+        first = np.flatnonzero(changes(code))
+        size = np.diff(np.append(first, len(code)))
+        shared = np.repeat(size > 1, size)
+        yield from _replies(doc[shared], _short(code[shared], buckets))
+        bucket = (code % np.uint64(buckets)).astype(np.int64)
+        upper = (code >> np.uint64(32)).astype(np.uint32)
+        at, met = np.flatnonzero(~shared), np.flatnonzero(shared & changes(code))
+        at, met = at[np.lexsort((doc[at], bucket[at]))], met[np.argsort(bucket[met], kind="stable")]
+        edges, met_edges = (np.searchsorted(bucket[x], np.arange(buckets + 1)) for x in (at, met))
+        rows = []
+        for b in np.flatnonzero((np.diff(edges) > 0) | (np.diff(met_edges) > 0)).tolist():
+            mine, theirs = at[edges[b] : edges[b + 1]], met[met_edges[b] : met_edges[b + 1]]
+            steps = zlib.compress(np.diff(doc[mine], prepend=0).tobytes(), 1)
+            rows.append((b, upper[mine].tobytes(), steps, upper[theirs].tobytes()))
+        columns = [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.nulls(len(rows), pa.int64()), *columns], schema=asked)
+
+    def answer(bucket: int, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         codes = np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows])
         docs = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(r[1]), np.int64)) for r in rows])
         known = np.unique(np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows]))
@@ -297,22 +338,34 @@ def recurring_anchors(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
         size = np.diff(np.append(first, len(codes)))
         several = docs[first] != docs[first + size - 1]
         recur = np.repeat(several, size) | is_in(codes, known)
-        yield from _replies(docs[recur], codes[recur].astype(np.uint64) << np.uint64(32) | np.uint64(bucket))
+        return docs[recur], codes[recur].astype(np.uint64) << np.uint64(32) | np.uint64(bucket)
 
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, rows = None, []
+        bucket, rows, found, held = None, [], [], 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if found:
+                pairs = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield from (x.select(["doc_id", "codes"]) for x in _replies(*pairs))
+            found.clear()
+
         for batch in batches:
-            told = _longs(batch, "bucket") < 0
-            if told.any():
-                yield batch.filter(pa.array(told)).select(["doc_id", "codes"])
-            for b, _, *row in zip(*(c.to_pylist() for c in batch.filter(pa.array(~told)).columns), strict=True):
+            passed = _longs(batch, "bucket") < 0
+            if passed.any():
+                yield batch.filter(pa.array(passed)).select(["doc_id", "codes"])
+            for b, _, *row in zip(*(c.to_pylist() for c in batch.filter(pa.array(~passed)).columns), strict=True):
                 if b != bucket and rows:
-                    yield from (x.select(["doc_id", "codes"]) for x in answer(bucket, rows))
+                    found.append(answer(bucket, rows))
+                    held += len(found[-1][0])
                     rows = []
+                    if held >= PACKED:
+                        yield from told()
+                        held = 0
                 bucket = b
                 rows.append(row)
         if rows:
-            yield from (x.select(["doc_id", "codes"]) for x in answer(bucket, rows))
+            found.append(answer(bucket, rows))
+        yield from told()
 
     asked = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.binary()), ("docs", pa.binary()), ("known", pa.binary())])
     questions = texts.mapInArrow(ask, "bucket long, doc_id long, codes binary, docs binary, known binary")
@@ -337,16 +390,25 @@ def _replies(doc: np.ndarray, short: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_windows(texts: DataFrame, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """``FLOW``: what batches of ``doc_id, text, text_key, codes`` can tell by themselves, and the windows left.
+    """``FLOW``: what batches of ``doc_id, text, copied, text_key, codes`` can tell by themselves, and the windows left.
 
-    ``texts`` must be in order, so that a repeated task gives the same rows.
+    A text that a smaller id holds as a whole falls as a whole. ``texts`` must be in order, so that a repeated
+    task gives the same rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            copied = np.asarray(batch.column(2).fill_null(False)).astype(bool)
+            if copied.any():
+                whole = batch.filter(pa.array(copied))
+                size = np.diff(flat_texts(whole.column(1))[1])
+                long = size >= LENGTH
+                if long.any():
+                    yield _ranges(_longs(whole, "doc_id")[long], _longs(whole, "text_key")[long], np.zeros(long.sum(), np.int64), size[long])
+                batch = batch.filter(pa.array(~copied))
             data, starts = flat_texts(batch.column(1))
             ids, keys = _longs(batch, "doc_id"), _longs(batch, "text_key")
-            told = [x for c in batch.column(3).to_pylist() for x in c or ()]
+            told = [x for c in batch.column(4).to_pylist() for x in c or ()]
             told = np.unique(np.frombuffer(b"".join(told), np.uint64))
             for first, piece, whole, text in chunks(data, starts):
                 code = anchors(piece, GRAM)[whole]
@@ -354,78 +416,96 @@ def candidate_windows(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
                 hot = is_in(code[begin], frequent)
                 keep = hot | is_in(_short(code[begin], buckets), told)
                 size = end - begin + 1
-                at = np.flatnonzero(np.repeat(keep, size))
-                if not len(at):
+                index = np.flatnonzero(np.repeat(keep, size))
+                if not len(index):
                     continue
-                hot, route, place = np.repeat(hot, size)[at], code[at], whole[at]
-                if hot.any():
-                    route = np.where(hot, anchors(piece, LONG_GRAM)[place], route)
-                text = text[at]
-                route = np.where(route == 0, 1, route).view(np.int64)
-                yield from _settled(piece, place, place + first - starts[text], text, ids[text], keys[text], route, hot)
+                hot, route, at, text = np.repeat(hot, size)[index], code[index], whole[index], text[index]
+                place = at + first - starts[text]
+                left, ranges = _settled(piece, at, place, text, ids, keys)
+                yield from ranges
+                if len(left):
+                    at, place, text, route, hot = (x[left] for x in (at, place, text, route, hot))
+                    if hot.any():
+                        route = np.where(hot, anchors(piece, LONG_GRAM)[at], route)
+                    yield _packed(piece, at, place, text, ids, keys, route, _bucket(route, hot, ids[text], buckets), hot)
+
+    return texts.select("doc_id", "text", "copied", "text_key", "codes").mapInArrow(run, FLOW)
+
 
-    return texts.select("doc_id", "text", "text_key", "codes").mapInArrow(run, FLOW)
+def _bucket(route: np.ndarray, hot: np.ndarray, doc: np.ndarray, buckets: int) -> np.ndarray:
+    """Where windows meet: frequent ones first within a share of the documents."""
+    salt = (doc.astype(np.int64).view(np.uint64) % np.uint64(SALTS)) * np.uint64(MIX[0])
+    mixed = np.where(hot, route ^ salt, route)
+    return ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
-def settle(flow: DataFrame, last: bool) -> DataFrame:
-    """Compares windows that meet by their route; removed ranges pass.
+def settle(flow: DataFrame, buckets: int, last: bool) -> DataFrame:
+    """Compares windows that meet in a bucket; removed ranges pass.
 
-    Frequent windows meet in two rounds: first a share of the documents, whose winners go on, then all.
+    Frequent windows meet in two rounds: first within a share of the documents, whose winners go on, then all.
     """
-    salted = F.when(F.col("hot"), F.xxhash64("route", F.pmod("doc_id", F.lit(SALTS)))).otherwise(F.col("route"))
-    meet = flow.withColumn("meet", F.col("route") if last else salted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, windows, previous = [], 0, None
+        bucket, held = None, []
         for batch in batches:
-            there = np.asarray(batch.column(7).is_valid())
-            if not there.all():
-                yield batch.filter(pa.array(~there)).select(FLOW_ARROW.names)
-                batch = batch.filter(pa.array(there))
-            if not batch.num_rows:
-                continue
-            meets = _longs(batch, "meet")
-            new = changes(meets)
-            new[0] = previous is not None and meets[0] != previous
-            size = _longs(batch, "stop") - _longs(batch, "start") - LENGTH + 1
-            cut = int(np.argmax(new)) if new.any() else None
-            if windows >= CHUNK and cut is not None:
-                if cut:
-                    held.append(batch.slice(0, cut))
-                yield from compare(held)
-                held, windows, batch, size = [], 0, batch.slice(cut), size[cut:]
-            held.append(batch)
-            windows += int(size.sum())
-            previous = meets[-1]
+            packed = np.asarray(batch.column(2).is_valid())
+            if not packed.all():
+                yield batch.filter(pa.array(~packed))
+                batch = batch.filter(pa.array(packed))
+            for b, hot, runs, size in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if b != bucket and held:
+                    yield from compare(held)
+                    held = []
+                bucket = b
+                held.append((hot, runs, size))
         if held:
             yield from compare(held)
 
-    def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        data, starts = flat_texts(rows.column(7))
-        size = np.diff(starts) - LENGTH + 1
-        row = np.repeat(np.arange(len(size)), size)
-        within = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        route, hot = _longs(rows, "route"), rows.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        route = np.zeros(len(size), np.int64) if last else np.where(hot, route, 0)
-        args = (_longs(rows, c)[row] for c in ("doc_id", "text_key"))
-        yield from _settled(data, starts[row] + within, _longs(rows, "start")[row] + within, row, *args, route[row], hot[row])
-
-    order = ["meet", "doc_id", "text_key", "start"]
-    placed = meet.select("meet", "route", "hot", "doc_id", "text_key", "start", "stop", "text").repartition("meet").sortWithinPartitions(*order)
-    return placed.mapInArrow(run, FLOW)
-
-
-def removed_ranges(texts: DataFrame) -> DataFrame:
-    """``doc_id, text_key, start, stop``: byte ranges of ``doc_id, text, text_key`` to remove; they may overlap."""
+    def compare(held: list[tuple[bool, bytes, int]]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack_runs(runs, size) for _, runs, size in held]
+        data = np.concatenate([p[0] for p in parts])
+        size, doc, key, start = (np.concatenate([p[1][k] for p in parts]) for k in range(4))
+        hot = np.repeat([h for h, _, _ in held], [len(p[1][0]) for p in parts])
+        windows = size - LENGTH + 1
+        run = np.repeat(np.arange(len(size)), windows)
+        within = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at, place = (np.cumsum(size) - size)[run] + within, start[run] + within
+        left, ranges = _settled(data, at, place, run, doc, key)
+        yield from ranges
+        left = left[hot[run[left]]] if not last else left[:0]
+        if len(left):
+            at, place, run = at[left], place[left], run[left]
+            route, again = anchors(data, LONG_GRAM)[at], np.ones(len(left), bool)
+            yield _packed(data, at, place, run, doc, key, route, _bucket(route, ~again, doc[run], buckets), again)
+
+    return flow.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FLOW)
+
+
+def whole_copies(texts: DataFrame) -> DataFrame:
+    """``doc_id, copies``: keys of texts of a document that one with a smaller id holds as a whole."""
+    rows = texts.select("doc_id", "text_key", F.unhex(F.sha2("text", 256)).alias("digest"))
+    firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    firsts = materialize(firsts.where("first < last"), "copies").drop("last")
+    found = join_counted(rows, firsts, ["digest"], "n", texts.count()).where("doc_id > first")
+    return found.groupBy("doc_id").agg(F.collect_set("text_key").alias("copies"))
+
+
+def removed_ranges(texts: DataFrame, dealt: DataFrame) -> DataFrame:
+    """``doc_id, text_key, start, stop``: byte ranges of ``doc_id, text, text_key`` to remove; they may overlap.
+
+    ``dealt`` has the same rows, partitioned by document.
+    """
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     frequent = frequent_anchors(texts.select("doc_id", "text"))
-    codes = recurring_anchors(texts.select("doc_id", "text"), frequent, buckets).groupBy("doc_id").agg(F.collect_list("codes").alias("codes"))
-    known = texts.join(codes, "doc_id", "left").select("doc_id", "text", "text_key", "codes").sortWithinPartitions("doc_id", "text_key")
-    flow = candidate_windows(known, frequent, buckets)
-    ranges = settle(settle(flow, last=False), last=True)
-    return ranges.where("text IS NULL").select("doc_id", "text_key", "start", "stop")
+    copies = materialize(whole_copies(texts), "copies")
+    marked = dealt.join(copies, "doc_id", "left").withColumn("copied", F.array_contains("copies", F.col("text_key")))
+    codes = recurring_anchors(marked.select("doc_id", "text", "copied"), frequent, buckets)
+    codes = codes.groupBy("doc_id").agg(F.collect_list("codes").alias("codes"))
+    known = marked.join(codes, "doc_id", "left").select("doc_id", "text", "copied", "text_key", "codes")
+    flow = candidate_windows(known.sortWithinPartitions("doc_id", "text_key"), frequent, buckets)
+    ranges = settle(settle(flow, buckets, last=False), buckets, last=True)
+    return ranges.where("runs IS NULL").select("doc_id", "text_key", "start", "stop")
 
 
 def cut_spans(ranges: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -452,8 +532,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     text = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = df.select(F.col(key).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     texts = rows.where("doc_id IS NOT NULL")
-    ranges = removed_ranges(texts).groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start", "stop")).alias("ranges"))
-    found = texts.join(ranges, "doc_id", "left").select("doc_id", "text", "text_key", "ranges")
+    dealt = texts.repartition("doc_id")  # one shuffle of the texts for all that reads them by document
+    ranges = removed_ranges(texts, dealt).groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start", "stop")).alias("ranges"))
+    found = dealt.join(ranges, "doc_id", "left").select("doc_id", "text", "text_key", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
