@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     scd2.add_argument("--lower")
     scd2.add_argument("--upper")
     scd2.add_argument("--partitions", type=int, default=1)
+    scd2.add_argument("--close-missing", action="store_true", help="end versions of entities gone from the source")
 
     daily = jobs.add_parser("daily", help="apply parquet deltas, then merge the dimensions")
     daily.add_argument("routes")
@@ -86,10 +87,8 @@ def run(spark, args) -> None:
     if args.job == "calendar":
         set_up_calendar(wh, args.first_day, args.last_day)
     elif args.job == "scd2":
-        if args.jdbc_url:
-            run_scd2(wh, *(read_jdbc(spark, database_table(args, n)) for n in ("sensors", "vehicles")))
-        else:
-            run_scd2(wh)
+        sources = [read_jdbc(spark, database_table(args, n)) for n in ("sensors", "vehicles")] if args.jdbc_url else []
+        run_scd2(wh, *sources, close_missing=args.close_missing)
     elif args.job == "daily":
         routes, vehicles = spark.read.parquet(args.routes), spark.read.parquet(args.vehicles)
         run_daily(wh, routes, vehicles, run_id=args.run_id)

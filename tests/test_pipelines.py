@@ -14,6 +14,7 @@ from urbanflux.operators.audit import Counts, StepsFailed, latest_state, run_aud
 from urbanflux.plans.pipelines import (
     load_incidents,
     load_seed,
+    compact_facts,
     run_daily,
     run_hourly,
     run_scd2,
@@ -96,6 +97,36 @@ def test_daily_delta_and_merge(spark, wh):
     }
 
 
+def test_keys_of_closed_entities_are_not_given_again(spark, wh):
+    run_scd2(wh, now=JAN)
+    vehicles = wh.operational("vehicles").current(spark)
+    sensors = wh.operational("sensors").current(spark)
+    run_scd2(wh, sensors, vehicles.filter("vehicle_id != 'VH-005'"), FEB, close_missing=True, most_missing=0.5)
+    assert wh.current_dimension("dim_vehicles").count() == vehicles.count() - 1
+    run_scd2(wh, sensors, vehicles, datetime(2026, 3, 1), close_missing=True)
+    versions = wh.dimension("dim_vehicles").all_versions(spark).collect()
+    assert len({r["vehicle_key"] for r in versions}) == len(versions) == vehicles.count() + 1
+    with pytest.raises(StepsFailed):
+        run_scd2(wh, sensors, vehicles.limit(0), datetime(2026, 4, 1), close_missing=True)
+    assert wh.current_dimension("dim_vehicles").count() == vehicles.count()
+
+
+def test_a_repeated_daily_run_leaves_one_copy_of_its_rejects(spark, wh):
+    routes = inline_rows(spark, [(None, "x", "BUS", "a", 8)], ROUTE)
+    vehicles = inline_rows(spark, [("VH-009", "p", "BUS", "op", "RT-404", "IN_SERVICE")], VEHICLE)
+    for hour in (1, 5):
+        run_daily(wh, routes, vehicles, datetime(2026, 2, 1, hour))
+    reasons = sorted(r["validation_error"] for r in wh.dead_letter_queue().collect())
+    assert reasons == ["Missing required field: route_id", "Unknown assigned_route_id"]
+    run_daily(wh, routes, vehicles, datetime(2026, 2, 2), run_id="2026-02-02T00:00:00+00:00")
+    assert wh.dead_letter_queue().count() == 4
+    folders = [f for r in wh.dead_letters.landed_batches(spark).values() for f in r.values()]
+    assert len(folders) == 4 and not any(":" in f.removeprefix("file:") for f in folders)
+    assert compact_facts(wh, runs_before="2026-02-02")["dead_letter_queue"] == 2
+    assert compact_facts(wh, runs_before="2026-02-02", retire=True)["dead_letter_queue"] == 0
+    assert wh.dead_letter_queue().count() == 4
+
+
 def test_a_failing_merge_does_not_stop_the_other(spark, wh):
     broken = spark.createDataFrame([("SNS-001",)], "sensor_id string")
     with pytest.raises(StepsFailed):

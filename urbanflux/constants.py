@@ -25,6 +25,8 @@ TIME_BANDS = ((7, 9, "AM Peak (07:00-09:00)"), (16, 18, "PM Peak (16:00-18:00)")
 OFF_PEAK = "Off-Peak"
 LATE_GAP_MINUTES = 12.0
 EARLY_GAP_MINUTES = 8.0
+#: Share by which a gap may differ from a route's schedule: the limits above are 10 minutes with it.
+SCHEDULE_TOLERANCE = 0.2
 DELAYED, EARLY, ON_SCHEDULE = "Delayed", "Early/Clustered", "On Schedule"
 BUS = "BUS"
 FREE_FLOW_SPEED = 55.0

@@ -31,7 +31,9 @@ def hazard_score(severity: Column) -> Column:
 
 
 def punctuality_status(
-    gap: Column, late: float = K.LATE_GAP_MINUTES, early: float = K.EARLY_GAP_MINUTES
+    gap: Column,
+    late: float | Column = K.LATE_GAP_MINUTES,
+    early: float | Column = K.EARLY_GAP_MINUTES,
 ) -> Column:
     return _case([(gap > F.lit(late), K.DELAYED), (gap < F.lit(early), K.EARLY)], K.ON_SCHEDULE)
 

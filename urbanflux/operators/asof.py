@@ -51,17 +51,19 @@ def attach_as_of(
     start: str = "start_date",
     end: str = "end_date",
     slice_seconds: int = DAY_SECONDS,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``values`` of the version valid at ``ts``: ``start <= ts < end``, an open end being for ever.
 
     Rows before the first version, in a gap between two, with a null key or time get nulls (or go, with
     ``how="inner"``). Of versions that overlap, the one that began last counts; of several with one begin, the one
-    whose end and values are largest. ``df`` is read twice, so it should be a written or cached table. Versions
-    of one key are gathered per slice only, so a slice should not hold very many of them.
+    whose end and values are largest. ``df`` is read twice, so it should be a written or cached table, unless
+    ``asked`` gives a smaller one with a ``key`` and ``ts`` for every slice in which ``df`` has some. Versions of one
+    key are gathered per slice only, so a slice should not hold very many of them.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    lookup = slice_versions(df, versions, key, ts, values, start, end, slice_seconds)
+    lookup = slice_versions(df if asked is None else asked, versions, key, ts, values, start, end, slice_seconds)
     sliced = df.withColumn("_slice", time_chunk(F.col(ts), slice_seconds))
     found = sliced.join(lookup, [key, "_slice"], how).withColumn("_version", valid_at(F.col("_versions"), F.col(ts)))
     if how == "inner":

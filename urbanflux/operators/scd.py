@@ -13,6 +13,14 @@ from urbanflux.operators.enrich import current_versions
 from urbanflux.operators.surrogate import assign_surrogate_keys, highest_key
 from urbanflux.session import materialize
 
+#: Share of the current entities that a merge may close for being gone from the source.
+MOST_MISSING = 0.1
+
+
+class PartialSource(ValueError):
+    """The source lacks so many entities that it is more likely cut short than right."""
+
+
 NEW, CHANGED, UNCHANGED, ABSENT = "new", "changed", "unchanged", "absent"
 
 
@@ -104,17 +112,30 @@ def scd2_merge(
     spec: Scd2Spec,
     effective: Column,
     null_safe: bool = True,
+    close_missing: bool = False,
+    most_missing: float = MOST_MISSING,
 ) -> Scd2Result:
     """Close changed versions at ``effective`` and open new ones from it.
 
-    Validity is half-open, ``[start_date, end_date)``. Entities gone from the source keep
-    their current version. Source rows without a natural key are left out. One join of source and current versions feeds everything.
+    Validity is half-open, ``[start_date, end_date)``. Source rows without a natural key are left
+    out. One join of source and current versions feeds everything.
+
+    Entities gone from the source keep their current version, unless ``close_missing``: then that
+    version ends at ``effective``, and an entity that comes back gets a new one, whether it changed
+    meanwhile or not, so the gap between both says how long it was gone. A source that lacks more than
+    the share ``most_missing`` of the current entities raises ``PartialSource`` before anything is
+    derived from it. Closed entities are no source rows and so count neither as read nor as written.
     """
     paired = materialize(_pair(source, dimension, spec, null_safe, "full_outer"), "scd2")
     counts = {r["change_type"]: r["n"] for r in paired.groupBy("change_type").agg(
         F.count("*").alias("n")).collect()}  # at most four rows
 
+    missing, held = counts.get(ABSENT, 0), sum(counts.get(c, 0) for c in (CHANGED, UNCHANGED, ABSENT))
+    if close_missing and missing > most_missing * held:
+        raise PartialSource(f"{missing} of {held} current entities are missing from the source")
+
     changed = F.col("change_type") == CHANGED
+    ended = F.col("change_type").isin(CHANGED, ABSENT) if close_missing else changed
     opened = assign_surrogate_keys(
         paired.filter(changed | (F.col("change_type") == NEW)).select(spec.natural_key, "new.*"),
         [spec.natural_key],
@@ -130,9 +151,9 @@ def scd2_merge(
     )
     columns = dimension.columns
     had_version = paired.filter(F.col("old").isNotNull())
-    kept = had_version.filter(~changed).select("old.*")
+    kept = had_version.filter(~ended).select("old.*")
     expired = (
-        had_version.filter(changed)
+        had_version.filter(ended)
         .select("old.*")
         .withColumns({"end_date": effective, "is_current": F.lit(False)})
     )

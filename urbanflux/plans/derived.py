@@ -149,6 +149,22 @@ def sensor_history(customer: DataFrame) -> DataFrame:
     )
 
 
+def route_history(customer: DataFrame) -> DataFrame:
+    """Schedules of the routes: one till a morning, another from then or two days later on; some have none."""
+    version, nation = F.col("version"), F.col("c_nationkey")
+    nations = customer.select("c_nationkey").distinct().filter(nation % 6 != 5)
+    routes = nations.select("c_nationkey", F.explode(F.array(F.lit(0), F.lit(100))).alias("offset"))
+    versions = routes.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("version"))
+    first, change = F.expr("timestamp_ntz'2024-01-01 00:00:00'"), F.expr("timestamp_ntz'2024-01-10 06:00:00'")
+    late_change = F.expr("timestamp_ntz'2024-01-12 00:00:00'")
+    return versions.select(
+        F.concat(F.lit("RT-"), nation + F.col("offset")).alias("route_id"),
+        F.when(version == 0, 400 + nation % 5 * 20).otherwise(430 + nation % 7 * 10).alias("schedule_interval_minutes"),
+        F.when(version == 0, first).when(nation % 4 == 0, late_change).otherwise(change).alias("start_date"),
+        F.when(version == 0, change).alias("end_date"),
+    )
+
+
 def traffic_readings(events: DataFrame) -> DataFrame:
     return with_calendar_keys(_k(events), "ts").select(
         F.col("event_id").alias("reading_id"),

@@ -171,6 +171,30 @@ v_punctuality AS (
          ELSE '{K.ON_SCHEDULE}' END AS punctuality_status
   FROM gaps)"""
 
+_SCHEDULE_PUNCTUALITY = f"""{_VEHICLES}, {_PINGS}, schedules AS (
+  SELECT 'RT-' || (n + o) AS route_id, CASE v WHEN 0 THEN 400 + n % 5 * 20 ELSE 430 + n % 7 * 10 END AS minutes,
+    CASE WHEN v = 0 THEN TIMESTAMP '2024-01-01' WHEN n % 4 = 0 THEN TIMESTAMP '2024-01-12'
+      ELSE TIMESTAMP '2024-01-10 06:00:00' END AS start_date,
+    CASE v WHEN 0 THEN TIMESTAMP '2024-01-10 06:00:00' END AS end_date
+  FROM (SELECT DISTINCT c_nationkey AS n FROM customer), (VALUES (0), (100)) offsets(o), (VALUES (0), (1)) versions(v)
+  WHERE n % 6 <> 5),
+route_pings AS (
+  SELECT assigned_route_id, ts,
+    lead(ts) OVER (PARTITION BY vehicle_id ORDER BY ts, ping_id) AS next_ts
+  FROM pings JOIN vehicles USING (vehicle_key)
+  WHERE vehicle_type = 'BUS' AND assigned_route_id IS NOT NULL),
+gaps AS (
+  SELECT assigned_route_id, minutes, avg(CAST(epoch_us(next_ts) - epoch_us(ts) AS DOUBLE) / 60000000) AS gap
+  FROM route_pings LEFT JOIN schedules ON route_id = assigned_route_id
+    AND start_date <= ts AND (end_date IS NULL OR ts < end_date)
+  WHERE next_ts IS NOT NULL GROUP BY ALL)
+SELECT assigned_route_id, CAST(minutes AS INTEGER) AS schedule_interval_minutes,
+  round(gap, 6) AS avg_actual_gap_minutes,
+  CASE WHEN gap > coalesce(minutes * CAST(1.02 AS DOUBLE), 460) THEN '{K.DELAYED}'
+    WHEN gap < coalesce(minutes * CAST(0.98 AS DOUBLE), 420) THEN '{K.EARLY}'
+    ELSE '{K.ON_SCHEDULE}' END AS punctuality_status
+FROM gaps"""
+
 _PEAK_VIEW = f"""{_E}, {_EVENT_CALENDAR}, {_READINGS},
 v_peak AS (
   SELECT CASE {_bands("hour")} ELSE '{K.OFF_PEAK}' END AS time_period,
@@ -434,6 +458,31 @@ GROUP BY ALL HAVING count(*) > 1""",
         "vehicle_id",
         "license_plate, vehicle_type, operator_name, assigned_route_id, status",
     ),
+    "scd2_close_missing": """WITH source AS (
+  SELECT c_custkey AS n, 'SNS-' || c_custkey AS sensor_id, c_name AS location_name,
+    CAST(c_nationkey AS DOUBLE) AS latitude, c_acctbal AS longitude, c_mktsegment AS status,
+    CASE c_mktsegment WHEN 'MACHINERY' THEN 'MAINTENANCE' ELSE c_mktsegment END AS earlier_status,
+    CASE WHEN c_custkey % 14 = 0 THEN 'RENEWED' ELSE c_mktsegment END AS later_status,
+    c_acctbal >= 0 AS known, c_custkey % 7 <> 0 AS in_first, c_custkey % 11 <> 3 AS in_second
+  FROM customer),
+states AS (
+  -- version held before, after the first merge, after the second: its status, null if there is none
+  SELECT *, CASE WHEN known THEN earlier_status END AS s0,
+    CASE WHEN in_first THEN status END AS s1, CASE WHEN in_second THEN later_status END AS s2 FROM source),
+versions AS (
+  SELECT *, 'PLANNED' AS shown, TIMESTAMP '2023-01-01' AS start_date, TIMESTAMP '2024-01-01' AS end_date
+  FROM states WHERE known AND status = 'BUILDING'
+  UNION ALL
+  SELECT *, s0, TIMESTAMP '2024-01-01', CASE WHEN s1 IS DISTINCT FROM s0 THEN TIMESTAMP '2024-02-01'
+    WHEN s2 IS DISTINCT FROM s0 THEN TIMESTAMP '2024-03-01' END FROM states WHERE s0 IS NOT NULL
+  UNION ALL
+  SELECT *, s1, TIMESTAMP '2024-02-01', CASE WHEN s2 IS DISTINCT FROM s1 THEN TIMESTAMP '2024-03-01' END
+  FROM states WHERE s1 IS NOT NULL AND s1 IS DISTINCT FROM s0
+  UNION ALL
+  SELECT *, s2, TIMESTAMP '2024-03-01', NULL FROM states
+  WHERE s2 IS NOT NULL AND s2 IS DISTINCT FROM s1)
+SELECT sensor_id, location_name, latitude, longitude, shown AS status, start_date, end_date,
+  end_date IS NULL AS is_current, start_date AS created_at, TRUE AS key_is_unique FROM versions""",
     "scd2_null_change": f"""WITH {_VEHICLE_STATES}
 SELECT vehicle_id, change_type, plain_change_type FROM classified""",
     "scd1_upsert": f"WITH {_STATIONS} SELECT * FROM stations",
@@ -464,6 +513,7 @@ SELECT * REPLACE (round(avg_speed_mph, 6) AS avg_speed_mph,
     "punctuality_view": f"""WITH {_PUNCTUALITY_VIEW}
 SELECT * REPLACE (round(avg_actual_gap_minutes, 6) AS avg_actual_gap_minutes)
 FROM v_punctuality""",
+    "schedule_punctuality": f"WITH {_SCHEDULE_PUNCTUALITY}",
     "peak_hour_view": f"""WITH {_PEAK_VIEW}
 SELECT time_period, day_name, round(avg_speed, 6) AS avg_speed,
   round(avg_volume, 6) AS avg_volume, round(avg_congestion_index, 6) AS avg_congestion_index

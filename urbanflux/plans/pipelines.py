@@ -18,7 +18,7 @@ from urbanflux.operators.dedupe import new_incidents
 from urbanflux.operators.enrich import attach_surrogate
 from urbanflux.operators.facts import INCIDENT_COLUMNS, incident_facts, weather_facts
 from urbanflux.operators.integrity import ForeignKey, mark_orphans
-from urbanflux.operators.scd import SENSORS, VEHICLES, Scd2Spec, scd2_merge
+from urbanflux.operators.scd import MOST_MISSING, SENSORS, VEHICLES, Scd2Spec, scd2_merge
 from urbanflux.operators.surrogate import assign_surrogate_keys, number_places
 from urbanflux.operators.upsert import insert_if_absent, upsert, upsert_stations
 from urbanflux.operators.validate import dead_letters, faulty_rows, mark_faults, valid_rows
@@ -95,11 +95,24 @@ def daily_run(now: datetime | None = None) -> str:
 
 
 def merge_dimension(
-    wh: Warehouse, source: DataFrame, dimension: str, spec: Scd2Spec, now: datetime | None = None
+    wh: Warehouse,
+    source: DataFrame,
+    dimension: str,
+    spec: Scd2Spec,
+    now: datetime | None = None,
+    close_missing: bool = False,
+    most_missing: float = MOST_MISSING,
 ) -> Counts:
-    """Bring a type 2 dimension up to date with its operational table."""
+    """Bring a type 2 dimension up to date with its operational table.
+
+    Keys go on from the highest that any version has had, so a closed entity that comes back never
+    shares one.
+    """
     table = wh.dimension(dimension)
-    result = scd2_merge(source, table.current(wh.spark), spec, _at(now))
+    held = table.all_versions(wh.spark) if close_missing else table.current(wh.spark)
+    result = scd2_merge(
+        source, held, spec, _at(now), close_missing=close_missing, most_missing=most_missing
+    )
     table.commit(result.current, result.expired)
     return Counts(result.read, result.written)
 
@@ -109,9 +122,13 @@ def run_scd2(
     sensors: DataFrame | None = None,
     vehicles: DataFrame | None = None,
     now: datetime | None = None,
+    close_missing: bool = False,
+    most_missing: float = MOST_MISSING,
 ) -> None:
     """Merge both dimensions, audited one by one; a failure of one is raised after the other ran.
 
+    ``close_missing`` ends the versions of entities that are gone from the source, as ``scd2_merge`` does.
+
     Sources default to the operational tables of the warehouse; pass JDBC frames to read
     them from a database.
     """
@@ -123,7 +140,7 @@ def run_scd2(
     def audited(job, source, operational, dimension, spec):
         def merge() -> Counts:
             rows = wh.operational(operational).current(wh.spark) if source is None else source
-            return merge_dimension(wh, rows, dimension, spec, now)
+            return merge_dimension(wh, rows, dimension, spec, now, close_missing, most_missing)
 
         return lambda: run_audited(wh.spark, job, merge, wh.append_audit)
 

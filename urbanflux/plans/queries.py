@@ -362,6 +362,26 @@ def scd2_merge_vehicles(spark, sf):
     ).dimension
 
 
+def scd2_close_missing(spark, sf):
+    """Two merges: some sensors vanish in the first and return in the second, in part changed."""
+    customer = table(spark, sf, "customer")
+    now = derived.operational_sensors(customer)
+    number = F.substring("sensor_id", 5, 20).cast("long")
+    first = scd2_merge(
+        now.filter(number % 7 != 0), derived.earlier_sensors(customer), SENSORS, _merged_at(),
+        close_missing=True, most_missing=0.5,
+    )
+    status = F.when(number % 14 == 0, F.lit("RENEWED")).otherwise(F.col("status"))
+    later = now.filter(number % 11 != 3).withColumn("status", status)
+    second = scd2_merge(
+        later, materialize(first.dimension, "dimension"), SENSORS, moment(datetime(2024, 3, 1)),
+        close_missing=True, most_missing=0.5,
+    )
+    # keys depend on the order of opening; their number and uniqueness do not
+    alone = F.count("*").over(Window.partitionBy("sensor_key")) == 1
+    return second.dimension.withColumn("key_is_unique", alone).drop("sensor_key")
+
+
 def scd2_null_change(spark, sf):
     customer = table(spark, sf, "customer")
     source, target = derived.operational_vehicles(customer), derived.earlier_vehicles(customer)
@@ -475,6 +495,14 @@ def punctuality_view(spark, sf):
     return _round6(_punctuality(spark, sf), "avg_actual_gap_minutes")
 
 
+def schedule_punctuality(spark, sf):
+    """Gaps of buses against the interval their route's schedule asked for at the time."""
+    star = derived.star(spark, sf, "dim_vehicles", "fact_gps_pings")
+    schedules = derived.route_history(table(spark, sf, "customer"))
+    view = views.schedule_punctuality(star, schedules, tolerance=0.02, late=LATE, early=EARLY)
+    return _round6(view, "avg_actual_gap_minutes")
+
+
 def peak_hour_view(spark, sf):
     return _round6(_peaks(spark, sf), "avg_speed", "avg_volume", "avg_congestion_index")
 
@@ -736,6 +764,7 @@ QUERIES: dict[str, Query] = {
     "scd2_classify": scd2_classify,
     "scd2_merge": scd2_merge_sensors,
     "scd2_merge_vehicles": scd2_merge_vehicles,
+    "scd2_close_missing": scd2_close_missing,
     "scd2_null_change": scd2_null_change,
     "scd1_upsert": scd1_upsert,
     "partial_update_upsert": partial_update_upsert,
@@ -745,6 +774,7 @@ QUERIES: dict[str, Query] = {
     "travel_time_view": travel_time_view,
     "hotspot_view": hotspot_view,
     "punctuality_view": punctuality_view,
+    "schedule_punctuality": schedule_punctuality,
     "peak_hour_view": peak_hour_view,
     "kpi_congestion": kpi_congestion,
     "kpi_travel_time": kpi_travel_time,

@@ -21,9 +21,9 @@ from urbanflux.functions.buckets import (
     punctuality_status,
     time_band,
 )
-from urbanflux.functions.keys import elapsed_micros
+from urbanflux.operators.asof import DAY_SECONDS, attach_as_of
 from urbanflux.operators.enrich import join_calendar
-from urbanflux.operators.windows import collapse_instants, next_event_time
+from urbanflux.operators.gaps import gap_summaries, label_gaps
 
 MICROS_PER_MINUTE = 60_000_000
 
@@ -86,54 +86,14 @@ def incident_hotspots(star: Star) -> DataFrame:
     )
 
 
-def _route_gaps(star: Star, order: list[str]) -> DataFrame:
-    """Per route: number of gaps between successive pings of a bus, and their total length.
-
-    A gap belongs to the route of its earlier ping. The gaps of a bus that stayed on one
-    route add up to its last minus its first ping, so a plain aggregate yields them without
-    sorting any vehicle. Only pings of buses that changed route are paired one by one.
-    """
-    buses = star.dim_vehicles.filter(
+def _buses(star: Star) -> DataFrame:
+    return star.dim_vehicles.filter(
         (F.col("vehicle_type") == K.BUS) & F.col("assigned_route_id").isNotNull()
     ).select("vehicle_key", "vehicle_id", "assigned_route_id")
-    moved = buses.groupBy("vehicle_id").agg(
-        (F.min("assigned_route_id") != F.max("assigned_route_id")).alias("moved")
-    )
-    buses = buses.join(moved, "vehicle_id")
-    pings = star.fact_gps_pings.select("vehicle_key", "record_timestamp", *order)
 
-    spans = pings.groupBy("vehicle_key").agg(
-        F.count("record_timestamp").alias("n"),
-        F.min("record_timestamp").alias("first"),
-        F.max("record_timestamp").alias("last"),
-    )
-    settled = (
-        spans.join(buses.filter(~F.col("moved")), "vehicle_key")
-        .groupBy("vehicle_id", "assigned_route_id")
-        .agg(
-            (F.sum("n") - 1).alias("gaps"),
-            elapsed_micros(F.min("first"), F.max("last")).alias("micros"),
-        )
-    )
-    rerouted = pings.join(buses.filter(F.col("moved")), "vehicle_key")
-    instants = collapse_instants(
-        rerouted, "vehicle_id", "record_timestamp", ["assigned_route_id"], order
-    )
-    paired = next_event_time(
-        instants, "vehicle_id", "record_timestamp", ["last_order"], "next_ping_time"
-    ).select(
-        "vehicle_id",
-        "assigned_route_id",
-        # n pings at this instant and route; the vehicle's very last ping opens no gap
-        (F.col("n") - F.col("next_ping_time").isNull().cast("int")).alias("gaps"),
-        elapsed_micros(F.col("record_timestamp"), F.col("next_ping_time")).alias("micros"),
-    )
-    return (
-        settled.unionByName(paired)
-        .groupBy("assigned_route_id")
-        .agg(F.sum("gaps").alias("gaps"), F.sum("micros").alias("micros"))
-        .filter(F.col("gaps") > 0)
-    )
+
+def _tie_order(star: Star, order: list[str] | None) -> list[str]:
+    return [c for c in ("ping_id",) if c in star.fact_gps_pings.columns] if order is None else order
 
 
 def bus_punctuality(
@@ -147,17 +107,49 @@ def bus_punctuality(
     ``order`` breaks ties between pings of a vehicle at one instant (default: ``ping_id``
     where the fact has it).
     """
-    if order is None:
-        order = [c for c in ("ping_id",) if c in star.fact_gps_pings.columns]
-    average = F.col("micros") / F.col("gaps") / MICROS_PER_MINUTE
-    return (
-        _route_gaps(star, order)
-        .select("assigned_route_id", average.alias("avg_actual_gap_minutes"))
-        .withColumn(
-            "punctuality_status",
-            punctuality_status(F.col("avg_actual_gap_minutes"), late, early),
-        )
+    order = _tie_order(star, order)
+    pings = star.fact_gps_pings.select("vehicle_key", "record_timestamp", *order)
+    gaps = label_gaps(
+        pings, "vehicle_id", "record_timestamp", ["assigned_route_id"], order, _buses(star), "vehicle_key"
+    )
+    status = punctuality_status(F.col("avg_actual_gap_minutes"), late, early)
+    return gaps.select("assigned_route_id", _average_gap()).withColumn("punctuality_status", status)
+
+
+def _average_gap():
+    return (F.col("micros") / F.col("gaps") / MICROS_PER_MINUTE).alias("avg_actual_gap_minutes")
+
+
+def schedule_punctuality(
+    star: Star,
+    schedules: DataFrame,
+    tolerance: float = K.SCHEDULE_TOLERANCE,
+    late: float = K.LATE_GAP_MINUTES,
+    early: float = K.EARLY_GAP_MINUTES,
+    order: list[str] | None = None,
+) -> DataFrame:
+    """``bus_punctuality`` against the interval that a route's schedule asked for at the time.
+
+    ``schedules`` is the history of routes: ``route_id, schedule_interval_minutes, start_date,
+    end_date``. One row per route and interval: a gap belongs to the interval in force at its
+    earlier ping and may differ from it by ``tolerance``. Pings at times without a schedule are
+    judged by ``late`` and ``early``; their interval is null.
+    """
+    order, buses = _tie_order(star, order), _buses(star)
+    pings = star.fact_gps_pings.select("vehicle_key", "record_timestamp", *order)
+    interval = "schedule_interval_minutes"
+    history = schedules.withColumnRenamed("route_id", "assigned_route_id")
+    # the days on which a route was served, from one reduction of the pings
+    days = gap_summaries(pings, ["vehicle_key"], "record_timestamp", DAY_SECONDS)
+    served = days.join(buses, "vehicle_key").select("assigned_route_id", F.col("first").alias("record_timestamp"))
+    scheduled = attach_as_of(
+        pings.join(buses, "vehicle_key"), history, "assigned_route_id", "record_timestamp", [interval], asked=served
     )
+    gaps = label_gaps(scheduled, "vehicle_id", "record_timestamp", ["assigned_route_id", interval], order)
+    upper = F.coalesce(F.col(interval) * (1 + tolerance), F.lit(late))
+    lower = F.coalesce(F.col(interval) * (1 - tolerance), F.lit(early))
+    status = punctuality_status(F.col("avg_actual_gap_minutes"), upper, lower)
+    return gaps.select("assigned_route_id", interval, _average_gap()).withColumn("punctuality_status", status)
 
 
 def peak_hour_analysis(star: Star) -> DataFrame:
