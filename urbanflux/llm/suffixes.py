@@ -30,9 +30,10 @@ LENGTH = 50
 GRAM = 24
 #: Grams by which the windows of frequent anchors are told apart.
 LONG_GRAM = 46
-SHALLOW = 16
-#: Windows handled together.
+SHALLOW = 18
+#: Windows handled together, and places whose codes are computed together.
 CHUNK = 1 << 20
+BLOCK = 1 << 15
 #: An anchor is frequent in at least so many documents, and one in so many of all anchors: there are at most so many.
 FREQUENT = 256
 FREQUENT_SHARE = 1 << 17
@@ -73,25 +74,28 @@ def gram_codes(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, gram: int, length: int = LENGTH) -> np.ndarray:
-    """The smallest code of the grams inside the window at every place."""
-    low, width, span = gram_codes(data, gram), 1, length - gram + 1
-    while 2 * width <= span:
-        low, width = np.minimum(low[: max(len(low) - width, 0)], low[width:]), 2 * width
-    rest = span - width
-    return np.minimum(low[: max(len(low) - rest, 0)], low[rest:])
+    """The smallest code of the grams inside the window at every place; computed in blocks that stay in the cache."""
+    n = max(len(data) - length + 1, 0)
+    out = np.empty(n, np.uint64)
+    for begin in range(0, n, BLOCK):
+        low, width, span = gram_codes(data[begin : begin + BLOCK + length - 1], gram), 1, length - gram + 1
+        while 2 * width <= span:
+            low, width = np.minimum(low[: len(low) - width], low[width:]), 2 * width
+        rest = span - width
+        out[begin : begin + BLOCK] = np.minimum(low[: len(low) - rest], low[rest:])
+    return out
 
 
 def chunks(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Pieces of ``CHUNK`` places: first place, bytes, places (from the first) whose window lies in one text, its text."""
     for first in range(0, len(data), CHUNK):
-        piece = data[first : first + CHUNK + length - 1]
-        n = min(len(piece) - length + 1, CHUNK)
-        if n <= 0:
-            return
-        text = np.searchsorted(starts, np.arange(first, first + n), "right") - 1
-        whole = np.flatnonzero(np.arange(first + length, first + length + n) <= starts[text + 1])
+        low, high = (int(np.searchsorted(starts, x, "right")) - 1 for x in (first, min(first + CHUNK, len(data)) - 1))
+        texts = np.arange(low, high + 1)
+        begin = np.maximum(starts[texts], first)
+        n = np.maximum(np.minimum(starts[texts + 1] - length + 1, first + CHUNK) - begin, 0)
+        whole = np.arange(n.sum()) + np.repeat(begin - first - (np.cumsum(n) - n), n)
         if len(whole):
-            yield first, piece, whole, text[whole]
+            yield first, data[first : first + CHUNK + length - 1], whole, np.repeat(texts, n)
 
 
 def changes(*columns: np.ndarray) -> np.ndarray:
@@ -104,15 +108,23 @@ def changes(*columns: np.ndarray) -> np.ndarray:
 
 
 def text_anchors(data: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per chunk, codes of anchors and documents that hold them, each pair once, in order."""
+    """Per chunk, codes of anchors in the order of the texts, and the documents that hold them."""
     for _, piece, whole, text in chunks(data, starts):
         code = anchors(piece, GRAM)[whole]
         new = changes(code, text)
-        code, doc = code[new], ids[text[new]]
-        order = np.lexsort((doc, code))
-        code, doc = code[order], doc[order]
-        new = changes(code, doc)
-        yield code[new], doc[new]
+        yield code[new], ids[text[new]]
+
+
+def sorted_pairs(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in order."""
+    order = np.argsort(code)
+    code, doc = code[order], doc[order]
+    first = np.flatnonzero(changes(code)) if len(code) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(code)))
+    ties = np.flatnonzero(np.repeat(size > 1, size))
+    doc[ties] = doc[ties[np.lexsort((doc[ties], code[ties]))]]
+    new = changes(code, doc) if len(code) else np.zeros(0, bool)
+    return code[new], doc[new]
 
 
 def sort_windows(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -121,10 +133,9 @@ def sort_windows(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tupl
     order, group = np.arange(n), np.zeros(n, np.int64)
     todo = np.arange(n)  # places whose group holds several windows
     eights = words_at(data, ">u8")
-    for depth in range(0, SHALLOW, 8):
-        word = eights[at[order[todo]] + depth].astype(np.uint64)
-        moved = np.argsort(word, kind="stable") if depth == 0 else np.lexsort((word, group[todo]))
-        todo = _regroup(order, group, todo, moved, word)
+    todo = _regroup(order, group, todo, eights[at].astype(np.uint64), None)
+    for depth in range(8, SHALLOW, 5):
+        todo = _regroup(order, group, todo, eights[at[order[todo]] + depth].astype(np.uint64) >> np.uint64(24), 40)
     rest = np.arange(SHALLOW, length)
     while len(todo):
         lead = todo[np.maximum.accumulate(np.where(changes(group[todo]), np.arange(len(todo)), 0))]
@@ -133,33 +144,39 @@ def sort_windows(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tupl
         for depth in range(SHALLOW, length - 7, 8):
             same &= eights[mine + depth] == eights[other + depth]
         same &= eights[mine + length - 8] == eights[other + length - 8]
-        branch = np.zeros(len(todo), np.int64)  # of the trie that the group's first window begins
+        branch = np.full(len(todo), MIDDLE, np.int64)  # of the trie that the group's first window begins
         off = np.flatnonzero(~same)
         for part in np.array_split(off, max(1, -(-len(off) // CHUNK))):
             left, right = data[mine[part, None] + rest], data[other[part, None] + rest]
             depth = np.argmax(left != right, axis=1)
             here, there = left[np.arange(len(part)), depth].astype(np.int64), right[np.arange(len(part)), depth]
-            branch[part] = np.where(here < there, (depth - length) * 256 + here, (length - depth) * 256 + here)
-        moved = np.lexsort((branch, group[todo]))
-        todo = _regroup(order, group, todo, moved, branch, done=branch == 0)
+            branch[part] += np.where(here < there, (depth - length) * 256 + here, (length - depth) * 256 + here)
+        todo = _regroup(order, group, todo, branch.astype(np.uint64), 16, done=MIDDLE)
     return order, group
 
 
-def _regroup(order: np.ndarray, group: np.ndarray, todo: np.ndarray, moved: np.ndarray, key: np.ndarray, done: np.ndarray | None = None) -> np.ndarray:
-    """Puts rows of ``todo`` into the order ``moved``, splits their groups by ``key``, and returns what still ties.
+MIDDLE = 1 << 15
+
 
-    A group is named by the place at which it starts.
+def _regroup(order: np.ndarray, group: np.ndarray, todo: np.ndarray, key: np.ndarray, bits: int | None, done: int | None = None) -> np.ndarray:
+    """Sorts rows of ``todo`` by group and ``key`` (of so many bits), splits their groups by it, and returns what
+    still ties but for those with the key ``done``. A group is named by the place at which it starts.
     """
+    rank = np.cumsum(changes(group[todo])) - 1 if bits is not None else np.zeros(len(todo), np.int64)
+    if bits is None or not len(rank) or int(rank[-1]) >> (64 - bits) == 0:
+        # one word of both sorts faster than two
+        moved = np.argsort(key if bits is None else rank.astype(np.uint64) << np.uint64(bits) | key)
+    else:
+        moved = np.lexsort((key, rank))
     order[todo] = order[todo[moved]]
     key = key[moved]
-    new = changes(group[todo], key)
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(changes(rank, key))  # ranks were in order and still are
     size = np.diff(np.append(first, len(todo)))
     group[todo] = np.repeat(todo[first], size)
-    open_ = np.repeat(size > 1, size)
+    open_ = size > 1
     if done is not None:
-        open_ &= ~done[moved]
-    return todo[open_]
+        open_ &= key[first] != done
+    return todo[np.repeat(open_, size)]
 
 
 def beaten(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -306,11 +323,7 @@ def recurring_anchors(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
             yield from asks(found)
 
     def asks(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        code, doc = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((doc, code))
-        code, doc = code[order], doc[order]
-        new = changes(code, doc)
-        code, doc = code[new], doc[new]
+        code, doc = sorted_pairs(*(np.concatenate(x) for x in zip(*found, strict=True)))
         first = np.flatnonzero(changes(code))
         size = np.diff(np.append(first, len(code)))
         shared = np.repeat(size > 1, size)
@@ -332,8 +345,7 @@ def recurring_anchors(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
         codes = np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows])
         docs = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(r[1]), np.int64)) for r in rows])
         known = np.unique(np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows]))
-        order = np.lexsort((docs, codes))
-        codes, docs = codes[order], docs[order]
+        codes, docs = sorted_pairs(codes, docs)
         first = np.flatnonzero(changes(codes)) if len(codes) else np.zeros(0, np.int64)
         size = np.diff(np.append(first, len(codes)))
         several = docs[first] != docs[first + size - 1]
