@@ -25,16 +25,30 @@ def clock() -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
 
 
+#: Date and time of day, and whatever follows them.
+_WALL = r"^\s*([+-]?\d{4,}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d*)?)?)?)?)\s*(.*?)\s*$"
+#: ``Z``, offsets as ``+5``, ``+05``, ``+0530``, ``+053015``, ``+05:30``, ``+05:30:15``, alone or after UTC, GMT or UT, names of zones.
+_ZONE = r"^(?:Z|(?:UTC|GMT|UT)?[+-]\d{1,2}(?::\d{1,2}(?::\d{2})?)?|(?:UTC|GMT|UT)?[+-]\d{4}(?:\d{2})?|UTC|GMT|UT|[A-Za-z]\w*(?:/[\w+-]+)+)$"
+
+
 def event_time(text: Column) -> Column:
     """ISO text to a zone-less timestamp; null where the text is none or lacks a full date.
 
-    Text with an offset or ``Z`` gives the UTC wall time of its instant, whatever the session zone.
+    What follows the time of day must be a zone: ``Z`` in either case, an offset from UTC of any usual form,
+    or the name of a zone such as ``Europe/Paris``. Such a text gives the UTC wall time of its instant,
+    whatever the session zone. With anything else behind the time, an unknown zone, an offset out of range,
+    or a zone behind a date without time, the text is no time: a zone is never ignored.
     """
-    dated = text.rlike(r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}")
-    zoned = text.rlike(r"\d[T ]\d[\d:.]*\s*(?:Z|[+-]\d{1,2}(?::\d{1,2})?)\s*$")
-    seconds = (F.unix_micros(text.try_cast("timestamp")) / F.lit(1_000_000)).cast("decimal(18,6)")
+    wall, zone = F.regexp_extract(text, _WALL, 1), F.regexp_extract(text, _WALL, 2)
+    zone = F.when(zone == "z", F.lit("Z")).otherwise(zone)
+    # four or six digits in a row are written with colons; the cast takes all else as it is
+    zone = F.regexp_replace(zone, r"([+-])(\d\d)(\d\d)(\d\d)$", "$1$2:$3:$4")
+    zone = F.regexp_replace(zone, r"([+-])(\d\d)(\d\d)$", "$1$2:$3")
+    zoned = F.concat(wall, zone).try_cast("timestamp")
+    seconds = (F.unix_micros(zoned) / F.lit(1_000_000)).cast("decimal(18,6)")
     instant = F.expr(EPOCH) + F.make_dt_interval(secs=seconds)
-    return F.when(dated, F.when(zoned, instant).otherwise(text.try_cast("timestamp_ntz")))
+    timed = wall.rlike(r"[T ]\d")
+    return F.when(zone == "", F.when(wall != "", wall.try_cast("timestamp_ntz"))).when(timed & zone.rlike(_ZONE), instant)
 
 
 def date_key(ts: Column) -> Column:

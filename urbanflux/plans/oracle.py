@@ -585,8 +585,13 @@ SELECT CASE WHEN job_invalid THEN '{K.TRAFFIC_JOB_REASON}'
   ELSE 'stored' END AS outcome, count(*) AS messages
 FROM traffic GROUP BY ALL""",
     "event_time_zones": f"""WITH timed AS (
-  SELECT event_id, CASE event_id % 6 WHEN 2 THEN ts - INTERVAL 5 HOUR
+  SELECT event_id, CASE event_id % 23 WHEN 2 THEN ts - INTERVAL 5 HOUR
     WHEN 3 THEN ts + INTERVAL 210 MINUTE WHEN 4 THEN date_trunc('day', ts) WHEN 5 THEN NULL
+    WHEN 7 THEN ts - INTERVAL 330 MINUTE WHEN 8 THEN ts + INTERVAL 3 HOUR WHEN 9 THEN ts - INTERVAL 5 HOUR
+    WHEN 10 THEN ts - INTERVAL 19815 SECOND WHEN 11 THEN ts - INTERVAL 19815 SECOND
+    WHEN 12 THEN ts - INTERVAL 5 HOUR WHEN 13 THEN ts + INTERVAL 210 MINUTE WHEN 14 THEN ts - INTERVAL 1 HOUR
+    WHEN 16 THEN ts - INTERVAL 1 HOUR WHEN 17 THEN ts + INTERVAL 5 HOUR -- both in winter
+    WHEN 18 THEN NULL WHEN 19 THEN NULL WHEN 20 THEN NULL WHEN 21 THEN NULL WHEN 22 THEN NULL
     ELSE ts END AS record_timestamp FROM events)
 SELECT event_id, record_timestamp, {_keys("record_timestamp")} FROM timed""",
     "audit_failed_job": f"""SELECT '{K.HOURLY_JOB}' AS job_name, '{K.FAILED}' AS status,

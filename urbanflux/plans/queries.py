@@ -165,7 +165,7 @@ def date_time_keys(spark, sf):
 
 
 def event_time_zones(spark, sf):
-    """Event times as texts with and without offset, without time, and without day."""
+    """Event times as texts with zones of every form, without time, without day, and with no zone at all."""
     iso = F.date_format("ts", derived.ISO_MICROS)
     texts = [
         iso,
@@ -174,6 +174,10 @@ def event_time_zones(spark, sf):
         F.concat(iso, F.lit("-03:30")),
         F.date_format("ts", "yyyy-MM-dd"),
         F.date_format("ts", "yyyy-MM"),
+        *(F.concat(iso, F.lit(z)) for z in (
+            "z", "+0530", "-03", "+5", "+05:30:15", "+053015", "UTC+5", "GMT-03:30", "UT+0100", "GMT",
+            "Europe/Paris", " America/New_York", "+25:00", "Mars/Base", "EAST", "+123", " junk",
+        )),
     ]
     text = F.element_at(F.array(*texts), (F.col("event_id") % len(texts)).cast("int") + 1)
     events = table(spark, sf, "events").select("event_id", event_time(text).alias("record_timestamp"))
