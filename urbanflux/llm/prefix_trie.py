@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanflux.llm.common import ship_package
 from urbanflux.llm.mixing import word_count
 from urbanflux.llm.ordered import following, in_order, join_counted, running
 from urbanflux.session import materialize
@@ -222,6 +223,7 @@ def prefix_trie(turns: DataFrame, family: int = FAMILY, most: int = MOST_SHARED,
     own. Null roles and texts are empty ones; rows without a conversation are left out. An empty table has no
     nodes. Very long conversations are followed range by range like any other rows.
     """
+    ship_package(turns.sparkSession)
     numbered = materialize(numbered_turns(turns), "numbered")
     if rebuild:
         convs, rows = rebuilt_conversations(numbered, family, most)

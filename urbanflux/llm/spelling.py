@@ -10,12 +10,17 @@ gap and by one word per letter as a skip.
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanflux.llm.common import ship_package
 from urbanflux.llm.ordered import in_order
 from urbanflux.session import materialize
 
@@ -26,32 +31,50 @@ MIN_COUNT = 5
 RATIO = 5
 #: One word in so many, chosen by checksum, loses a character.
 MANGLED = 199
-
-
-def words_of(text: Column, least: int = 1) -> Column:
-    """All maximal runs of at least so many letters, ``A-Z`` lower-cased."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(lower, F.lit(f"([{LETTERS}]{{{least},}})"), F.lit(1))
+#: Distinct words that a task counts before it hands them on, and pairs that it forms together.
+COUNTED = 400_000
+PAIRS = 200_000
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def counted_words(
     documents: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_LENGTH, often: int = MIN_COUNT, mangled: int | None = MANGLED
 ) -> DataFrame:
-    """``word, n`` over all texts; one run in ``mangled`` first loses the character its checksum points at.
+    """``word, n`` over all texts, of words of ``least`` characters that occur ``often`` times, ``A-Z`` lower-cased.
 
-    Null texts have no words; a null key counts as the empty text in the checksum.
+    One run in ``mangled`` first loses the character its checksum points at. Null texts have no words; a null key
+    counts as the empty text in the checksum. Tasks count in dictionaries of bounded size.
     """
-    number = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    runs = documents.select(number.alias("number"), F.explode(words_of(F.col(text), least)).alias("run"))
-    word = F.col("run")
-    if mangled:
-        crc = F.crc32(F.concat("number", F.lit(":"), "run").cast("binary"))
-        runs = runs.withColumn("crc", crc)
-        at = (F.col("crc") % F.length("run")).cast("int")
-        shorter = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
-        word = F.when(F.col("crc") % mangled == 0, shorter).otherwise(F.col("run"))
-    counted = runs.select(word.alias("word")).where(F.length("word") >= least).groupBy("word").agg(F.count("*").alias("n"))
-    return counted.where(F.col("n") >= often)
+    run = re.compile(f"[{LETTERS}]{{{least},}}")
+    number = F.coalesce(F.col(key).cast("string"), F.lit("")).alias("number")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for number, text in zip(batch.column(0), batch.column(1), strict=True):
+                words = run.findall((text.as_py() or "").translate(LOWER))
+                if mangled:
+                    prefix = zlib.crc32(f"{number.as_py()}:".encode())
+                    words = [_mangled(w, zlib.crc32(w.encode(), prefix), mangled) for w in words]
+                counts.update(words)
+                if len(counts) >= COUNTED:
+                    yield _rows(counts)
+                    counts.clear()
+        yield _rows(counts)
+
+    def _rows(counts: Counter[str]) -> pa.RecordBatch:
+        kept = [(w, n) for w, n in counts.items() if len(w) >= least]
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], names=["word", "n"])
+
+    parts = documents.select(number, F.col(text).alias("text")).mapInArrow(count, "word string, n long")
+    return parts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= often)
+
+
+def _mangled(word: str, checksum: int, one_in: int) -> str:
+    if checksum % one_in:
+        return word
+    at = checksum % len(word)
+    return word[:at] + word[at + 1 :]
 
 
 def _common(a: str, b: str) -> int:
@@ -119,57 +142,113 @@ def trie_nodes(ordered: DataFrame, word: str, out: str) -> DataFrame:
     return sorted_parts.select("place", "part", word).mapInArrow(number, f"place long, {out} array<long>")
 
 
+PAIR = ("before", "after", "skips", "first", "id", "n")
+
+
 def _pairs(words: DataFrame) -> DataFrame:
-    """``before, after, skips, first, id, n``: all skipping (``skips``) and gap pairs of every word.
+    """``PAIR``: all skipping (``skips``) and gap pairs of every word of ``id, n, word, forward, backward``.
 
     ``first`` marks the first of equal characters in a row, so that a deletion is told by one pair only.
     """
-    length = F.size("forward") - 1
-    at = lambda c, k: F.get(F.col(c), k)
-
-    def cut(i: Column) -> Column:
-        fresh = (i == 0) | (at("chars", i) != at("chars", i - 1))
-        gap = F.struct(at("forward", i).alias("before"), at("backward", length - i).alias("after"), F.lit(False).alias("skips"), F.lit(False).alias("first"))
-        skip = F.struct(at("forward", i).alias("before"), at("backward", length - i - 1).alias("after"), F.lit(True).alias("skips"), fresh.alias("first"))
-        return F.when(i < length, F.array(gap, skip)).otherwise(F.array(gap))
 
-    spelt = words.withColumn("chars", F.split("word", ""))
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), length), cut))
-    return spelt.select("id", "n", F.explode(pairs).alias("x")).select("x.*", "id", "n")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in _bounded(batch):
+                ids, n = (rows.column(i).to_numpy() for i in (0, 1))
+                forward, backward = (rows.column(i).flatten().to_numpy() for i in (3, 4))
+                chars = np.frombuffer("".join(rows.column(2).to_pylist()).encode("utf-32-le"), np.uint32)
+                size = rows.column(3).value_lengths().to_numpy().astype(np.int64)  # nodes: a gap pair each
+                start = np.cumsum(size) - size
+                word = np.repeat(np.arange(len(size)), size)
+                i = np.arange(len(word)) - start[word]
+                mirrored = start[word] + size[word] - 1 - i
+                here = i < size[word] - 1
+                at = np.flatnonzero(here)
+                place = at - word[at]  # of the character in all characters
+                fresh = (i[at] == 0) | (chars[place] != chars[np.maximum(place - 1, 0)])
+                columns = [
+                    np.concatenate([forward, forward[at]]),
+                    np.concatenate([backward[mirrored], backward[mirrored[at] - 1]]),
+                    np.repeat([False, True], [len(word), len(at)]),
+                    np.concatenate([np.zeros(len(word), bool), fresh]),
+                    *(np.concatenate([x[word], x[word[at]]]) for x in (ids, n)),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=list(PAIR))
+
+    kinds = "before long, after long, skips boolean, first boolean, id long, n long"
+    return words.select("id", "n", "word", "forward", "backward").mapInArrow(cut, kinds)
+
+
+def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``PAIRS`` pairs, a single long word being one."""
+    total, begin = 0, 0
+    for k, size in enumerate(batch.column(3).value_lengths().to_pylist()):
+        if total and total + size > PAIRS:
+            yield batch.slice(begin, k - begin)
+            total, begin = 0, k
+        total += size
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
+def seen_in_pairs(before: np.ndarray, after: np.ndarray, skips: np.ndarray, first: np.ndarray, ids: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """``id, near, near_n, near_id`` per word and pair: how many words it meets there, and the best of them.
+
+    Rows stand by pair. A pair has at most one gap word and one skipping word per letter; of the latter the two
+    most frequent ones (ties: smallest id) say all, so no pairs of words are formed.
+    """
+    group = np.cumsum(np.append(True, (before[1:] != before[:-1]) | (after[1:] != after[:-1]))) - 1
+    order = np.lexsort((ids, -n, ~skips, group))  # skipping words first, best first
+    skips, first, ids, n, group = (x[order] for x in (skips, first, ids, n, group))
+    start = np.searchsorted(group, np.arange(group[-1] + 1))
+    held = np.bincount(group[skips], minlength=len(start))  # skipping words of a pair
+    size = np.diff(np.append(start, len(group)))
+    gap = np.where(size > held, start + held, -1)[group]
+    lead, place = start[group], np.arange(len(group))
+    none = -1
+    other = np.where(place != lead, lead, np.where(held[group] > 1, lead + 1, none))
+    deleted = np.where(first, gap, none)
+    better = (other < 0) | ((deleted >= 0) & ((n[deleted] > n[other]) | ((n[deleted] == n[other]) & (ids[deleted] < ids[other]))))
+    best = np.where(deleted >= 0, np.where(better, deleted, other), other)
+    near = held[group] - 1 + (deleted >= 0)
+    firsts = np.bincount(group[first], minlength=len(start))
+    lead_first = np.full(len(start), none)
+    at = np.flatnonzero(first)[::-1]
+    lead_first[group[at]] = at  # the last assignment, the best one, stays
+    near = np.where(skips, near, firsts[group])
+    best = np.where(skips, best, lead_first[group])
+    kept = np.flatnonzero(near > 0)
+    return [ids[kept], near[kept], n[best[kept]], ids[best[kept]]]
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """``id, n_near, near_n, near_id`` of ``id, n, word, forward, backward``: how many words are near, and the
     most frequent one (ties: smallest id). Words without any are left out.
-
-    A pair gathers at most one word per letter and one gap word; members see its two most frequent
-    words, so no pairs of words are formed.
     """
-    rank = F.struct((-F.col("n")).alias("n"), "id")
-    groups = _pairs(words).groupBy("before", "after").agg(
-        F.collect_list(F.when(F.col("skips"), F.struct("id", "n", "first"))).alias("skips"),
-        F.max(F.when(~F.col("skips"), F.struct("id", "n"))).alias("gap"),
-        F.min(F.when(F.col("skips"), rank)).alias("best"),
-        F.min(F.when(F.col("first"), rank)).alias("best_first"),
-    )
-    groups = groups.where((F.size("skips") > 1) | ((F.size("skips") > 0) & F.col("gap").isNotNull()))
-    candidate = lambda c: F.struct((-c["n"]).alias("n"), c["id"].alias("id"))
-
-    def of_skip(x: Column) -> Column:
-        others = F.filter("skips", lambda y: y["id"] != x["id"])
-        second = F.array_min(F.transform(others, candidate))
-        replaced = F.when(F.col("best")["id"] != x["id"], F.col("best")).otherwise(second)
-        deleted = F.when(x["first"], F.struct((-F.col("gap")["n"]).alias("n"), F.col("gap")["id"].alias("id")))
-        deleted = F.when(F.col("gap").isNotNull(), deleted)
-        near = F.size(others) + F.when(deleted.isNotNull(), 1).otherwise(0)
-        return F.struct(x["id"].alias("id"), near.alias("near"), F.array_min(F.array(replaced, deleted)).alias("best"))
-
-    inserted = F.size(F.filter("skips", lambda y: y["first"]))
-    of_gap = F.struct(F.col("gap")["id"].alias("id"), inserted.alias("near"), F.col("best_first").alias("best"))
-    seen = F.concat(F.transform("skips", of_skip), F.when(F.col("gap").isNotNull(), F.array(of_gap)).otherwise(F.array()))
-    rows = groups.select(F.explode(seen).alias("x")).select("x.*").where("near > 0")
-    found = rows.groupBy("id").agg(F.sum("near").alias("n_near"), F.min("best").alias("best"))
-    return found.select("id", "n_near", (-F.col("best")["n"]).alias("near_n"), F.col("best")["id"].alias("near_id"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in PAIR]
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            before, after = columns[:2]
+            last = np.flatnonzero((before != before[-1]) | (after != after[-1]))
+            whole = int(last[-1]) + 1 if len(last) else 0  # the last pair may go on in the next batch
+            if whole:
+                yield rows(seen_in_pairs(*(c[:whole] for c in columns)))
+            held = [c[whole:] for c in columns]
+        if held is not None and len(held[0]):
+            yield rows(seen_in_pairs(*held))
+
+    def rows(found: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], names=["id", "near", "near_n", "near_id"])
+
+    pairs = _pairs(words).repartition("before", "after").sortWithinPartitions("before", "after")
+    seen = pairs.mapInArrow(meet, "id long, near long, near_n long, near_id long")
+    best = F.min(F.struct((-F.col("near_n")).alias("n"), "near_id")).alias("best")
+    found = seen.groupBy("id").agg(F.sum("near").alias("n_near"), best)
+    return found.select("id", "n_near", (-F.col("best")["n"]).alias("near_n"), F.col("best")["near_id"].alias("near_id"))
 
 
 def variant_groups(counted: DataFrame, ratio: int = RATIO) -> DataFrame:
@@ -179,14 +258,14 @@ def variant_groups(counted: DataFrame, ratio: int = RATIO) -> DataFrame:
     as frequent, else null; ``root`` follows forms to the last. Other columns are ignored; an empty table has
     no words. Long words cost a pair per character.
     """
+    ship_package(counted.sparkSession)
     words = materialize(counted.select("word", "n"), "words")
     forward = in_order(words, ["word"], "forward").withColumnRenamed("place", "id")
     back = in_order(forward.select("id", F.reverse("word").alias("reversed")), ["reversed"], "backward")
     prefixes = trie_nodes(forward.withColumnRenamed("id", "place"), "word", "forward").withColumnRenamed("place", "id")
     suffixes = trie_nodes(back, "reversed", "backward").join(back.select("place", "id"), "place").drop("place")
     numbered = forward.select("id", "n", "word").join(prefixes, "id").join(suffixes, "id")
-    near = materialize(neighbours(numbered), "near")
-    rows = forward.select("id", "word", "n").join(near, "id", "left")
+    rows = forward.select("id", "word", "n").join(neighbours(numbered), "id", "left")
     has = F.col("near_n") >= ratio * F.col("n")
     rows = rows.select(
         "id", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -203,7 +282,6 @@ def variant_groups(counted: DataFrame, ratio: int = RATIO) -> DataFrame:
 
 def _followed(links: DataFrame) -> DataFrame:
     """Last forms, jumping twice as far per round; a form is ``RATIO`` times as frequent, so paths are short."""
-    links = materialize(links, "links")
     while True:
         far = links.select(F.col("id").alias("root_id"), F.col("root_id").alias("far"))
         moved = links.join(far, "root_id", "left").select("id", F.coalesce("far", "root_id").alias("root_id"), F.col("far").isNotNull().alias("moved"))
@@ -219,4 +297,5 @@ def spelling_variants(documents: DataFrame, key: str = "doc_id", text: str = "te
     Null and empty texts have no words, repeated rows count as often as they stand there, other columns are
     ignored, and an empty table has no words.
     """
+    ship_package(documents.sparkSession)
     return variant_groups(counted_words(documents.select(key, text), key, text))
