@@ -127,3 +127,35 @@ def test_minutes_of_the_day(spark):
     assert {(r["time_key"], r["hour"], r["minute"]) for r in rows} == {
         (h * 100 + m, h, m) for h in range(24) for m in range(60)
     }
+
+
+def utc(hour, minute=0, second=0, day=17):
+    return datetime(2026, 7, day, hour, minute, second)
+
+
+ZONES = {
+    "": utc(10, 30), "Z": utc(10, 30), "z": utc(10, 30), " Z": utc(10, 30), "+05:30": utc(5), "+0530": utc(5),
+    "+05": utc(5, 30), "+5": utc(5, 30), "-3:30": utc(14), "+05:30:15": utc(4, 59, 45), "+053015": utc(4, 59, 45),
+    "UTC": utc(10, 30), "UTC+5": utc(5, 30), "GMT+05:00": utc(5, 30), "GMT+0530": utc(5), "UT-1": utc(11, 30),
+    "Europe/Paris": utc(8, 30), " Europe/Paris": utc(8, 30), "America/Argentina/Buenos_Aires": utc(13, 30),
+    "Etc/GMT+5": utc(15, 30), "+18:00": utc(16, 30, day=16),
+    **dict.fromkeys(["+18:01", "+19", "+25:00", "+05:60", "+123", "+", "junk", "Mars/Base", "Z Z", "[Europe/Paris]",
+                     "+05:30[Asia/Kolkata]", "EST", "AM"]),
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_every_form_of_zone_converts_or_is_refused(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = [f"2026-07-17T10:30:00{z}" for z in ZONES]
+        assert dict(zip(ZONES, column(spark, texts, "string", event_time), strict=True)) == ZONES
+        others = {
+            "2026-07-17": utc(0), "2026-07-17T10:30": utc(10, 30), "2026-07-17 10:30:00.5-0100": utc(11, 30).replace(microsecond=500_000),
+            "2026-07-17Z": None, "2026-07-17+05:00": None, "2026-07": None, "": None, "soon": None, "2026-07-17T10:30:61Z": None,
+            "  2026-07-17T10:30:00+05:30  ": utc(5), "2026-02-30T00:00:00Z": None,
+        }
+        assert dict(zip(others, column(spark, list(others), "string", event_time), strict=True)) == others
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -16,7 +16,7 @@ from urbanflux.plans.views import Star
 from urbanflux.sources.calendar import dim_date, dim_time
 
 EAGER = {
-    "as_of_lookup", "weather_ids", "dead_letter_exactly_once", "fact_load_as_of",
+    "as_of_lookup", "weather_ids", "landing_read", "delta_reference_check", "dead_letter_exactly_once", "fact_load_as_of",
     "audit_counts", "audit_failed_job", "stream_compacted_facts", "stream_constraint_check", "stream_dead_letter_monitor",
     "stream_fact_ingest", "stream_replay",
 }

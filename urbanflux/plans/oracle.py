@@ -446,6 +446,40 @@ SELECT *, nullif(concat_ws(',',
 FROM lines""",
     "primary_key_check": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY ALL HAVING count(*) > 1""",
+    "landing_read": f"""WITH {_E}
+SELECT row_number() OVER (ORDER BY event_id // 500, event_id DESC) AS arrival, event_id AS incident_id,
+  event_type AS incident_type,
+  CASE event_type WHEN 'error' THEN 'CRITICAL' WHEN 'purchase' THEN 'MAJOR' WHEN 'signup' THEN 'MINOR' END AS severity,
+  'Zone ' || (k % 10) AS location_name, CAST(k % 10 AS DOUBLE) AS latitude, CAST(k AS DOUBLE) AS longitude,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS record_timestamp
+FROM e""",
+    "delta_rows": """SELECT 'VH-' || c_custkey AS vehicle_id, c_name AS license_plate,
+  CASE WHEN c_custkey = 1 THEN 'RT-900' WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'RT-' || c_nationkey END AS assigned_route_id,
+  CASE WHEN c_custkey = 1 THEN 'PARKED' ELSE 'IN_SERVICE' END AS status FROM customer
+UNION ALL SELECT 'VH-new', 'by hand', 'RT-901', 'ORDERED'""",
+    "delta_reference_check": """WITH routes AS (SELECT DISTINCT 'RT-' || c_nationkey AS route_id FROM customer),
+target AS (
+  SELECT 'VH-' || c_custkey AS vehicle_id, c_name AS license_plate,
+    CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'RT-' || c_nationkey END AS assigned_route_id, 'IN_SERVICE' AS status
+  FROM customer WHERE c_acctbal >= 0),
+last AS (SELECT o_custkey, max(o_orderkey) AS n FROM orders GROUP BY ALL),
+delta AS (
+  SELECT CASE WHEN o_custkey % 50 <> 0 THEN 'VH-' || o_custkey END AS vehicle_id, 'plate ' || o_custkey AS license_plate,
+    CASE WHEN n % 9 <> 0 THEN 'RT-' || (n % 30) END AS assigned_route_id, 'S' || (n % 3) AS status FROM last),
+checked AS (
+  SELECT *, CASE WHEN vehicle_id IS NULL THEN 'Missing required field: vehicle_id'
+    WHEN assigned_route_id IS NOT NULL AND assigned_route_id NOT IN (SELECT route_id FROM routes)
+    THEN 'Unknown assigned_route_id' END AS error FROM delta),
+good AS (SELECT * FROM checked WHERE error IS NULL)
+SELECT 'stored' AS outcome, t.vehicle_id, t.license_plate,
+  CASE WHEN g.vehicle_id IS NULL THEN t.assigned_route_id ELSE g.assigned_route_id END AS assigned_route_id,
+  CASE WHEN g.vehicle_id IS NULL THEN t.status ELSE g.status END AS status
+FROM target t LEFT JOIN good g USING (vehicle_id)
+UNION ALL
+SELECT 'stored', vehicle_id, license_plate, assigned_route_id, status FROM good
+WHERE vehicle_id NOT IN (SELECT vehicle_id FROM target)
+UNION ALL
+SELECT error, vehicle_id, license_plate, assigned_route_id, status FROM checked WHERE error IS NOT NULL""",
     "surrogate_keys": """SELECT 1000 + row_number() OVER (ORDER BY l_orderkey, l_linenumber,
   l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS line_key, l_orderkey, l_linenumber,
   l_partkey, l_suppkey, l_extendedprice, l_shipdate FROM lineitem""",

@@ -46,11 +46,12 @@ from urbanflux.operators.validate import (
 from urbanflux.operators.windows import collapse_instants, next_event_time
 from urbanflux.plans import derived, kpis, views
 from urbanflux.plans.derived import table
-from urbanflux.plans.pipelines import with_reserved_ids
+from urbanflux.plans.pipelines import apply_delta, load_seed, with_reserved_ids
 from urbanflux.plans.warehouse import STREAMED, Warehouse
 from urbanflux.session import materialize, scratch_path
 from urbanflux.sources.calendar import dim_date, dim_date_covering, dim_time
 from urbanflux.sources.compaction import CompactedTable
+from urbanflux.sources.landing import inline_rows, read_landing_json
 from urbanflux.sources.streams import Topic
 from urbanflux.sources.tables import append_table, overwrite_folder, read_table
 from urbanflux.streaming.ingest import GPS, TRAFFIC, IngestJob, checked_readings
@@ -332,6 +333,64 @@ def primary_key_check(spark, sf):
 # -------------------------------------------------------------- keyed table maintenance
 
 
+def landing_read(spark, sf):
+    """Incidents landed as JSON arrays, a file per 500, the newest first; numbered as they arrived."""
+    path, events = scratch_path(spark, "landing"), table(spark, sf, "events")
+    reports = derived.incident_reports(events).withColumn(
+        "record_timestamp", F.date_format("record_timestamp", derived.ISO_MICROS)
+    )
+    record = F.to_json(F.struct(*schemas.INCIDENT_LANDING.names))
+    file = F.format_string("%012d", F.floor(F.col("incident_id") / 500).cast("long"))
+    arrays = reports.groupBy(file.alias("file")).agg(
+        F.sort_array(F.collect_list(F.struct(-F.col("incident_id"), record.alias("record")))).alias("records")
+    )
+    body = F.concat(F.lit("[\n"), F.array_join("records.record", ",\n"), F.lit("\n]"))
+    arrays.select("file", body.alias("value")).write.partitionBy("file").text(path)
+    landed = read_landing_json(spark, f"{path}/*/*.txt", schemas.INCIDENT_LANDING)
+    return assign_surrogate_keys(landed, ["landed_order"], "arrival").drop("landed_order")
+
+
+def delta_rows(spark, sf):
+    """A delta written by hand, applied to the vehicles of the customers."""
+    delta = inline_rows(
+        spark,
+        [("VH-1", "by hand", "RT-900", "PARKED"), ("VH-new", "by hand", "RT-901", "ORDERED")],
+        schemas.columns("vehicle_id string, license_plate string, assigned_route_id string, status string"),
+    )
+    customer = table(spark, sf, "customer")
+    vehicles = derived.operational_vehicles(customer).select(*delta.columns)
+    return upsert(vehicles, delta, ["vehicle_id"], ["assigned_route_id", "status"])
+
+
+def delta_reference_check(spark, sf):
+    """A daily delta whose vehicles may name unknown routes or lack a key: what is stored and what is not."""
+    wh, customer = Warehouse(spark, scratch_path(spark, "warehouse")), table(spark, sf, "customer")
+    nations = customer.select(F.concat(F.lit("RT-"), "c_nationkey").alias("route_id")).distinct()
+    blank = {c: F.lit(None).cast("string") for c in ("route_name", "route_type", "agency_name")}
+    routes = nations.withColumns(blank).withColumn("schedule_interval_minutes", F.lit(10))
+    load_seed(wh, "transit_routes", routes, "route_id", MERGED_AT)
+    load_seed(wh, "vehicles", derived.operational_vehicles(customer.filter("c_acctbal >= 0")), "vehicle_id", MERGED_AT)
+    last = table(spark, sf, "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("n"))
+    number = F.when(F.col("o_custkey") % 50 != 0, F.concat(F.lit("VH-"), "o_custkey"))
+    delta = last.select(
+        number.alias("vehicle_id"),
+        F.concat(F.lit("plate "), "o_custkey").alias("license_plate"),
+        F.lit("BUS").alias("vehicle_type"),
+        F.lit("operator").alias("operator_name"),
+        F.when(F.col("n") % 9 != 0, F.concat(F.lit("RT-"), F.col("n") % 30)).alias("assigned_route_id"),
+        F.concat(F.lit("S"), F.col("n") % 3).alias("status"),
+    )
+    known = wh.operational("transit_routes").current(spark)
+    route = ForeignKey("assigned_route_id", known, "route_id")
+    apply_delta(wh, "vehicles", delta, "vehicle_id", ["assigned_route_id", "status"], MERGED_AT, (route,))
+    shown = ["vehicle_id", "license_plate", "assigned_route_id", "status"]
+    stored = wh.operational("vehicles").current(spark).select(F.lit("stored").alias("outcome"), *shown)
+    rejected = wh.dead_letters.read(spark).select(
+        F.col("validation_error").alias("outcome"), *(F.get_json_object("payload", f"$.{c}").alias(c) for c in shown)
+    )
+    return stored.unionByName(rejected)
+
+
 def surrogate_keys(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
@@ -764,6 +823,9 @@ QUERIES: dict[str, Query] = {
     "incident_dedupe": incident_dedupe,
     "referential_check": referential_check,
     "primary_key_check": primary_key_check,
+    "landing_read": landing_read,
+    "delta_rows": delta_rows,
+    "delta_reference_check": delta_reference_check,
     "surrogate_keys": surrogate_keys,
     "scd2_classify": scd2_classify,
     "scd2_merge": scd2_merge_sensors,
