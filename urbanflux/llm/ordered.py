@@ -21,7 +21,13 @@ def in_order(table: DataFrame, by: list[str], name: str) -> DataFrame:
     """
     parts = max(LEAST_PARTS, -(-table.count() // PART_ROWS))
     placed = table.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("place", F.monotonically_increasing_id())
-    return materialize(placed.withColumn("part", F.shiftright("place", 33).cast("int")), name)
+    # no more files than parts were asked for
+    return materialize(placed.withColumn("part", F.shiftright("place", 33).cast("int")).coalesce(parts), name)
+
+
+def in_few_files(table: DataFrame, rows: int) -> DataFrame:
+    """At most a file per ``PART_ROWS`` of so many rows, for tables that are much smaller than their shuffle."""
+    return table.coalesce(max(LEAST_PARTS, -(-rows // PART_ROWS)))
 
 
 def running(table: DataFrame, group: str, sums: dict[str, tuple[str, Column]]) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanflux.llm.common import ship_package
-from urbanflux.llm.ordered import in_order
+from urbanflux.llm.ordered import in_few_files, in_order
 from urbanflux.session import materialize
 
 LETTERS = r"A-Za-zÀ-ÿ"
@@ -258,6 +258,8 @@ def variant_groups(counted: DataFrame, ratio: int = RATIO) -> DataFrame:
     as frequent, else null; ``root`` follows forms to the last. Other columns are ignored; an empty table has
     no words. Long words cost a pair per character.
     """
+    if ratio < 2:
+        raise ValueError(f"a form must be at least twice as frequent, not {ratio} times")
     ship_package(counted.sparkSession)
     words = materialize(counted.select("word", "n"), "words")
     forward = in_order(words, ["word"], "forward").withColumnRenamed("place", "id")
@@ -271,8 +273,10 @@ def variant_groups(counted: DataFrame, ratio: int = RATIO) -> DataFrame:
         "id", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(has, F.col("near_id")).alias("form_id"), F.when(has, F.col("near_n")).alias("form_n"),
     )
-    rows = materialize(rows, "forms")
-    roots = _followed(rows.where("form_id IS NOT NULL").select("id", F.col("form_id").alias("root_id")))
+    size = words.agg(F.count("*").alias("words"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    rows = materialize(in_few_files(rows, size["words"]), "forms")
+    links = rows.where("form_id IS NOT NULL").select("id", F.col("form_id").alias("root_id"))
+    roots = _followed(links, size["most"], ratio)
     names = rows.select("id", "word")
     named = rows.join(roots, "id", "left")
     named = named.join(names.select(F.col("id").alias("form_id"), F.col("word").alias("form")), "form_id", "left")
@@ -280,15 +284,17 @@ def variant_groups(counted: DataFrame, ratio: int = RATIO) -> DataFrame:
     return named.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
-def _followed(links: DataFrame) -> DataFrame:
-    """Last forms, jumping twice as far per round; a form is ``RATIO`` times as frequent, so paths are short."""
-    while True:
-        far = links.select(F.col("id").alias("root_id"), F.col("root_id").alias("far"))
-        moved = links.join(far, "root_id", "left").select("id", F.coalesce("far", "root_id").alias("root_id"), F.col("far").isNotNull().alias("moved"))
-        moved = materialize(moved, "links")
-        links = moved.select("id", "root_id")
-        if moved.where("moved").isEmpty():
-            return links
+def _followed(links: DataFrame, most: int, ratio: int) -> DataFrame:
+    """Last forms. A form is ``ratio`` times as frequent as its word, so a path has no more steps than the
+    largest count ``most`` has powers of that.
+    """
+    steps, power = 0, ratio
+    while power <= most:
+        steps, power = steps + 1, power * ratio
+    onward = links.select(F.col("id").alias("root_id"), F.col("root_id").alias("next"))
+    for _ in range(steps - 1):
+        links = links.join(onward, "root_id", "left").select("id", F.coalesce("next", "root_id").alias("root_id"))
+    return links
 
 
 def spelling_variants(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,4 +304,5 @@ def spelling_variants(documents: DataFrame, key: str = "doc_id", text: str = "te
     ignored, and an empty table has no words.
     """
     ship_package(documents.sparkSession)
-    return variant_groups(counted_words(documents.select(key, text), key, text))
+    counted = counted_words(documents.select(key, text), key, text)
+    return variant_groups(in_few_files(counted, 5 * documents.count()))

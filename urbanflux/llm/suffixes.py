@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanflux.llm.common import ship_package
-from urbanflux.llm.ordered import join_counted
+from urbanflux.llm.ordered import in_few_files, join_counted
 from urbanflux.session import materialize
 
 LENGTH = 50
@@ -288,7 +288,7 @@ def frequent_anchors(texts: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(np.append(n[often], len(code)))], names=["code", "n"])
 
     counts = texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "anchors")  # code 0 counts all of them
+    counts = materialize(in_few_files(counts, texts.count()), "anchors")  # code 0 counts all of them
     total = counts.where("code = 0").first()
     least = max(FREQUENT, (total["n"] if total else 0) / FREQUENT_SHARE)
     rows = counts.where((F.col("code") != 0) & (F.col("n") >= least)).select("code").collect()
@@ -497,9 +497,10 @@ def whole_copies(texts: DataFrame) -> DataFrame:
     """``doc_id, copies``: keys of texts of a document that one with a smaller id holds as a whole."""
     rows = texts.select("doc_id", "text_key", F.unhex(F.sha2("text", 256)).alias("digest"))
     firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    firsts = materialize(firsts.where("first < last"), "copies").drop("last")
-    found = join_counted(rows, firsts, ["digest"], "n", texts.count()).where("doc_id > first")
-    return found.groupBy("doc_id").agg(F.collect_set("text_key").alias("copies"))
+    total = texts.count()
+    firsts = materialize(in_few_files(firsts.where("first < last"), total), "copies").drop("last")
+    found = join_counted(rows, firsts, ["digest"], "n", total).where("doc_id > first")
+    return in_few_files(found.groupBy("doc_id").agg(F.collect_set("text_key").alias("copies")), total)
 
 
 def removed_ranges(texts: DataFrame, dealt: DataFrame) -> DataFrame:
