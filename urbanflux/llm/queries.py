@@ -29,7 +29,9 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm.score_documents(documents, lm.train(documents)).drop("text")
+    vocabulary = lm.learn_vocabulary(documents)
+    tokens = lm.tokenise(documents, vocabulary)
+    return lm.score_tokens(tokens, lm.fit(tokens, vocabulary))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
