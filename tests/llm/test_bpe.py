@@ -63,3 +63,13 @@ def test_empty_table_and_clashing_columns(documents):
     assert coded.columns == ["doc_id", "text", "lang", "source", "n_chars", "ids", "decoded"]
     assert coded.first()["decoded"] == "one</w> two</w>"
     assert bpe.decode(bpe.encode(clashing.limit(0))).collect() == []
+
+
+def test_every_code_point_like_the_library():
+    own = bpe.WordBpe(PATH, bpe.characters(PATH))
+    known = bpe.characters(PATH)
+    assert len(known.classes) < 5_000 and len(known.lower) < 500
+    for first in range(0x80, 0x110000, 64):
+        block = [chr(c) for c in range(first, first + 64) if not 0xD800 <= c <= 0xDFFF]
+        text = " ".join(f"a<{c}>b {c}1{c}{c}" for c in block)
+        assert own.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids, hex(first)

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -43,10 +44,53 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
 
 
+@dataclass(frozen=True)
+class Characters:
+    """Where the tables of the tokenizer library and Python's disagree about single characters.
+
+    ``classes``: first and last code point of a range and the class the library has it in (``L`` letter, ``N`` number,
+    ``S`` space, ``O`` other); ``lower``: characters and what the library lower-cases them to.
+    """
+
+    classes: tuple[tuple[int, int, str], ...] = ()
+    lower: tuple[tuple[str, str], ...] = ()
+
+    def of(self, wanted: Callable[[str], bool]) -> str:
+        """The ranges of some classes, as they stand inside a set of a pattern."""
+        return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b, kind in self.classes if wanted(kind))
+
+
+@lru_cache(maxsize=2)
+def characters(path: str) -> Characters:
+    """Asks the library about every code point, once on the driver; versions of Unicode differ in about a thousand."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and not chr(c).isascii()]
+    text, theirs = "".join(every), {}
+    for _, (start, end) in library.pre_tokenizer.pre_tokenize_str(text):
+        # one run of letters, one number, or one run of others; a letter joins one before it, a number none
+        joined = library.pre_tokenizer.pre_tokenize_str("a" + text[start])
+        kind = "L" if len(joined) == 1 else "N" if len(library.pre_tokenizer.pre_tokenize_str(text[start] * 2)) == 2 else "O"
+        theirs.update(dict.fromkeys(range(start, end), kind))
+    ours = regex.compile(r"(?P<L>\p{L})|(?P<N>\p{N})|(?P<S>\p{White_Space})|(?P<O>.)", regex.DOTALL)
+    classes: list[tuple[int, int, str]] = []
+    for m in ours.finditer(text):
+        code, kind = ord(m.group()), theirs.get(m.start(), "S")
+        if m.lastgroup != kind:
+            first = classes.pop()[0] if classes and classes[-1][1:] == (code - 1, kind) else code
+            classes.append((first, code, kind))
+    lower = tuple(
+        (c, low) for c in every
+        if not c.isspace() and unicodedata.is_normalized("NFC", c) and (low := library.normalizer.normalize_str(c)) != c.replace("Σ", "σ").lower()
+    )
+    return Characters(tuple(classes), lower)
+
+
 class WordBpe:
     """Encoder and decoder for byte-level word vocabularies whose last symbol carries a suffix."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, characters: Characters = Characters()):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -66,7 +110,16 @@ class WordBpe:
         self.added = added
         self.added_pattern = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True))))
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.split = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        pattern = split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
+        self.split = regex.compile(pattern)
+        # texts with a character that the two sides see differently take a slower way
+        self.lower = dict(characters.lower)
+        odd = characters.of(lambda kind: True) + "".join(rf"\U{ord(c):08x}" for c in self.lower)
+        self.odd = regex.compile(f"[{odd}]") if odd else None
+        for name, kind in ((r"\p{White_Space}", "S"), (r"\p{L}", "L"), (r"\p{N}", "N")):
+            gone, come = characters.of(lambda k: k != kind), characters.of(lambda k: k == kind)  # noqa: B023
+            pattern = pattern.replace(name, f"[{f'[{name}--[{gone}]]' if gone else name}{come}]")
+        self.careful_split = regex.compile(pattern, regex.V1)
         self.words = TwoGenerationCache(self.encode_word, CACHED_WORDS)
 
     def encode_word(self, word: str) -> tuple[int, ...]:
@@ -111,6 +164,9 @@ class WordBpe:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
+            if self.odd is not None and self.odd.search(text):
+                text = "".join(self.lower.get(c) or c.replace("Σ", "σ").lower() for c in text)
+                return map(self.words.__getitem__, self.careful_split.findall(text))
             text = text.replace("Σ", "σ")  # letters are lower-cased one by one
         return map(self.words.__getitem__, self.split.findall(text.lower()))
 
@@ -134,8 +190,8 @@ class WordBpe:
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> WordBpe:
-    return WordBpe(path)
+def load(path: str, characters: Characters = Characters()) -> WordBpe:
+    return WordBpe(path, characters)
 
 
 IDS = (T.ArrayType(T.IntegerType(), False), pa.list_(pa.field("element", pa.int32(), False)))
@@ -158,8 +214,8 @@ def _with_columns(df: DataFrame, added: dict[str, tuple[T.DataType, pa.DataType]
     return df.mapInArrow(run, schema)
 
 
-def _ready(vocabulary: str) -> WordBpe:
-    bpe = load(vocabulary_path(vocabulary))
+def _ready(vocabulary: str, characters: Characters) -> WordBpe:
+    bpe = load(vocabulary_path(vocabulary), characters)
     bpe.words.take_over()
     return bpe
 
@@ -171,8 +227,10 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", vocabulary: str
     strings of special tokens in a text become those tokens.
     """
 
+    known = characters(vocabulary_path(vocabulary))
+
     def make():
-        bpe = _ready(vocabulary)
+        bpe = _ready(vocabulary, known)
         return lambda batch: [[bpe.encode(x) for x in texts_of(batch, text)]]
 
     return _with_columns(df, {out: IDS}, make)
@@ -197,8 +255,10 @@ def encode_and_decode(
 ) -> DataFrame:
     """Adds ``ids`` as ``encode`` and ``decoded`` as ``decode`` do, in one pass with one worker per task."""
 
+    known = characters(vocabulary_path(vocabulary))
+
     def make():
-        bpe = _ready(vocabulary)
+        bpe = _ready(vocabulary, known)
 
         def each(batch: pa.RecordBatch) -> list[list]:
             coded = [bpe.encode(x) for x in texts_of(batch, text)]
