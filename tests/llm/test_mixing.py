@@ -1,3 +1,5 @@
+import hashlib
+import random
 from collections import defaultdict
 
 import duckdb
@@ -96,3 +98,25 @@ def test_empty_table_and_clashing_columns(spark):
     df = table(spark, [(1, "a b c", "s")]).withColumn("target", F.lit("old")).withColumn("taken", F.lit(True))
     assert mixing.mix(df).first()["taken"] == 3
     assert mixing.mix(df.limit(0)).collect() == []
+
+
+def test_documents_without_ids_are_placed_by_size_and_not_in_one_task(spark, documents):
+    rnd = random.Random(8)
+    rows = [(None if rnd.random() < 0.9 else i, "w " * rnd.randrange(40), "en", f"s{i % 2}") for i in range(600)]
+    df = documents(*rows)
+    mixed = mixing.mix(df).collect()
+    placed = sorted(
+        (hashlib.md5(("null" if k is None else str(k)).encode()).hexdigest(), len((t or "").split()), s) for k, t, _, s in rows
+    )
+    goal = {r["source"]: round(r["target"]) for r in mixed}
+    total = {r["source"]: r["source_size"] for r in mixed}
+    starts, expected = dict.fromkeys(goal, 0), []
+    for order, size, source in placed:
+        start = starts[source]
+        starts[source] += size
+        taken = sum(max(0, min(start + e * total[source] + size, goal[source]) - (start + e * total[source])) for e in range(3))
+        expected.append((source, size, taken))
+    assert sorted((r["source"], r["size"], r["taken"]) for r in mixed) == sorted(expected)
+    sized = df.withColumn("size", mixing.word_count(F.col("text"))).where("doc_id IS NULL")
+    buckets = sized.select(mixing._bucket(F.col("doc_id"), F.md5(F.lit("null").cast("binary")), F.col("size")).alias("b"))
+    assert buckets.distinct().count() >= 30

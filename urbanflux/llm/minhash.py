@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from urbanflux.llm.common import ship_package, slices, texts_of
 from urbanflux.llm.components import connected_components
+from urbanflux.llm.ordered import join_counted
 from urbanflux.session import materialize
 
 SHINGLE = 5
@@ -225,7 +226,8 @@ def _links(members: DataFrame, texts: DataFrame, shingle: int, similarity: float
 
     # What is linked to the same text is in one class: the heaviest neighbour (or itself) stands for it.
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    ends = ends.join(weights.select(F.col("text_key").alias("b"), "weight"), "b")
+    heavy = ends.groupBy("b").agg(F.count("*").alias("n")).join(weights.select(F.col("text_key").alias("b"), "weight"), "b")
+    ends = join_counted(ends, heavy, ["b"], "n", 2 * links.count(), {"b": F.col("a")})
     ends = ends.select(F.col("a").alias("text_key"), "weight", F.col("b").alias("class"))
     own = weights.select("text_key", "weight", F.col("text_key").alias("class"))
     heads = ends.unionByName(own).groupBy("text_key").agg(F.max(F.struct("weight", "class"))["class"].alias("class"))

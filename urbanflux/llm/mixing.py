@@ -26,6 +26,8 @@ BLOCK_WORDS = 1024
 CELLS = 65_536
 #: Slots whose ranks are counted together.
 CHUNK = 65_536
+#: Hexadecimal digits of the shuffle order by which a source is summed up.
+BUCKET_DIGITS = 4
 GOLDEN = 0.6180339887498949
 
 
@@ -88,6 +90,17 @@ def schedule(plan: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return ranked.unionByName(late).where("rank < quota").select("slot", "source_key", "rank")
 
 
+def _bucket(key: Column, order: Column, size: Column) -> Column:
+    """A part of the shuffle order that sorts like it: the first digits of the order, and for documents without a key,
+    whose order is one value, that value and their size. What follows that value among its first digits
+    gets a part of its own.
+    """
+    digits, nothing = F.substring(order, 1, BUCKET_DIGITS), F.md5(F.lit("null").cast("binary"))
+    behind = (digits == F.substring(nothing, 1, BUCKET_DIGITS)) & (order > nothing)
+    own = F.concat(order, F.lpad(size.cast("string"), 19, "0"))
+    return F.when(key.isNull(), own).when(behind, F.concat(digits, F.lit("~"))).otherwise(digits)
+
+
 def mix(
     df: DataFrame,
     key: str = "doc_id",
@@ -111,7 +124,7 @@ def mix(
     rows = df.withColumns({"mix_size": size, "mix_tie": F.lit(0) if tie is None else tie})
     rows = rows.withColumns(
         {"mix_source": F.coalesce(F.concat(F.lit("="), name), F.lit("")), "mix_order": F.md5(number.cast("binary"))}
-    ).withColumn("mix_bucket", F.substring("mix_order", 1, 3))
+    ).withColumn("mix_bucket", _bucket(F.col(key), F.col("mix_order"), F.col("mix_size")))
 
     at = [F.col("mix_source").alias("source_key"), F.col("mix_bucket").alias("bucket")]
     sums = materialize(rows.groupBy(*at).agg(F.sum("mix_size").alias("words"), F.min(name).alias("source")), "mix-sums")

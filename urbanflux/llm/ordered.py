@@ -66,13 +66,25 @@ def following(table: DataFrame, columns: list[str]) -> DataFrame:
     return out.withColumns({f"next_{c}": F.col(f"follows.{c}") for c in columns}).drop("follows", "head")
 
 
-def join_counted(left: DataFrame, right: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
+def join_counted(
+    left: DataFrame, right: DataFrame, on: list[str], weight: str, total: int, spread: dict[str, Column] | None = None
+) -> DataFrame:
     """Inner join with a table of unique keys, whose ``weight`` says how many rows of ``left`` hold the key.
 
     Keys with more than one in ``HOT_SHARE`` of all ``total`` rows are broadcast, being at most so many;
-    the others are shuffled.
+    the others are shuffled. ``left`` is read twice, unless ``spread`` names for each key another column to deal
+    rows of hot keys out by, which then pass through the one shuffle.
     """
     hot = F.col(weight) > total / HOT_SHARE
+    if spread is not None:
+        added = [c for c in right.columns if c not in on]
+        often = right.where(hot).select(*on, F.lit(True).alias("often"), *(F.col(c).alias(f"{c}__hot") for c in added))
+        marked = left.join(F.broadcast(often), on, "left")
+        marked = marked.withColumns({f"{k}__key": F.when(F.col("often"), spread[k]).otherwise(F.col(k)) for k in on})
+        cold = right.where(~hot).select(*(F.col(k).alias(f"{k}__key") for k in on), F.lit(True).alias("rare"), *(F.col(c).alias(f"{c}__cold") for c in added))
+        found = marked.join(cold, [f"{k}__key" for k in on], "left").where("often OR rare")
+        values = (F.when(F.col("often"), F.col(f"{c}__hot")).otherwise(F.col(f"{c}__cold")).alias(c) for c in added)
+        return found.select(*left.columns, *values)
     often = right.where(hot).select(*on, F.lit(True).alias("often"), *(c for c in right.columns if c not in on))
     marked = left.join(F.broadcast(often), on, "left")
     kept = [c for c in left.columns if c not in on]
