@@ -129,3 +129,81 @@ def test_query_on_repeats_nulls_and_an_empty_table(spark, documents, folder):
 @pytest.mark.parametrize("number,right", [("4539148803436467", True), ("4539148803436468", False), ("0000000000000000000", True)])
 def test_luhn(documents, number, right):
     assert documents((1, number)).select(pii.luhn(F.col("text"))).first()[0] is right
+
+
+def groupings(text):
+    """All candidates of runs of digits, by plain loops."""
+    out = []
+    for run in re.finditer(r"(?<![0-9A-Za-z+(-])[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}", text):
+        groups = [(m.start() + run.start(), m.end() + run.start()) for m in re.finditer("[0-9]+", run.group())]
+        for a in range(len(groups)):
+            for b in range(a, min(a + pii.MOST_GROUPS, len(groups))):
+                start, end = groups[a][0], groups[b][1]
+                digits = sum(y - x for x, y in groups[a : b + 1])
+                if 13 <= digits <= 19 and re.fullmatch(r"[0-9]+(?:[ -][0-9]+)*", text[start:end]):
+                    out.append(("card", start, end))
+                if start > run.start() and text[start - 1] in "+(":
+                    start -= 1
+                if 7 <= digits <= 15 and re.fullmatch(r"[+(]?[0-9]+(?:[^0-9]+[0-9]{2,})*", text[start:end]):
+                    out.append(("phone", start, end))
+    return out
+
+
+RUNS = [
+    "7536784127813050 4845168114407329", "a +1 (729) 555-7725 b", "call (729) 555-7725 1234567 now", "12 34 56 78 90 12 34 56 78",
+    "4539-1488-0343-6467 4539 1488 0343 6467", "1.2.3.4.5.6.7.8.9", "none", "1" * 40, "+49 30 123456, 0044-20-7946-0000",
+]
+
+
+def test_generators_propose_overlapping_spans(documents):
+    df = pii._prepared(documents(*enumerate(RUNS)), "text")
+    for r in df.select("doc_id", "pii_loose").collect():
+        found = [(pii.KINDS[s["kind"]], s["start"], s["end"]) for s in r["pii_loose"] if s["kind"] > 1]
+        assert sorted(found) == sorted(groupings(RUNS[r["doc_id"]])), RUNS[r["doc_id"]]
+
+
+def chosen_like_the_definition(spans, model, df):
+    """The kept candidates by plain loops over all of them."""
+    rows = df.select("doc_id", "pii_base", F.transform("pii_loose", lambda s: F.struct(s.alias("s"), pii._features(F.col("pii_text"), s).alias("f"))).alias("l"))
+    out = {}
+    for r in rows.collect():
+        touches = lambda a, b: a["start"] < b["end"] and b["start"] < a["end"]
+        left = []
+        for x in r["l"]:
+            s, kind = x["s"], x["s"]["kind"]
+            margin = model.score(kind, x["f"].asDict()) - model.threshold[kind]
+            if margin >= 0 and not any(touches(s, b) for b in r["pii_base"]):
+                left.append(((margin, s["end"] - s["start"], -kind, -s["start"]), s))
+        best = [s for rank, s in left if not any(touches(s, o) and other > rank for other, o in left)]
+        out[r["doc_id"]] = sorted((s["kind"], s["start"], s["end"]) for s in [*best, *r["pii_base"]])
+    return out
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    return pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def test_chosen_set_of_a_model_of_the_given_table(documents, trained):
+    texts = [*TEXTS[:7], *RUNS, "write jo [at] mail [dot] com", "host 10.0.0.300 or 10.0.0.30", "phone 729 555-7725, tel. (729) 555-7725"]
+    df = documents(*enumerate(texts))
+    found = pii.find_personal_data(df, trained).collect()
+    want = chosen_like_the_definition(texts, trained, pii._prepared(df, "text"))
+    for r in found:
+        assert [(pii.KINDS.index(s["kind"]), s["start"], s["end"]) for s in r["spans"]] == want[r["doc_id"]], texts[r["doc_id"]]
+
+
+@pytest.mark.parametrize(
+    "text,spans",
+    [
+        ("x 4539148803436467 4111111111111111 y", ["4539148803436467", "4111111111111111"]),
+        ("write jo [at] mail [dot] com now", ["jo [at] mail [dot] com"]),
+        ("please call (729) 555-7725 today", ["(729) 555-7725"]),
+        ("host 10.0.0.300 is down", []),
+        ("host 10.0.0.30 is up", ["10.0.0.30"]),
+        ("number 4539148803436468 fails its check", []),
+    ],
+)
+def test_model_of_the_given_table_finds_what_strict_patterns_miss(documents, trained, text, spans):
+    row = pii.find_personal_data(documents((1, text)), trained).first()
+    assert [s["text"] for s in row["spans"]] == spans

@@ -1,11 +1,15 @@
 """Personal data: strict patterns, and boosted trees over the candidates of looser ones.
 
-Strict matches always count. Looser generators propose further, overlapping spans. What is
-known of a candidate (its shape and what stands around it) has few levels, so the corpus shrinks to counts
-per combination of levels; gradient boosting fits depth-two trees to these counts, with
-"is a strict match" as label, and a second fold of the documents sets per kind the score
-from which enough candidates are right. Candidates at or above it that touch no strict match are
-added. Trees and thresholds are plain column expressions.
+Strict matches always count. High-recall generators propose further spans, which overlap: addresses with spelt-out
+signs, dotted numbers, and every grouping of neighbouring digit groups in a run of digits that has the size of a card
+or phone number. What is known of a candidate (its size and grouping, a check digit, what stands around it) has few
+levels, so the corpus shrinks to counts per combination of levels, and gradient boosting fits depth-two trees to these.
+
+Only strict matches are known to be right; all other candidates are unlabelled, not wrong. The trees never see what
+makes a match strict (the plus sign, the at sign, brackets), so they learn how candidates like strict ones look and
+stand; the share of strict ones among right ones, estimated on a second fold of the documents, turns their probability
+into that of being right and sets the threshold per kind. Of chosen candidates that overlap, the best one stays.
+Trees and thresholds are plain column expressions.
 """
 
 from __future__ import annotations
@@ -26,17 +30,21 @@ STRICT = {
 }
 #: What a text must hold for a strict match.
 NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-#: High-recall generators and the kinds that each proposes.
+#: High-recall generators and the kinds that each proposes; the last one finds runs of digits.
 GENERATORS = {
     r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:@| ?[\[(](?:at|AT)[\])] ?)[A-Za-z0-9-]++"
     r"(?:(?:\.| ?[\[(](?:dot|DOT)[\])] ?)[A-Za-z0-9-]++)*+": ("email",),
     r"(?<![0-9A-Za-z.])[0-9]{1,4}+(?:\.[0-9]{1,4}+){3,5}+": ("ip",),
     r"(?<![0-9A-Za-z+(-])[+(]?[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+": ("card", "phone"),
 }
-MIN_PRECISION = 0.95
+#: Digits of a number that a grouping may have, and groups that it may join.
+SIZES = {"card": (13, 19), "phone": (7, 15)}
+MOST_GROUPS = 8
+#: A candidate counts from this probability of being right on.
+LEAST_PROBABILITY = 0.5
 TREES, RATE = 24, 0.3
 #: Levels of each feature; their product bounds the table of counts.
-LEVELS = {"digits": 8, "marks": 5, "paren": 2, "words": 5, "before": 3, "after": 3}
+LEVELS = {"digits": 8, "groups": 5, "valid": 2, "words": 5, "before": 3, "after": 3}
 CONTEXT = {
     "email": "mail|contact|write|from",
     "ip": "ip|addr|host|server",
@@ -104,6 +112,49 @@ def _typed(kind: str, spans: Column) -> Column:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _groupings(run: Column) -> Column:
+    """Neighbouring digit groups of a run, joined in every way that has the size of a card or phone number.
+
+    Card groups stand one blank or hyphen apart. A phone number takes a plus sign or bracket before it along, and only its
+    first group may be a single digit.
+    """
+    places = F.sequence(F.lit(0), F.length(run["text"]) - 1)
+
+    def bounds(chars: Column) -> Column:
+        digit = lambda i: F.get(chars, i).between("0", "9")
+        begins = F.filter(places, lambda i: digit(i) & ((i == 0) | ~F.coalesce(digit(i - 1), F.lit(False))))
+        ends = F.filter(places, lambda i: digit(i) & ~F.coalesce(digit(i + 1), F.lit(False)))
+        return F.arrays_zip(begins.alias("begin"), F.transform(ends, lambda i: i + 1).alias("end"))
+
+    def joined(groups: Column, a: Column, b: Column) -> Column:
+        of = F.slice(groups, a + 1, b - a + 1)
+        size = F.aggregate(of, F.lit(0), lambda total, g: total + g["end"] - g["begin"])
+        start, end = F.get(groups, a)["begin"], F.get(groups, b)["end"]
+        before = F.substr(run["text"], start, F.lit(1))  # places count from 1 there
+        signed = start - F.when((start > 0) & before.isin("+", "("), 1).otherwise(0)
+        spans = []
+        for kind, begin in (("card", start), ("phone", signed)):
+            inside = F.substr(run["text"], begin + 1, end - begin)
+            shape = r"^[0-9]+(?:[\x20-][0-9]+)*$" if kind == "card" else r"^[+(]?[0-9]+(?:[^0-9]+[0-9]{2,})*$"
+            found = F.struct(
+                F.lit(KINDS.index(kind)).alias("kind"), (run["start"] + begin).alias("start"), (run["start"] + end).alias("end"), inside.alias("text")
+            )
+            spans.append(F.when(size.between(*SIZES[kind]) & F.rlike(inside, F.lit(shape)), found))
+        return F.filter(F.array(*spans), lambda x: x.isNotNull())
+
+    def every(groups: Column) -> Column:
+        last = lambda a: F.least(a + MOST_GROUPS, F.size(groups)) - 1
+        several = lambda a: F.flatten(F.transform(F.sequence(a, last(a)), lambda b: joined(groups, a, b)))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), several))
+
+    return _let(F.split(run["text"], ""), lambda chars: _let(bounds(chars), every))
+
+
 def _with_matches(df: DataFrame) -> DataFrame:
     """Adds strict spans (``pii_base``) and candidates (``pii_loose``) to rows with ``pii_text``."""
     text, none = F.col("pii_text"), F.array().cast("array<string>")
@@ -117,19 +168,25 @@ def _with_matches(df: DataFrame) -> DataFrame:
         spans = _located(text, pattern, F.col(f"pii_m{i}"))
         strict.append(_typed(kind, F.filter(spans, _is_valid(kind))))
     loose = []
+    none = F.array().cast(f"array<{SPAN}>")
     for i, (pattern, kinds) in enumerate(GENERATORS.items()):
-        spans = _located(text, pattern, F.col(f"pii_g{i}"))
-        df = df.withColumn(f"pii_l{i}", spans)
-        loose += [_typed(kind, F.col(f"pii_l{i}")) for kind in kinds]
+        df = df.withColumn(f"pii_l{i}", _located(text, pattern, F.col(f"pii_g{i}")))
+        found = F.col(f"pii_l{i}")
+        if len(kinds) > 1:
+            found = F.when(F.size(found) > 0, F.flatten(F.transform(found, _groupings))).otherwise(none)
+        if kinds == ("ip",):  # whose parts exceed a byte is no address, wherever it stands
+            found = F.filter(found, _is_valid("ip"))
+        loose.append(found if len(kinds) > 1 else _typed(*kinds, found))
     df = df.withColumn("pii_base", F.concat(*strict)).withColumn("pii_loose", F.concat(*loose))
     return df.drop(*(f"pii_{a}{i}" for a in "mgl" for i in range(4)))
 
 
 def _features(text: Column, span: Column) -> Column:
-    """Levels of what is known of a candidate, as a struct named like ``LEVELS``."""
+    """Levels of what is known of a candidate, as a struct named like ``LEVELS``; blind for the signs of strict matches."""
     inside, start, end, kind = span["text"], span["start"], span["end"], span["kind"]
-    n = F.length(_digits(inside))
-    marks = F.length(F.regexp_replace(inside, "[A-Za-z0-9]", ""))
+    # a country code in front, with or without its sign, says nothing of the number behind it
+    number = F.when(kind == 3, F.regexp_replace(inside, r"^(?:\+[0-9]{1,3}(?![0-9])|[0-9]{1,3}(?= ?\())[ .-]*", "")).otherwise(inside)
+    n = F.length(_digits(number))
     size = F.least(start, F.lit(WINDOW).cast("long")).cast("int")
     near = F.lower(F.substr(text, (start + 1).cast("int") - size, size))
     words = F.lit(0)
@@ -138,13 +195,14 @@ def _features(text: Column, span: Column) -> Column:
     before = F.substr(near, size, F.lit(1))
     after = F.substr(text, (end + 1).cast("int"), F.lit(1))
     side = lambda c: F.when((c == "") | F.rlike(c, F.lit(r"\s")), 0).when(F.rlike(c, F.lit(r"[\p{L}\p{N}_]")), 2).otherwise(1)
-    digits = F.when(n <= 6, 0).when(n <= 9, 1).when(n == 10, 2).when(n == 11, 3).when(n <= 12, 4).when(n <= 15, 5).when(n <= 19, 6).otherwise(7)
-    digits = F.when(kind == 0, F.when(F.contains(inside, F.lit(".")), 1).otherwise(0)).otherwise(digits)
+    digits = F.when(n <= 7, 0).when(n <= 9, 1).when(n == 10, 2).when(n == 11, 3).when(n <= 12, 4).when(n <= 15, 5).when(n <= 19, 6).otherwise(7)
+    domain = F.rlike(inside, F.lit(r"(?i)(?:@|[\[(]at[\])]).*(?:\.|[\[(]dot[\])])"))
+    valid = F.when(kind == 2, luhn(_digits(inside))).otherwise(True)
     return F.struct(
         kind.alias("kind"),
-        digits.alias("digits"),
-        F.least(marks, F.lit(4)).alias("marks"),
-        F.rlike(inside, F.lit(r"[()\[\]]")).cast("int").alias("paren"),
+        F.when(kind == 0, domain.cast("int")).otherwise(digits).alias("digits"),
+        F.when(kind == 0, 0).otherwise(F.least(F.regexp_count(number, F.lit("[0-9]+")), F.lit(4))).alias("groups"),
+        valid.cast("int").alias("valid"),
         words.alias("words"),
         side(before).alias("before"),
         side(after).alias("after"),
@@ -170,21 +228,21 @@ class Model:
             total += low if levels[g] < at else high
         return total
 
-    def expression(self, features: Column) -> Column:
-        """Whether the candidate reaches the threshold of its kind."""
+    def margin(self, features: Column) -> Column:
+        """By how much the score of a candidate exceeds the threshold of its kind; null where there is none."""
 
         def leaf(node: tuple) -> Column:
             return F.when(features[node[0]] < node[1], F.lit(node[2])).otherwise(F.lit(node[3]))
 
-        passed = F.lit(False)
+        found = F.lit(None).cast("double")
         for kind, trees in enumerate(self.trees):
             if math.isinf(self.threshold[kind]):
                 continue
-            total = F.lit(self.start[kind])
+            total = F.lit(self.start[kind] - self.threshold[kind])
             for (f, cut), left, right in trees:
                 total = total + F.when(features[f] < cut, leaf(left)).otherwise(leaf(right))
-            passed = F.when(features["kind"] == kind, total >= self.threshold[kind]).otherwise(passed)
-        return passed
+            found = F.when(features["kind"] == kind, total).otherwise(found)
+        return found
 
 
 def _best_split(rows: list[tuple]) -> tuple[float, str, int, float, float]:
@@ -206,17 +264,19 @@ def _best_split(rows: list[tuple]) -> tuple[float, str, int, float, float]:
     return best
 
 
-def fit(counts: list[dict], trees: int = TREES, rate: float = RATE, precision: float = MIN_PRECISION) -> Model:
-    """Boosted trees from counts ``{kind, fold, positive, negative, <levels>}``.
+def fit(counts: list[dict], trees: int = TREES, rate: float = RATE, least: float = LEAST_PROBABILITY) -> Model:
+    """Boosted trees from counts ``{kind, fold, positive, unlabelled, <levels>}``.
 
-    Fold 1 fits the trees, fold 0 the thresholds; a kind without candidates right in both gets none.
+    Fold 1 fits the trees to tell positive from unlabelled candidates. If those that are right are positive with
+    probability ``c``, one that is positive with probability ``p`` is right with ``p / c``; fold 0 says ``c``, the mean
+    ``p`` of its positive ones. A kind without positive candidates in both folds gets no threshold.
     """
     start, grown, limits = [], [], []
     for kind in range(len(KINDS)):
         own = [r for r in counts if r["kind"] == kind]
         own.sort(key=lambda r: (r["fold"], *(r[f] for f in LEVELS)))
         train = [r for r in own if r["fold"]]
-        good, bad = sum(r["positive"] for r in train), sum(r["negative"] for r in train)
+        good, bad = sum(r["positive"] for r in train), sum(r["unlabelled"] for r in train)
         base = math.log((good + 0.5) / (bad + 0.5))
         model = Model((base,) * len(KINDS), tuple(() for _ in KINDS), (math.inf,) * len(KINDS))
         mine: list[tuple] = []
@@ -225,7 +285,7 @@ def fit(counts: list[dict], trees: int = TREES, rate: float = RATE, precision: f
             rows = []
             for r, s in zip(train, scores, strict=True):
                 p = 1 / (1 + math.exp(-s))
-                n = r["positive"] + r["negative"]
+                n = r["positive"] + r["unlabelled"]
                 rows.append((r, r["positive"] - n * p, n * p * (1 - p)))
             _, f, cut, *_ = _best_split(rows)
             sides = [[r for r in rows if (r[0][f] < cut) is left] for left in (True, False)]
@@ -238,14 +298,10 @@ def fit(counts: list[dict], trees: int = TREES, rate: float = RATE, precision: f
             step = Model((0.0,) * len(KINDS), ((tree,),) * len(KINDS), ())
             scores = [s + step.score(kind, r) for r, s in zip(train, scores, strict=True)]
         model = Model((base,) * len(KINDS), (tuple(mine),) * len(KINDS), ())
-        ranked = sorted(((model.score(kind, r), r["positive"], r["negative"]) for r in own if not r["fold"]), reverse=True)
-        limit, good, bad, i = math.inf, 0, 0, 0
-        while i < len(ranked):
-            score = ranked[i][0]
-            while i < len(ranked) and ranked[i][0] == score:
-                good, bad, i = good + ranked[i][1], bad + ranked[i][2], i + 1
-            if good and good >= precision * (good + bad):
-                limit = score - 1e-9
+        held = [(r["positive"], 1 / (1 + math.exp(-model.score(kind, r)))) for r in own if not r["fold"] and r["positive"]]
+        share = sum(n * p for n, p in held) / sum(n for n, _ in held) if held and good else 0.0
+        level = least * share
+        limit = math.log(level / (1 - level)) if 0 < level < 1 else math.inf
         start.append(base)
         grown.append(tuple(mine))
         limits.append(limit)
@@ -256,52 +312,57 @@ def _prepared(df: DataFrame, text: str) -> DataFrame:
     return _with_matches(df.withColumn("pii_text", F.coalesce(F.col(text), F.lit(""))))
 
 
-def _covered(span: Column, base: Column) -> Column:
-    return F.exists(base, lambda b: (b["kind"] == span["kind"]) & (b["start"] >= span["start"]) & (b["end"] <= span["end"]))
+def _touches(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
 def train(df: DataFrame, text: str = "text") -> Model:
-    """Fits a model to all rows of ``df``.
+    """Fits a model to all rows of ``df``; repeated rows count as often as they stand there.
 
-    Only the counts per combination of levels, at most twice their product times the four kinds,
+    Null and empty texts and other columns teach nothing; without strict matches, as in an empty table, the model
+    adds no spans. Candidates that overlap a strict match are parts of it and teach nothing either. Only the counts per combination of levels, at most twice their product times the four kinds,
     reach the driver.
     """
     found = _prepared(df.select(F.col(text).alias("text")), "text").where(F.size("pii_loose") > 0)
     fold = (F.crc32(F.col("pii_text").cast("binary")) % 2).cast("int")
     base = F.col("pii_base")
 
-    def labelled(spans: Column, label) -> Column:
-        return F.transform(spans, lambda s: F.struct(_features(F.col("pii_text"), s).alias("f"), label(s).cast("int").alias("y")))
+    def labelled(spans: Column, label: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(_features(F.col("pii_text"), s).alias("f"), F.lit(label).alias("y")))
 
-    strict = labelled(F.array_intersect("pii_loose", base), lambda s: F.lit(1))
-    rest = labelled(F.array_except("pii_loose", base), lambda s: _covered(s, base))
+    strict = labelled(F.array_intersect("pii_loose", base), 1)
+    rest = labelled(F.filter("pii_loose", lambda s: ~F.exists(base, lambda b: _touches(s, b))), 0)
     rows = found.select(fold.alias("fold"), F.explode(F.concat(strict, rest)).alias("x"))
     counts = rows.select("fold", "x.f.*", "x.y").groupBy("fold", "kind", *LEVELS)
-    counts = counts.agg(F.sum("y").alias("positive"), F.sum(1 - F.col("y")).alias("negative"))
+    counts = counts.agg(F.sum("y").alias("positive"), F.sum(1 - F.col("y")).alias("unlabelled"))
     return fit([r.asDict() for r in counts.collect()])
 
 
 def find_personal_data(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds ``base_spans`` and ``spans``, arrays of ``kind, start, end, text`` in order of kind and start.
 
-    Places count code points from 0, ends are exclusive. ``spans`` holds the strict matches
-    and the candidates chosen by ``model`` that touch none of them, nor an earlier chosen one. Null
-    counts as the empty text and gives empty arrays; columns of these names are replaced.
+    Places count code points from 0, ends are exclusive. ``spans`` holds the strict matches and the
+    candidates that reach the model's threshold and touch none of them, nor a better candidate: one further above its threshold,
+    then longer, of an earlier kind, further in front. Null counts as the empty text and gives empty arrays, repeated
+    rows get equal ones, an empty table stays empty. Columns of these names are replaced; names that start with
+    ``pii_`` are reserved.
     """
     found = _prepared(df, text)
     base, source = F.col("pii_base"), F.col("pii_text")
-    touches = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    rest = F.array_except("pii_loose", base)  # most are strict matches themselves
-    apart = F.filter(rest, lambda s: ~F.exists(base, lambda b: touches(s, b)))
-    # the features are computed once per candidate, not once per mention in a tree
-    known = F.transform(apart, lambda s: F.struct(s.alias("s"), _features(source, s).alias("f")))
-    chosen = F.transform(F.filter(known, lambda x: model.expression(x["f"])), lambda x: x["s"])
-    none = F.array().cast(f"array<{SPAN}>")
-    found = found.withColumn("pii_chosen", F.when(F.size("pii_loose") > 0, F.array_sort(chosen)).otherwise(none))
-    apart = F.filter(
-        "pii_chosen",
-        lambda s: ~F.exists("pii_chosen", lambda o: touches(s, o) & (F.struct(o["kind"], o["start"]) < F.struct(s["kind"], s["start"]))),
+    apart = F.filter("pii_loose", lambda s: ~F.exists(base, lambda b: _touches(s, b)))
+    # the margin is computed once per candidate, not once per comparison
+    ranked = F.transform(
+        apart,
+        lambda s: F.struct(
+            F.struct(model.margin(_features(source, s)).alias("margin"), (s["end"] - s["start"]).alias("size"), (-s["kind"]).alias("kind"), (-s["start"]).alias("start")).alias("rank"),
+            s.alias("s"),
+        ),
     )
+    none = F.array().cast("array<struct<rank:struct<margin:double,size:bigint,kind:int,start:bigint>,s:" + SPAN + ">>")
+    reached = F.filter(ranked, lambda x: x["rank"]["margin"] >= 0)
+    found = found.withColumn("pii_chosen", F.when(F.size("pii_loose") > 0, reached).otherwise(none))
+    best = F.filter("pii_chosen", lambda x: ~F.exists("pii_chosen", lambda o: _touches(x["s"], o["s"]) & (o["rank"] > x["rank"])))
+    apart = F.transform(best, lambda x: x["s"])
     name = lambda s: F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)
     shown = lambda spans: F.transform(
         spans, lambda s: F.struct(name(s).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text"))
