@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal, localcontext
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -70,3 +71,29 @@ def test_ties_repeats_and_unusable_vectors(spark):
         (0, 3, 1, math.sqrt(2)),
     ]
     assert nearest_neighbours(df.limit(0), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def exactly(a, b):
+    """Distance by decimals of any size."""
+    with localcontext() as context:
+        context.prec, context.Emin, context.Emax = 60, -9_999, 9_999
+        return float(sum((Decimal(x) - Decimal(y)) ** 2 for x, y in zip(a, b, strict=True)).sqrt())
+
+
+def test_vectors_near_the_ends_of_the_double_range(spark):
+    random = np.random.default_rng(5)
+    for scale in (1.5e307, 1e300, 1e-300, 1e-320):
+        rows = [(i, (random.standard_normal(4) / 8 * scale).tolist()) for i in range(50)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        found = nearest_neighbours(df, F.col("vec_id") == 0).collect()
+        want = sorted((exactly(rows[0][1], v), i) for i, v in rows[1:])[:10]
+        assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"])] == [i for _, i in want]
+        assert all(abs(r["score"] - want[r["rank"] - 1][0]) <= 1e-12 * want[9][0] + 5e-324 for r in found)
+
+
+def test_queries_far_beyond_all_others(spark):
+    rows = [(0, [1e308, -1e308]), *((i, [float(i), 1e-5]) for i in range(1, 30))]
+    found = nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+    assert len(found) == 10 and all(r["score"] == found[0]["score"] for r in found)
+    block = Block(np.arange(1, 30), np.array([v for _, v in rows[1:]]))
+    assert [i for _, i in block.nearest(0, np.array(rows[0][1]), 10)] == list(range(1, 11))

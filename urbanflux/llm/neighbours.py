@@ -32,14 +32,30 @@ def directions(dimension: int, count: int) -> np.ndarray:
     return np.random.default_rng(20_240_229 + dimension).standard_normal((dimension, count))
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision; where squares leave its range, of vectors brought into it first."""
+    with np.errstate(over="ignore"):
+        found = np.sqrt(np.square(vectors - query).sum(axis=1))
+    beyond = np.flatnonzero(~np.isfinite(found) | (found < 1e-140))
+    if len(beyond):
+        scale = np.maximum(np.abs(vectors[beyond]).max(axis=1), np.abs(query).max())
+        apart = vectors[beyond] / scale[:, None] - query / scale[:, None]
+        unit = np.abs(apart).max(axis=1)
+        share = apart / np.where(unit > 0, unit, 1)[:, None]
+        with np.errstate(over="ignore"):
+            found[beyond] = np.sqrt(np.square(share).sum(axis=1)) * unit * scale
+    return found
+
+
 class Block:
-    """Sorted projections of some vectors of equal dimension."""
+    """Sorted projections of some vectors of equal dimension, in units of their largest component."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         self.axes = directions(vectors.shape[1], projections)
-        values = self.vectors @ self.axes
+        self.scale = float(np.abs(vectors).max())
+        values = (self.vectors / self.scale) @ self.axes
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(values.T, self.order, axis=1)
         spread = values.std(axis=0).mean() if len(ids) > 1 else 0.0
@@ -51,13 +67,18 @@ class Block:
         counts = np.zeros(n, np.int32)
         checked = self.ids == own
         left = checked.sum()
-        at = query @ self.axes
+        with np.errstate(over="ignore", invalid="ignore"):
+            at = (query / self.scale) @ self.axes
+        if not np.isfinite(at).all():  # so far off that no window can be opened around it
+            return self._verified(np.flatnonzero(~checked), query, k, [])
         low = np.array([np.searchsorted(row, x) for row, x in zip(self.sorted, at, strict=True)])
         high = low.copy()
         best: list[tuple[float, int]] = []
         radius, needed = self.radius, math.ceil(SHARE * m)
         while left < n:
             half = radius * WIDTH / 2
+            if not math.isfinite(half):
+                return self._verified(np.flatnonzero(~checked), query, k, best)
             met = []
             for i in range(m):
                 a = np.searchsorted(self.sorted[i], at[i] - half, "left")
@@ -74,16 +95,20 @@ class Block:
                 if len(new):
                     checked[new] = True
                     left += len(new)
-                    distance = np.sqrt(np.square(self.vectors[new] - query).sum(axis=1))
-                    if len(new) > k:
-                        chosen = np.lexsort((self.ids[new], distance))[:k]
-                        new, distance = new[chosen], distance[chosen]
-                    best = sorted(best + list(zip(distance.tolist(), self.ids[new].tolist(), strict=True)))[:k]
-            if len(best) == k and best[-1][0] <= radius:
+                    best = self._verified(new, query, k, best)
+            if len(best) == k and best[-1][0] / self.scale <= radius:
                 break
             radius *= GROWTH
         return best
 
+    def _verified(self, new: np.ndarray, query: np.ndarray, k: int, best: list[tuple[float, int]]) -> list[tuple[float, int]]:
+        """The ``k`` best of those so far and of more vectors, by true distance."""
+        distance = distances(self.vectors[new], query)
+        if len(new) > k:
+            chosen = np.lexsort((self.ids[new], distance))[:k]
+            new, distance = new[chosen], distance[chosen]
+        return sorted(best + list(zip(distance.tolist(), self.ids[new].tolist(), strict=True)))[:k]
+
 
 def search_block(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
     """Queries (left) against the vectors of one block (right); only equal dimensions are compared."""
@@ -111,7 +136,8 @@ def nearest_neighbours(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for rows with ``is_query`` the ``k`` nearest others found.
 
-    Distances are Euclidean in double precision on the vectors as given; ties go to the smaller id.
+    Distances are Euclidean in double precision on the vectors as given, also where squares would leave its
+    range; ties go to the smaller id.
     Null ids and vectors that are null, empty, zero or hold null or non-finite components take
     no part; vectors of another dimension than the query are no candidates. Of repeated ids
     in a block one row counts (the one with the smallest vector). Fewer candidates than ``k`` give all of them.
