@@ -7,6 +7,7 @@ function of the score minus threshold ``j``. Expected grade and tail probabiliti
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,15 @@ SHAPES = ("symbols", "upper", "digits", "lines", "repeats", "length")
 STEPS = 10
 
 
+#: What is no letter or digit at the ends of a word.
+EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+
+
+def core_of(word: str) -> str:
+    """A word in lower case without signs at its ends; one of signs alone stays as it is."""
+    return EDGES.sub("", word.lower()) or word
+
+
 class Features:
     """Distinct hashed features of a text: its words in lower case and steps of its shape."""
 
@@ -41,8 +51,7 @@ class Features:
         self.first_shape = self.size - len(SHAPES) * STEPS
 
     def _word(self, word: bytes) -> int:
-        core = word.decode(errors="replace").lower().strip(".,;:!?\"'()[]")
-        return xxhash.xxh3_64_intdigest(core) % self.first_shape
+        return xxhash.xxh3_64_intdigest(core_of(word.decode(errors="replace"))) % self.first_shape
 
     def of(self, text: str) -> np.ndarray:
         words = text.encode().split()
@@ -163,7 +172,7 @@ def grade_documents(df: DataFrame, model: OrdinalModel, text: str = "text", leas
 
     ``tails`` holds the probabilities of grade 1 or more, 2 or more, and so on; ``selected`` says
     whether the last of them is ``least`` or more. Texts without words, null included, have the
-    lowest grade for sure.
+    lowest grade for sure. Repeated rows get equal grades, an empty table stays empty.
     """
     ship_package(df.sparkSession)
     names = ["expected_grade", "tails", "selected"]
