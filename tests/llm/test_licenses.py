@@ -20,6 +20,13 @@ TEXTS = [
     None,
     "license " * 20_000,
     "permission hereby charge person obtaining " * 3_000,
+    MIT.split("hereby ")[0] + "hereby granted, free of charge, to any person",
+    "use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+    "License: CC BY-SA 4.0",
+    "// SPDX-License-Identifier: Apache-2.0\n// SPDX-License-Identifier: BSD-3-Clause",
+    "cc by request",
+    " ".join(t.text for t in licenses.NOTICES),
 ]
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -32,13 +39,13 @@ def brute_force(text, rare):
     """Every template at every place, without an index."""
     words, hits = words_of(text), set()
     for template, chosen in zip(licenses.TEMPLATES, rare, strict=True):
-        own, key = template.words, template.key_phrase.split()
-        for begin in range(len(words)):
-            there = words[begin : begin + len(own)]
-            votes = {w for w, x in zip(own, there, strict=False) if w == x and w in chosen}
+        own, key = template.words, template.key_words
+        for begin in range(-len(own), len(words)):
+            pairs = [(w, words[begin + i]) for i, w in enumerate(own) if 0 <= begin + i < len(words)]
+            votes = {w for w, x in pairs if w == x and w in chosen}
             at = begin + template.key_at
-            if len(votes) >= min(licenses.VOTES, len(chosen)) and words[at : at + len(key)] == key:
-                hits.add((template.label, begin, round(sum(a == b for a, b in zip(own, there, strict=False)) / len(own), 9)))
+            if len(votes) >= min(licenses.VOTES, len(chosen)) and at >= 0 and words[at : at + len(key)] == key:
+                hits.add((template.label, max(begin, 0), round(sum(a == b for a, b in pairs) / len(own), 9)))
     return hits
 
 
@@ -66,6 +73,9 @@ def test_key_phrase_is_mandatory(documents):
     found = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(documents(*enumerate(TEXTS))).collect()}
     assert found[3] == "mit" and found[6] == "mit" and found[7] == "cc"
     assert found[4] == found[5] == ""
+    assert found[15] == "" and found[16] == "gpl"  # the front of a key phrase is cut off, or that of the notice alone
+    assert found[17] == "cc" and found[18] == "apache,bsd" and found[19] == ""
+    assert set(found[20].split(",")) == {t.label for t in licenses.NOTICES}
 
 
 def test_repeats_null_ids_clashing_columns_and_empty_table(documents):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,41 +28,111 @@ RARE_WORDS, VOTES = 8, 3
 class Template:
     label: str
     text: str
-    key_phrase: str
+    key_phrase: str = ""  # by default the whole text
 
     @property
     def words(self) -> list[str]:
-        return self.text.split()
+        return words_of(self.text)
+
+    @property
+    def key_words(self) -> list[str]:
+        return words_of(self.key_phrase or self.text)
 
     @property
     def key_at(self) -> int:
-        words, key = self.words, self.key_phrase.split()
+        words, key = self.words, self.key_words
         return next(i for i in range(len(words)) if words[i : i + len(key)] == key)
 
 
-#: Opening words of well-known public notices.
-TEMPLATES = [
+def words_of(text: str) -> list[str]:
+    return re.findall(WORDS, text.lower())
+
+
+# The wording of public license notices, paragraph by paragraph, so that a notice is known by any of
+# its parts. Each has the phrase that it cannot be without.
+NOTICES = [
+    Template(
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"
+        " files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy,"
+        " modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
+        " Software is furnished to do so, subject to the following conditions",
+        "permission is hereby granted, free of charge",
+    ),
     Template(
         "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
-        "permission is hereby granted free of charge",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "permission is hereby granted, free of charge",
+    ),
+    Template(
+        "mit",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "shall be included in all copies or substantial portions",
+    ),
+    Template(
+        "apache",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License",
+        "apache license",
+    ),
+    Template(
+        "apache",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an"
+        " \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+        "warranties or conditions of any kind",
+    ),
+    Template(
+        "gpl",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "GNU General Public License",
     ),
-    Template("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance", "apache license"),
     Template(
         "gpl",
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
-        "gnu general public license",
+        "You should have received a copy of the GNU General Public License along with this program",
+        "GNU General Public License",
     ),
+    Template(
+        "lgpl",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "GNU Lesser General Public License",
+    ),
+    Template("agpl", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "GNU Affero General Public License"),
     Template(
         "bsd",
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+        " conditions are met",
         "redistribution and use in source and binary forms",
     ),
-    Template("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("cc", "licensed under cc by", "cc by"),
-    Template("cc", "this work is licensed under a creative commons attribution", "creative commons attribution"),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", "released into the public domain"),
+    Template(
+        "bsd",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer"
+        " in the documentation and/or other materials provided with the distribution",
+        "redistributions in binary form must reproduce the above copyright notice",
+    ),
+    Template(
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+        " provided that the above copyright notice and this permission notice appear in all copies",
+        "for any purpose with or without fee is hereby granted",
+    ),
+    Template(
+        "zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for"
+        " any damages arising from the use of this software",
+        "in no event will the authors be held liable",
+    ),
+    Template("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Mozilla Public License"),
+    Template("unlicense", "This is free and unencumbered software released into the public domain", "released into the public domain"),
+    Template("cc", "Licensed under CC BY", "CC BY"),
+    Template("cc", "This work is licensed under a Creative Commons Attribution", "Creative Commons Attribution"),
+    *(Template("cc", x) for x in ("License: CC BY", "Licence: CC BY", "CC BY-SA", "CC BY-NC", "CC BY-ND", "CC BY 4.0", "CC BY 3.0", "CC0 1.0 Universal")),
 ]
+#: Identifiers of the license list that files name in one line of their head.
+IDENTIFIERS = {
+    "mit": ["MIT"], "apache": ["Apache-2.0"], "gpl": ["GPL-2.0", "GPL-3.0"], "lgpl": ["LGPL-2.1", "LGPL-3.0"], "agpl": ["AGPL-3.0"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause"], "isc": ["ISC"], "zlib": ["Zlib"], "mpl": ["MPL-2.0"], "unlicense": ["Unlicense"],
+    "cc": ["CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0"],
+}
+TEMPLATES = [*NOTICES, *(Template(label, f"SPDX-License-Identifier: {x}") for label, names in IDENTIFIERS.items() for x in names)]
 
 
 def _literal(value, kind: str) -> Column:
@@ -96,17 +167,18 @@ def _phrase_places(words: Column, phrase: str) -> Column:
 
 
 def _aligned(words: Column, hits: Column, needed: list[int]) -> Column:
-    """``(template, begin)`` pairs for which enough different words vote; ``hits`` are sorted and distinct."""
+    """``(template, begin)`` pairs for which enough different words vote; ``hits`` are sorted and may repeat."""
     pair = "struct<t:int,b:int>"
-    zero = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("b"), F.lit(0).alias("n"), F.array().cast(f"array<{pair}>").alias("out"))
+    zero = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("b"), F.lit("").alias("w"), F.lit(0).alias("n"), F.array().cast(f"array<{pair}>").alias("out"))
     enough = _literal(needed, "array<int>")
 
     def step(state: Column, hit: Column) -> Column:
         same = (state["t"] == hit["t"]) & (state["b"] == hit["b"])
-        n = F.when(same, state["n"] + 1).otherwise(1)
-        reached = n == F.element_at(enough, hit["t"] + 1)
+        fresh = ~same | (state["w"] != hit["w"])
+        n = F.when(same, state["n"] + fresh.cast("int")).otherwise(1)
+        reached = fresh & (n == F.element_at(enough, hit["t"] + 1))
         found = F.array(F.struct(hit["t"].alias("t"), hit["b"].alias("b")))
-        return F.struct(hit["t"].alias("t"), hit["b"].alias("b"), n.alias("n"), F.when(reached, F.concat(state["out"], found)).otherwise(state["out"]).alias("out"))
+        return F.struct(hit["t"].alias("t"), hit["b"].alias("b"), hit["w"].alias("w"), n.alias("n"), F.when(reached, F.concat(state["out"], found)).otherwise(state["out"]).alias("out"))
 
     return F.aggregate(hits, zero, step, lambda s: s["out"])
 
@@ -121,8 +193,10 @@ def scan_licenses(
 
     ``n_base`` counts all places of base phrases, ``first_word`` and ``last_word`` are the smallest and
     largest of them (null without any). ``hits`` are the verified templates ``(label, begin, share)``
-    with the share of template words in place; ``score`` is 1 with a base phrase, else the largest
-    share, else 0. Null and empty texts have no words, labels or hits. Columns of these names are replaced.
+    with the share of template words in place (of a notice whose front is cut off, it begins at 0); ``score`` is 1
+    with a base phrase, else the largest share, else 0. Null and empty texts have no words, labels or hits. Repeated rows
+    get equal results, an empty table stays empty. Columns of these names are replaced; names that start with
+    ``lic_`` are reserved.
     """
     templates = TEMPLATES if templates is None else templates
     weights = word_weights(df, text, templates) if weights is None else weights
@@ -135,11 +209,11 @@ def scan_licenses(
     known = _literal(sorted(index), "array<string>")
     postings = _literal(index, "map<string,array<struct<t:int,q:int>>>")
     texts = _literal([t.words for t in templates], "array<array<string>>")
-    keys = _literal([t.key_phrase.split() for t in templates], "array<array<string>>")
+    keys = _literal([t.key_words for t in templates], "array<array<string>>")
     key_at = _literal([t.key_at for t in templates], "array<int>")
     labels = _literal([t.label for t in templates], "array<string>")
     # A label needs a base or key phrase: most texts lack the longest word of every one.
-    anchors = sorted({max(p.split(), key=len) for p in [*BASE_PHRASES, *(t.key_phrase for t in templates)]})
+    anchors = sorted({max(p, key=len) for p in [*map(words_of, BASE_PHRASES), *(t.key_words for t in templates)]})
     out = df.withColumn("lic_words", license_words(F.col(text)))
     words = F.col("lic_words")
     out = out.withColumn("lic_open", F.arrays_overlap(words, _literal(anchors, "array<string>")))
@@ -158,20 +232,23 @@ def scan_licenses(
             ),
         )
     )
-    votes = F.array_sort(F.array_distinct(F.filter(votes, lambda v: v["b"] >= 0)))
+    # a template may begin before the first word, where the front of a notice is cut off
+    votes = F.array_sort(votes)
     needed = [min(VOTES, len(chosen)) for chosen in rare]
     out = out.withColumn("lic_votes", F.when(F.col("lic_open"), votes))
     begins = _aligned(words, F.col("lic_votes"), needed)
 
     def shown(x: Column) -> Column:
-        own = F.element_at(texts, x["t"] + 1)
-        there = F.slice(words, x["b"] + 1, F.size(own))
-        right = F.size(F.filter(F.zip_with(own, there, lambda a, b: a.eqNullSafe(b)), lambda same: same))
-        return F.struct(F.element_at(labels, x["t"] + 1).alias("label"), x["b"].cast("long").alias("begin"), (right / F.size(own)).alias("share"))
+        own, cut = F.element_at(texts, x["t"] + 1), F.greatest(-x["b"], F.lit(0))
+        there = F.slice(words, F.greatest(x["b"], F.lit(0)) + 1, F.size(own) - cut)
+        left = F.slice(own, cut + 1, F.size(own))
+        right = F.size(F.filter(F.zip_with(left, there, lambda a, b: a.eqNullSafe(b)), lambda same: same))
+        begin = F.greatest(x["b"], F.lit(0)).cast("long")
+        return F.struct(F.element_at(labels, x["t"] + 1).alias("label"), begin.alias("begin"), (right / F.size(own)).alias("share"))
 
     def verified(x: Column) -> Column:
-        key = F.element_at(keys, x["t"] + 1)
-        return F.slice(words, x["b"] + F.element_at(key_at, x["t"] + 1) + 1, F.size(key)) == key
+        key, at = F.element_at(keys, x["t"] + 1), x["b"] + F.element_at(key_at, x["t"] + 1)
+        return (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, F.size(key)) == key)
 
     empty = F.array().cast("array<struct<label:string,begin:bigint,share:double>>")
     out = out.withColumn("lic_hits", F.coalesce(F.transform(F.filter(begins, verified), shown), empty))
