@@ -350,14 +350,14 @@ def find_personal_data(df: DataFrame, model: Model, text: str = "text") -> DataF
     found = _prepared(df, text)
     base, source = F.col("pii_base"), F.col("pii_text")
     apart = F.filter("pii_loose", lambda s: ~F.exists(base, lambda b: _touches(s, b)))
-    # the margin is computed once per candidate, not once per comparison
-    ranked = F.transform(
-        apart,
-        lambda s: F.struct(
-            F.struct(model.margin(_features(source, s)).alias("margin"), (s["end"] - s["start"]).alias("size"), (-s["kind"]).alias("kind"), (-s["start"]).alias("start")).alias("rank"),
-            s.alias("s"),
-        ),
-    )
+    # features are computed once per candidate, not once per mention in a tree, margins not once per comparison
+    known = F.transform(apart, lambda s: F.struct(s.alias("s"), _features(source, s).alias("f")))
+
+    def rank(x: Column) -> Column:
+        size = x["s"]["end"] - x["s"]["start"]
+        return F.struct(model.margin(x["f"]).alias("margin"), size.alias("size"), (-x["s"]["kind"]).alias("kind"), (-x["s"]["start"]).alias("start"))
+
+    ranked = F.transform(known, lambda x: F.struct(rank(x).alias("rank"), x["s"].alias("s")))
     none = F.array().cast("array<struct<rank:struct<margin:double,size:bigint,kind:int,start:bigint>,s:" + SPAN + ">>")
     reached = F.filter(ranked, lambda x: x["rank"]["margin"] >= 0)
     found = found.withColumn("pii_chosen", F.when(F.size("pii_loose") > 0, reached).otherwise(none))
