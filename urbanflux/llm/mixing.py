@@ -27,7 +27,7 @@ CELLS = 65_536
 #: Slots whose ranks are counted together.
 CHUNK = 65_536
 #: Hexadecimal digits of the shuffle order by which a source is summed up.
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 GOLDEN = 0.6180339887498949
 
 
