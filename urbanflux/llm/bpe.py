@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from urbanflux.llm.common import TwoGenerationCache, ship_package, slices, texts_of
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose encoding a worker remembers (about 250 bytes each, two generations).
-CACHED_WORDS = 500_000
+#: Words whose encoding a worker remembers (about 250 bytes each, two generations): 100 MB beside the merges.
+CACHED_WORDS = 200_000
 
 
 def vocabulary_path(name: str) -> str:

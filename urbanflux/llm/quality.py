@@ -26,7 +26,7 @@ from urbanflux.llm.common import TwoGenerationCache, ship_package, slices, texts
 from urbanflux.session import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 120_000
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEATED = 0.3
