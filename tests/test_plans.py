@@ -1,6 +1,7 @@
 """Physical plans: what is pushed down, what is shuffled, what is broadcast."""
 
 import re
+from datetime import datetime
 
 import pytest
 from conftest import SF
@@ -101,14 +102,17 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_windows_run_over_time_slices_only(spark, folder):
+    """Pings are reduced to summaries; only where versions take turns are they ordered, within a slice."""
     vehicles = spark.createDataFrame(
         [(1, "V", "BUS", "R"), (2, "V", "BUS", "Q")],
         "vehicle_key long, vehicle_id string, vehicle_type string, assigned_route_id string",
     )
-    spark.createDataFrame([], schemas.FACT_GPS_PINGS).write.parquet(f"{folder}/pings")
-    pings = spark.read.schema(schemas.FACT_GPS_PINGS).parquet(f"{folder}/pings")
-    star = Star(dim_vehicles=vehicles, fact_gps_pings=pings,
-                dim_date=dim_date(spark, "2026-01-01", "2026-01-02"), dim_time=dim_time(spark))
-    text = plan(views.bus_punctuality(star))
-    windows = [line for line in text.splitlines() if "- Window [" in line]
-    assert windows and all("_chunk" in line for line in windows)
+    calendars = {"dim_date": dim_date(spark, "2026-01-01", "2026-01-02"), "dim_time": dim_time(spark)}
+    for name, keys in (("settled", (1, 1, 2)), ("mixed", (1, 2, 1))):
+        rows = [(n, key, datetime(2026, 1, 1, 0, n)) for n, key in enumerate(keys)]
+        columns = "ping_id long, vehicle_key long, record_timestamp timestamp_ntz"
+        spark.createDataFrame(rows, columns).write.parquet(f"{folder}/{name}")
+        pings = spark.read.schema(schemas.FACT_GPS_PINGS).parquet(f"{folder}/{name}")
+        text = plan(views.bus_punctuality(Star(dim_vehicles=vehicles, fact_gps_pings=pings, **calendars)))
+        windows = [line for line in text.splitlines() if "- Window [" in line]
+        assert bool(windows) == (name == "mixed") and all("_slice" in line for line in windows)
