@@ -1,11 +1,15 @@
 """The command line runs the pipelines."""
 
 from datetime import date
+from types import SimpleNamespace
+
+import pytest
 
 from jobs import database_table, parser, run
 from urbanflux import schemas
 from urbanflux.plans.pipelines import load_seed
 from urbanflux.plans.warehouse import Warehouse
+from urbanflux.session import shared_folder
 
 SENSOR = schemas.columns(
     "sensor_id string, location_name string, latitude double, longitude double, status string,"
@@ -38,3 +42,14 @@ def test_database_options_keep_the_password_off_the_command_line(folder, monkeyp
         "password": "secret", "partitionColumn": "id", "lowerBound": "0", "upperBound": "9",
         "numPartitions": "4",
     }
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(master=master))
+
+    named = {"spark.checkpoint.dir": "hdfs:///shared/", "spark.sql.warehouse.dir": "/here"}
+    assert shared_folder(session("yarn", **named)) == "hdfs:///shared"
+    assert shared_folder(session("local[2]", **{"spark.sql.warehouse.dir": "/here"})) == "/here/scratch"
+    with pytest.raises(ValueError):
+        shared_folder(session("spark://head:7077", **{"spark.sql.warehouse.dir": "/here"}))

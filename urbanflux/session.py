@@ -35,9 +35,12 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    A session without that setting uses a folder below its SQL warehouse.
+    A local session without that setting uses a folder below its SQL warehouse; on a cluster, where
+    that may be a folder of one machine, the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return folder.rstrip("/")
 
