@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages; every stage reads what the one before it has written."""
+"""A corpus pipeline of five stages; every stage reads what the one before it has written.
+
+Every stage takes any table with the columns of ``documents``; further columns, whatever their names, are left out. An
+empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +17,20 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the bands of their language or script."""
+    """Documents that pass the base rules and the bands of their language or script.
+
+    Null, empty and very short texts fail; a null id, language or source does not matter, and repeated
+    rows share one verdict. Texts of any length are judged whole.
+    """
     return quality.judge_quality(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every class of near-duplicates: the one with the smallest id."""
+    """One document of every class of near-duplicates: the one with the smallest id, null last.
+
+    Of repeated rows one stays; of several texts with that id the one with the smallest digest. Texts without
+    words, null included, are copies of nothing and all stay.
+    """
     return minhash.keep_one(docs.select(*COLUMNS))
 
 
@@ -46,7 +58,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds ``ids``, the tokens of the text, ``decoded``, the text they decode to, and ``n_tokens``."""
+    """Adds ``ids``, the tokens of the text, ``decoded``, the text they decode to, and ``n_tokens``.
+
+    Null and empty texts have no tokens and decode to the empty text; every row stays.
+    """
     coded = bpe.encode_and_decode(docs.select(*COLUMNS))
     return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
