@@ -117,3 +117,55 @@ def test_chunks_hold_every_window_once(monkeypatch):
         for p, code in zip(whole.tolist(), suffixes.anchors(piece, suffixes.GRAM)[whole].tolist(), strict=True):
             assert codes.setdefault(piece[p : p + N].tobytes(), code) == code
     assert got == expected
+
+
+def test_runs_of_a_batch_are_packed_once_per_bucket(spark):
+    rnd, buckets = random.Random(11), 4
+    letters = np.frombuffer(b"abcdefgh", np.uint8)
+    texts = [letters[[rnd.randrange(8) for _ in range(120_000)]].tobytes() for _ in range(20)]  # over two chunks
+    assert sum(map(len, texts)) > 2 * suffixes.CHUNK
+    rows = []
+    for i, t in enumerate(texts):
+        (code, _), = suffixes.text_anchors(np.frombuffer(t, np.uint8), np.array([0, len(t)]), np.array([i]))
+        rows.append((i, t.decode(), False, i, [bytearray(np.sort(suffixes._short(code, buckets)).tobytes())]))
+    known = spark.createDataFrame(rows, "doc_id long, text string, copied boolean, text_key long, codes array<binary>").coalesce(1)
+    flow = suffixes.candidate_windows(known.sortWithinPartitions("doc_id"), np.zeros(0, np.uint64), buckets).collect()
+    assert sorted(r["bucket"] for r in flow if r["runs"]) == list(range(buckets))
+    windows = []
+    for r in flow:
+        data, (size, doc, key, start) = suffixes.unpack_runs(bytes(r["runs"]), r["size"])
+        assert (doc == key).all()
+        ends = np.cumsum(size)
+        for n, d, a, e in zip(size.tolist(), doc.tolist(), start.tolist(), ends.tolist(), strict=True):
+            assert data[e - n : e].tobytes() == texts[d][a : a + n]
+            windows += [(d, p) for p in range(a, a + n - N + 1)]
+    assert sorted(windows) == [(d, p) for d, t in enumerate(texts) for p in range(len(t) - N + 1)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_anchors_of_chosen_windows(seed):
+    rnd = np.random.default_rng(seed)
+    data = rnd.integers(97, 101, 3000).astype(np.uint8)
+    at = np.flatnonzero(rnd.random(len(data) - N + 1) < [0.005, 0.03, 0.9][seed])
+    assert (suffixes.anchors_at(data, at, suffixes.LONG_GRAM) == suffixes.anchors(data, suffixes.LONG_GRAM)[at]).all()
+
+
+def test_strings_gathered_in_blocks(monkeypatch):
+    rnd = np.random.default_rng(4)
+    data = rnd.integers(0, 256, 5000).astype(np.uint8)
+    at, size = rnd.integers(0, 4000, 60), rnd.integers(N, 900, 60)
+    doc, key, start = (rnd.integers(-(2**62), 2**62, 60) for _ in range(3))
+    edges = np.array([0, 1, 2, 30, 31, 60])
+    monkeypatch.setattr(suffixes, "CHUNK", 2000)
+    packs = list(suffixes.pack_runs(data, at, size, start, doc, key, edges))
+    for (a, b), pack in zip(zip(edges, edges[1:], strict=False), packs, strict=True):
+        held, columns = suffixes.unpack_runs(*pack)
+        assert held.tobytes() == b"".join(data[x : x + n].tobytes() for x, n in zip(at[a:b], size[a:b], strict=True))
+        assert all((x == y[a:b]).all() for x, y in zip(columns, (size, doc, key, start), strict=True))
+
+
+@pytest.mark.parametrize("low", [[3, -5, 2, 9, -5, 0], [-(2**63), 2**63 - 1, 0, 5, -1, 7], [4] * 6, []])
+def test_order_by_two_columns(low):
+    high, low = np.array([2, 0, 2, 1, 0, 2][: len(low)], np.int64), np.array(low, np.int64)
+    order = suffixes.order_of(high, low)
+    assert list(zip(high[order].tolist(), low[order].tolist(), strict=True)) == sorted(zip(high.tolist(), low.tolist(), strict=True))

@@ -14,7 +14,6 @@ an anchor of almost the window's length instead, in two rounds, so that no frequ
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +39,12 @@ FREQUENT_SHARE = 1 << 17
 #: Text bytes whose anchors or windows meet in one bucket, about, and the fewest buckets.
 BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 256
+#: Buckets of anchors that a task answers, about: a document gets a row from each task that knows something of it.
+BUCKETS_A_TASK = 16
 #: Anchors or replies that are packed together.
 PACKED = 1 << 22
+#: Bytes of runs, heads included, that are packed together.
+PACKED_BYTES = 1 << 24
 SALTS = 64
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
@@ -86,6 +89,16 @@ def anchors(data: np.ndarray, gram: int, length: int = LENGTH) -> np.ndarray:
     return out
 
 
+def anchors_at(data: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
+    """``anchors`` of the windows that begin at ``at``, in ascending order; bytes in none of them are passed over."""
+    begin = np.flatnonzero(np.diff(at, prepend=-LENGTH) >= LENGTH)  # windows that overlap stay together
+    end = np.append(begin[1:], len(at))
+    size = at[end - 1] + LENGTH - at[begin]
+    skipped = at[begin] - (np.cumsum(size) - size)
+    held = data[np.repeat(skipped, size) + np.arange(size.sum())]
+    return anchors(held, gram)[at - np.repeat(skipped, end - begin)]
+
+
 def chunks(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Pieces of ``CHUNK`` places: first place, bytes, places (from the first) whose window lies in one text, its text."""
     for first in range(0, len(data), CHUNK):
@@ -115,6 +128,17 @@ def text_anchors(data: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> Itera
         yield code[new], ids[text[new]]
 
 
+def order_of(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Order by two columns, of which ``high`` is never negative; equal rows in any order."""
+    if not len(low):
+        return np.zeros(0, np.int64)
+    least = low.min()
+    bits = (int(low.max()) - int(least)).bit_length()
+    if bits < 63 and int(high.max()) >> (64 - bits) == 0:  # one word of both sorts faster than two
+        return np.argsort(high.astype(np.uint64) << np.uint64(bits) | (low - least).astype(np.uint64))
+    return np.lexsort((low, high))
+
+
 def sorted_pairs(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs in order."""
     order = np.argsort(code)
@@ -215,12 +239,25 @@ def _pack(*arrays: np.ndarray) -> tuple[bytes, int]:
     return pa.Codec("zstd", 1).compress(raw, asbytes=True), len(raw)
 
 
-def pack_runs(data: np.ndarray, at: np.ndarray, size: np.ndarray, start: np.ndarray, doc: np.ndarray, key: np.ndarray) -> tuple[bytes, int]:
-    """Strings of ``size`` bytes from ``at`` on with their place in their text and its document."""
-    count = np.array([len(at)], np.int64)
-    steps = [np.diff(x, prepend=0) for x in (doc, key, start)]
-    index = np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    return _pack(count, size.astype(np.int64), *steps, data[index])
+def steps_of(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Differences from one value to the next; those at ``first`` count from 0."""
+    steps = values.copy()
+    steps[1:] -= values[:-1]
+    steps[first] = values[first]
+    return steps
+
+
+def pack_runs(data: np.ndarray, at: np.ndarray, size: np.ndarray, start: np.ndarray, doc: np.ndarray, key: np.ndarray, edges: np.ndarray) -> Iterator[tuple[bytes, int]]:
+    """Strings of ``size`` bytes from ``at`` on with their place in their text and its document, packed from edge to edge."""
+    steps = [size, *(steps_of(x, edges[:-1]) for x in (doc, key, start))]
+    ends = np.append(0, np.cumsum(size))
+    reach = ends[edges]
+    low, high, held = 0, 0, data[:0]
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if b > high:  # strings of the next packs, gathered together
+            low, high = a, max(b, int(edges[np.searchsorted(reach, ends[a] + CHUNK, "right") - 1]))
+            held = data[np.repeat(at[low:high] - (ends[low:high] - ends[low]), size[low:high]) + np.arange(ends[high] - ends[low])]
+        yield _pack(np.array([b - a], np.int64), *(x[a:b] for x in steps), held[ends[a] - ends[low] : ends[b] - ends[low]])
 
 
 def unpack_runs(packed: bytes, raw_size: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -251,19 +288,22 @@ def _settled(data: np.ndarray, at: np.ndarray, place: np.ndarray, text: np.ndarr
     return np.flatnonzero(~gone), ranges
 
 
-def _packed(data: np.ndarray, at: np.ndarray, place: np.ndarray, text: np.ndarray, doc: np.ndarray, key: np.ndarray, route: np.ndarray, bucket: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-    """Runs of windows with one route, packed by bucket, frequent ones apart."""
+def _routed(at: np.ndarray, place: np.ndarray, text: np.ndarray, doc: np.ndarray, key: np.ndarray, route: np.ndarray, hot: np.ndarray, salted: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one route: where they begin, sizes, places in their texts, documents, text keys, buckets, and whether they are frequent."""
     first, last = runs_of(place, text, route)
-    order = np.lexsort((place[first], key[text[first]], doc[text[first]], hot[first], bucket[first]))
-    first, last = first[order], last[order]
-    new = np.append(np.flatnonzero(changes(bucket[first], hot[first])), len(first))
-    rows = []
-    for a, b in zip(new[:-1].tolist(), new[1:].tolist(), strict=True):
-        f, t = first[a:b], text[first[a:b]]
-        rows.append(pack_runs(data, at[f], at[last[a:b]] + LENGTH - at[f], place[f], doc[t], key[t]))
-    lead, n = first[new[:-1]], len(rows)
-    columns = [pa.array(bucket[lead].astype(np.int64)), pa.array(hot[lead]), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())]
-    return pa.RecordBatch.from_arrays([*columns, *[pa.nulls(n, pa.int64())] * 4], schema=FLOW_ARROW)
+    owner = doc[text[first]]
+    return at[first], last - first + LENGTH, place[first], owner, key[text[first]], _bucket(route[first], salted[first], owner, buckets), hot[first]
+
+
+def _packed(data: np.ndarray, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """What ``_routed`` found in ``data``, packed by bucket, frequent runs apart."""
+    at, size, start, doc, key, bucket, hot = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((start, key, doc, hot, bucket))
+    at, size, start, doc, key, bucket, hot = (x[order] for x in (at, size, start, doc, key, bucket, hot))
+    lead = np.flatnonzero(changes(bucket, hot))
+    rows = list(pack_runs(data, at, size, start, doc, key, np.append(lead, len(at))))
+    columns = [pa.array(bucket[lead]), pa.array(hot[lead]), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())]
+    return pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(rows), pa.int64())] * 4], schema=FLOW_ARROW)
 
 
 def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -331,19 +371,19 @@ def recurring_anchors(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
         bucket = (code % np.uint64(buckets)).astype(np.int64)
         upper = (code >> np.uint64(32)).astype(np.uint32)
         at, met = np.flatnonzero(~shared), np.flatnonzero(shared & changes(code))
-        at, met = at[np.lexsort((doc[at], bucket[at]))], met[np.argsort(bucket[met], kind="stable")]
+        at, met = at[order_of(bucket[at], doc[at])], met[np.argsort(bucket[met], kind="stable")]
         edges, met_edges = (np.searchsorted(bucket[x], np.arange(buckets + 1)) for x in (at, met))
         rows = []
         for b in np.flatnonzero((np.diff(edges) > 0) | (np.diff(met_edges) > 0)).tolist():
             mine, theirs = at[edges[b] : edges[b + 1]], met[met_edges[b] : met_edges[b + 1]]
-            steps = zlib.compress(np.diff(doc[mine], prepend=0).tobytes(), 1)
+            steps, _ = _pack(np.diff(doc[mine], prepend=0))
             rows.append((b, upper[mine].tobytes(), steps, upper[theirs].tobytes()))
         columns = [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.nulls(len(rows), pa.int64()), *columns], schema=asked)
 
     def answer(bucket: int, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        codes = np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows])
-        docs = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(r[1]), np.int64)) for r in rows])
+        codes, unpack = np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows]), pa.Codec("zstd")
+        docs = np.concatenate([np.cumsum(np.frombuffer(unpack.decompress(r[1], 2 * len(r[0]), asbytes=True), np.int64)) for r in rows])
         known = np.unique(np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows]))
         codes, docs = sorted_pairs(codes, docs)
         first = np.flatnonzero(changes(codes)) if len(codes) else np.zeros(0, np.int64)
@@ -383,7 +423,7 @@ def recurring_anchors(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
     questions = texts.mapInArrow(ask, "bucket long, doc_id long, codes binary, docs binary, known binary")
     # Replies known at once travel along: they have a document, but no bucket.
     spread = F.coalesce("bucket", -1 - F.pmod("doc_id", F.lit(buckets))).alias("bucket")
-    placed = questions.select(spread, "doc_id", "codes", "docs", "known").repartition("bucket").sortWithinPartitions("bucket")
+    placed = questions.select(spread, "doc_id", "codes", "docs", "known").repartition(-(-buckets // BUCKETS_A_TASK), "bucket").sortWithinPartitions("bucket")
     return placed.mapInArrow(answers, "doc_id long, codes binary")
 
 
@@ -422,6 +462,7 @@ def candidate_windows(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
             ids, keys = _longs(batch, "doc_id"), _longs(batch, "text_key")
             told = [x for c in batch.column(4).to_pylist() for x in c or ()]
             told = np.unique(np.frombuffer(b"".join(told), np.uint64))
+            found, held = [], 0
             for first, piece, whole, text in chunks(data, starts):
                 code = anchors(piece, GRAM)[whole]
                 begin, end = runs_of(whole, text, code)
@@ -438,8 +479,14 @@ def candidate_windows(texts: DataFrame, frequent: np.ndarray, buckets: int) -> D
                 if len(left):
                     at, place, text, route, hot = (x[left] for x in (at, place, text, route, hot))
                     if hot.any():
-                        route = np.where(hot, anchors(piece, LONG_GRAM)[at], route)
-                    yield _packed(piece, at, place, text, ids, keys, route, _bucket(route, hot, ids[text], buckets), hot)
+                        route[hot] = anchors_at(piece, at[hot], LONG_GRAM)
+                    found.append(_routed(at + first, place, text, ids, keys, route, hot, hot, buckets))
+                    held += int(found[-1][1].sum()) + 32 * len(found[-1][1])
+                    if held >= PACKED_BYTES:
+                        yield _packed(data, found)
+                        found, held = [], 0
+            if found:
+                yield _packed(data, found)
 
     return texts.select("doc_id", "text", "copied", "text_key", "codes").mapInArrow(run, FLOW)
 
@@ -487,8 +534,8 @@ def settle(flow: DataFrame, buckets: int, last: bool) -> DataFrame:
         left = left[hot[run[left]]] if not last else left[:0]
         if len(left):
             at, place, run = at[left], place[left], run[left]
-            route, again = anchors(data, LONG_GRAM)[at], np.ones(len(left), bool)
-            yield _packed(data, at, place, run, doc, key, route, _bucket(route, ~again, doc[run], buckets), again)
+            route, again = anchors_at(data, at, LONG_GRAM), np.ones(len(left), bool)
+            yield _packed(data, [_routed(at, place, run, doc, key, route, again, ~again, buckets)])
 
     return flow.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FLOW)
 
